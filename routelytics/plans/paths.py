@@ -15,9 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from routelytics.plans.sssp import shortest_paths
-from routelytics.session import checkpoint_cached, cut_lineage, persist
-
-CHECKPOINT_EVERY = 3
+from routelytics.session import cut_lineage
 
 ARROW = " -> "
 
@@ -39,9 +37,9 @@ def reconstruct(state: DataFrame, pairs: DataFrame, airport_dim: DataFrame | Non
     st = state.select("source", "node", "dist", "hops", "pred")
     q = pairs.select(F.col("source").cast("long").alias("source"),
                      F.col("destination").cast("long").alias("destination")).distinct()
-    found = persist(q.join(st.select("source", F.col("node").alias("destination"), "dist", "hops"),
+    found = cut_lineage(q.join(st.select("source", F.col("node").alias("destination"), "dist", "hops"),
                            ["source", "destination"], "left"))
-    walk = persist(found.where(F.col("dist").isNotNull()).select(
+    walk = cut_lineage(found.where(F.col("dist").isNotNull()).select(
         "source", "destination", F.col("destination").alias("cur"), F.lit(0).alias("step")))
     links = st.select("source", F.col("node").alias("cur"), "pred")
     steps = [walk]
@@ -53,10 +51,7 @@ def reconstruct(state: DataFrame, pairs: DataFrame, airport_dim: DataFrame | Non
             raise RuntimeError(f"path longer than {max_steps} steps")
         nxt = active.join(links, ["source", "cur"]).select(
             "source", "destination", F.col("pred").alias("cur"), (F.col("step") + 1).alias("step"))
-        nxt = persist(nxt)
-        if n % CHECKPOINT_EVERY == 0:
-            nxt.count()
-            nxt = checkpoint_cached(nxt)
+        nxt = cut_lineage(nxt)
         steps.append(nxt)
         active = nxt.where(F.col("cur") != F.col("source"))
     all_steps = reduce(DataFrame.unionByName, steps)
@@ -79,8 +74,6 @@ def reconstruct(state: DataFrame, pairs: DataFrame, airport_dim: DataFrame | Non
     result = cut_lineage(out.select(
         "source", "destination", "origin", "dest", F.col("dist").alias("weight"),
         "hops", "path", path_text(F.col("path")).alias("path_text")))
-    for d in steps + [found]:
-        d.unpersist()
     return result
 
 

@@ -11,14 +11,15 @@ before):
 
 1. frontier x out-edges (equi-join on node = src) gives candidates,
    reduced per (source, node) by ``min(l)`` (map-side partial aggregate);
-2. candidates that beat the current label form the next frontier;
-3. the state takes the improved labels (co-partitioned full outer join).
+2. a co-partitioned full outer join with the state keeps the better label
+   and flags the rows that improved: they are the next frontier.
 
 The loop stops when a frontier is empty; weights must be >= 0, so this
-takes at most |V| rounds.  Frontier and state are cached between rounds
-and written to the session's reliable checkpoint folder every few rounds,
-so the plan never grows and a lost executor re-reads files instead of
-replaying every earlier round.
+takes at most |V| rounds.  The state is written to the session's reliable
+checkpoint folder every round: the plan of a round is always a few flat
+file scans (a cached DataFrame would carry, and re-plan, the whole plan of
+every earlier round), and a lost executor re-reads files instead of
+replaying earlier rounds.
 
 Skew: a hub holding a third of all edges would make one join key hold a
 third of every round's work.  Each node's out-edges are split into
@@ -36,7 +37,6 @@ from routelytics.session import (checkpoint_cached, checkpoint_dir, cut_lineage,
                                  shuffle_partitions)
 
 DEFAULT_MAX_EDGES_PER_KEY = 50_000
-DEFAULT_CHECKPOINT_EVERY = 3
 
 
 def _label(dist, hops, pred):
@@ -45,7 +45,7 @@ def _label(dist, hops, pred):
 
 
 def prepare_edges(edges: DataFrame, max_edges_per_key: int = DEFAULT_MAX_EDGES_PER_KEY):
-    """Salted, src-partitioned, cached edge table and the checkpointed fan-out table.
+    """Salted, src-partitioned, checkpointed edge table and the per-node fan-out table.
 
     ``edges`` is evaluated once.  Raises on a negative weight.
     """
@@ -63,40 +63,37 @@ def prepare_edges(edges: DataFrame, max_edges_per_key: int = DEFAULT_MAX_EDGES_P
                       F.col("dst").alias("e_dst"), F.col("weight").alias("e_w"),
                       F.coalesce(F.col("_df"), F.lit(1)).alias("e_fan")))
     n = shuffle_partitions(edges.sparkSession)
-    salted = persist(salted.repartition(n, "e_src", "e_salt"))
-    low = salted.agg(F.min("e_w")).first()[0]      # materialises the cache
+    salted = cut_lineage(salted.repartition(n, "e_src", "e_salt"))
     e.unpersist()
-    if low is not None and low < 0:
-        salted.unpersist()
+    if salted.where(F.col("e_w") < 0).limit(1).count():
         raise ValueError("shortest_paths needs non-negative edge weights")
     return salted, fan
 
 
-def _relax(frontier: DataFrame, state: DataFrame, E: DataFrame) -> DataFrame:
-    """Labels of one round that beat the current state: ``(source, node, l, fanout)``."""
+def _relax(frontier: DataFrame, E: DataFrame) -> DataFrame:
+    """Best candidate label per (source, node) from one frontier: ``(source, node, _l, _fan)``."""
     f = frontier.select("source", "node", "l",
                         F.explode(F.sequence(F.lit(0), F.col("fanout") - 1)).alias("salt"))
     cand = f.join(E, (F.col("node") == F.col("e_src")) & (F.col("salt") == F.col("e_salt"))).select(
         "source", F.col("e_dst").alias("node"),
         _label(F.col("l.dist") + F.col("e_w"), F.col("l.hops") + 1, F.col("e_src")).alias("l"),
         F.col("e_fan").alias("fanout"))
-    best = cand.groupBy("source", "node").agg(F.min("l").alias("l"), F.max("fanout").alias("fanout"))
-    old = state.select("source", "node", F.col("l").alias("_old"))
-    return (best.join(old, ["source", "node"], "left")
-            .where(F.col("_old").isNull() | (F.col("l") < F.col("_old")))
-            .select("source", "node", "l", "fanout"))
+    return cand.groupBy("source", "node").agg(F.min("l").alias("_l"), F.max("fanout").alias("_fan"))
 
 
-def _merge(state: DataFrame, improved: DataFrame) -> DataFrame:
-    upd = improved.select("source", "node", F.col("l").alias("_new"))
-    return state.join(upd, ["source", "node"], "full").select(
-        "source", "node", F.coalesce(F.col("_new"), F.col("l")).alias("l"))
+def _merge(state: DataFrame, best: DataFrame) -> DataFrame:
+    """Full outer join of state and candidates; ``changed`` marks the next frontier."""
+    better = F.col("_l").isNotNull() & (F.col("l").isNull() | (F.col("_l") < F.col("l")))
+    return state.join(best, ["source", "node"], "full").select(
+        "source", "node",
+        F.when(better, F.col("_l")).otherwise(F.col("l")).alias("l"),
+        F.coalesce(F.col("fanout"), F.col("_fan")).alias("fanout"),
+        better.alias("changed"))
 
 
 def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "source",
                    max_edges_per_key: int = DEFAULT_MAX_EDGES_PER_KEY,
-                   max_rounds: int | None = None,
-                   checkpoint_every: int = DEFAULT_CHECKPOINT_EVERY) -> DataFrame:
+                   max_rounds: int | None = None) -> DataFrame:
     """Labels ``(source, node, dist, hops, pred)`` for every node reachable from each source.
 
     ``edges``: ``(src, dst, weight)`` with weight >= 0; ``sources``: a column
@@ -105,55 +102,36 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
     no row.  The loop runs eagerly; the returned DataFrame reads the
     checkpointed final labels.
 
-    Per round one job computes the improved labels (and, through the cache,
-    the state merged in the round before); every ``checkpoint_every`` rounds
-    frontier and state are written to the checkpoint folder, which bounds
-    what a lost executor forces Spark to recompute.
+    The state ``(source, node, l, fanout, changed)`` is rewritten once per
+    round by a co-partitioned full outer join with the round's candidates
+    and checkpointed, so every round plans against flat file scans; the
+    rows with ``changed`` set are the next frontier.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
     E, fan = prepare_edges(edges, max_edges_per_key)
-    try:
-        src = sources.select(F.col(source_col).cast("long").alias("source")).distinct()
-        seed = (src.join(fan, src.source == fan.node, "left")
-                .select("source", F.col("source").alias("node"),
-                        _label(F.lit(0.0), F.lit(0), F.lit(None)).alias("l"),
-                        F.coalesce(F.col("fanout"), F.lit(1)).alias("fanout")))
-        frontier = cut_lineage(seed)
-        state = frontier.select("source", "node", "l")
-        prev_state = None
-        rounds = 0
-        while True:
-            rounds += 1
-            if max_rounds is not None and rounds > max_rounds:
-                raise RuntimeError(f"shortest_paths did not settle in {max_rounds} rounds")
-            improved = persist(_relax(frontier, state, E))
-            n = improved.count()
-            if prev_state is not None:
-                prev_state.unpersist()
-            frontier.unpersist()
-            prev_state = None
-            if n == 0:
-                improved.unpersist()
-                break
-            if rounds % checkpoint_every == 0:
-                improved = checkpoint_cached(improved)
-                merged = cut_lineage(_merge(state, improved))
-                state.unpersist()
-            else:
-                merged = persist(_merge(state, improved))
-                prev_state = state
-            state = merged
-            frontier = improved
-        result = cut_lineage(state.select(
-            "source", "node", F.col("l.dist").alias("dist"),
-            F.col("l.hops").alias("hops"), F.col("l.pred").alias("pred")))
-        state.unpersist()
-        if prev_state is not None:
-            prev_state.unpersist()
-        return result
-    finally:
-        E.unpersist()
+    src = sources.select(F.col(source_col).cast("long").alias("source")).distinct()
+    seed = (src.join(fan, src.source == fan.node, "left")
+            .select("source", F.col("source").alias("node"),
+                    _label(F.lit(0.0), F.lit(0), F.lit(None)).alias("l"),
+                    F.coalesce(F.col("fanout"), F.lit(1)).alias("fanout"),
+                    F.lit(True).alias("changed")))
+    n = shuffle_partitions(spark)
+    state = cut_lineage(seed.repartition(n, "source", "node"))
+    rounds = 0
+    while True:
+        rounds += 1
+        if max_rounds is not None and rounds > max_rounds:
+            raise RuntimeError(f"shortest_paths did not settle in {max_rounds} rounds")
+        best = _relax(state.where("changed"), E)
+        nxt = persist(_merge(state, best))
+        changed = nxt.where("changed").count()
+        nxt = checkpoint_cached(nxt)
+        state = nxt
+        if changed == 0:
+            break
+    return state.select("source", "node", F.col("l.dist").alias("dist"),
+                        F.col("l.hops").alias("hops"), F.col("l.pred").alias("pred"))
 
 
 def distance_to(state: DataFrame, node: int) -> DataFrame:

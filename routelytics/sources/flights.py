@@ -15,38 +15,31 @@ from pyspark.sql import types as T
 from routelytics.sources.schema import BLANK_AS_ZERO, FLIGHT_SCHEMA
 
 
-def _field(parts: Column, i: int) -> Column:
-    return F.get(parts, i)
-
-
-def _typed_fields(value: Column) -> list[tuple[str, Column, Column]]:
-    """(name, typed value, ok flag) per schema field."""
-    parts = F.split(value, ",", -1)
-    out = []
-    for i, field in enumerate(FLIGHT_SCHEMA.fields):
-        raw = _field(parts, i)
-        if isinstance(field.dataType, T.StringType):
-            typed = raw
-            ok = raw.isNotNull()
-        else:
-            # Java's parseDouble ignores surrounding blanks, parseInt/parseLong do not
-            text = F.trim(raw) if isinstance(field.dataType, T.DoubleType) else raw
-            typed = text.try_cast(field.dataType)
-            if field.name in BLANK_AS_ZERO:
-                typed = F.when(text == "", F.lit(0).cast(field.dataType)).otherwise(typed)
-            ok = typed.isNotNull()
-        out.append((field.name, typed, ok))
-    return out
+def _typed(parts: Column, i: int, field: T.StructField) -> Column:
+    raw = F.get(parts, i)
+    if isinstance(field.dataType, T.StringType):
+        return raw
+    # Java's parseDouble ignores surrounding blanks, parseInt/parseLong do not
+    text = F.trim(raw) if isinstance(field.dataType, T.DoubleType) else raw
+    typed = text.try_cast(field.dataType)
+    if field.name in BLANK_AS_ZERO:
+        typed = F.when(text == "", F.lit(0).cast(field.dataType)).otherwise(typed)
+    return typed
 
 
 def _with_parse(lines: DataFrame, value_col: str) -> DataFrame:
-    fields = _typed_fields(F.col(value_col))
+    # The split array comes out of a Generate (explode of a one-element
+    # array): the validity filter reads the generated column and Catalyst
+    # cannot push it below the Generate, so each line is split exactly once
+    # instead of once per field inside pushed-down predicates.
+    split = lines.select(F.col(value_col).alias("_line"),
+                         F.explode(F.array(F.split(F.col(value_col), ",", -1))).alias("_parts"))
+    typed = split.select(*[_typed(F.col("_parts"), i, f).alias(f.name)
+                           for i, f in enumerate(FLIGHT_SCHEMA.fields)], "_line")
     ok = F.lit(True)
-    for _, _, flag in fields:
-        ok = ok & flag
-    return lines.select(
-        *[typed.alias(name) for name, typed, _ in fields],
-        ok.alias("_ok"), F.col(value_col).alias("_line"))
+    for f in FLIGHT_SCHEMA.fields:
+        ok = ok & F.col(f.name).isNotNull()
+    return typed.select("*", ok.alias("_ok"))
 
 
 def parse_flights(lines: DataFrame, mode: str = "lenient", value_col: str = "value") -> DataFrame:
