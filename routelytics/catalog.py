@@ -132,6 +132,25 @@ def q_route_queries(spark, sf):
                     "hops", "path_text")
 
 
+def busiest_airport(flights: DataFrame) -> DataFrame:
+    """One row ``(source)``: the origin with most departing flights, ties by smallest id."""
+    return (flights.groupBy("org_id").agg(F.count(F.lit(1)).alias("_n"))
+            .orderBy(F.desc("_n"), F.asc("org_id")).limit(1)
+            .select(F.col("org_id").alias("source")))
+
+
+def q_hub_routes(spark, sf):
+    """Shortest route from the busiest airport to every airport (the `info A B` query, all B)."""
+    fl = _flights(spark, sf)
+    names = AP.airport_names(fl)
+    hub = busiest_airport(fl)
+    st = shortest_paths(E.route_edges(fl), hub)
+    pairs = names.select(hub.scalar().alias("source"), F.col("airport_id").alias("destination"))
+    r = reconstruct(st, pairs, names)
+    return r.select("source", "destination", "origin", "dest", _r6(F.col("weight")).alias("weight"),
+                    "hops", "path_text")
+
+
 def q_latest_overrides(spark, sf):
     return O.latest_overrides(D.derived_override_events(spark, sf))
 
@@ -197,6 +216,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sssp_distances": q_sssp_distances,
     "sssp_predecessors": q_sssp_predecessors,
     "route_queries": q_route_queries,
+    "hub_routes": q_hub_routes,
     "latest_overrides": q_latest_overrides,
     "override_commands": q_override_commands,
     "edges_with_overrides": q_edges_with_overrides,
@@ -253,11 +273,11 @@ def _with(body: str, extra: str = "", recursive: bool = False) -> str:
     return f"{head} {_FLIGHTS}{(',' + extra) if extra else ''}\n{body}"
 
 
-def _labels_sql(edge_table: str) -> str:
+def _labels_sql(edge_table: str, queries: str = "qs") -> str:
     return f"""
 r(source, node, l) using key (source, node) as (
   select source, source, {{'dist': 0.0::double, 'hops': 0::bigint, 'pred': -1::bigint}}
-  from (select distinct source from qs) s
+  from (select distinct source from {queries}) s
   union
   select r.source, e.dst, min({{'dist': r.l.dist + e.weight, 'hops': r.l.hops + 1, 'pred': e.src}})
   from r join {edge_table} e on r.node = e.src
@@ -300,6 +320,31 @@ sflights as (select 'dofm' day_of_month, 'dofW' day_of_week, 'carrier' carrier,
        w::double sched_elapsed, w distance from g)"""
 
 
+_ROUTES_BODY = """select q.source, q.destination, a.name origin, b.name dest, round(st.dist, 6) weight,
+       st.hops, p.path_text
+from {q} q left join st on st.source = q.source and st.node = q.destination
+left join paths p on p.source = q.source and p.destination = q.destination
+left join names a on a.airport_id = q.source
+left join names b on b.airport_id = q.destination"""
+
+_HUB = """
+hub as (select org_id source from flights group by org_id order by count(*) desc, org_id limit 1),
+hq as (select (select source from hub) source, airport_id destination from names)"""
+
+
+def _walk_sql(queries: str) -> str:
+    return f""",
+walk(source, d, cur, step) as (
+  select st.source, st.node, st.node, 0 from st
+  join (select distinct source, destination from {queries}) q
+    on q.source = st.source and q.destination = st.node
+  union all
+  select w.source, w.d, st.pred, w.step + 1 from walk w
+  join st on st.source = w.source and st.node = w.cur where st.pred is not null),
+paths as (select w.source, w.d destination, string_agg(n.name, ' -> ' order by w.step desc) path_text
+          from walk w left join names n on n.airport_id = w.cur group by 1, 2)"""
+
+
 def oracle_sql() -> dict[str, str]:
     cols = ", ".join(FLIGHT_COLUMNS)
     wd_round = "round(avg(wd), 6)"
@@ -327,22 +372,10 @@ def oracle_sql() -> dict[str, str]:
         "sssp_distances": _with("select source, node, round(dist, 6) dist, hops from st",
                                 _labels_sql("edges"), recursive=True),
         "sssp_predecessors": _with("select source, node, pred from st", _labels_sql("edges"), recursive=True),
-        "route_queries": _with(
-            """select q.source, q.destination, a.name origin, b.name dest, round(st.dist, 6) weight,
-                      st.hops, p.path_text
-               from qs q left join st on st.source = q.source and st.node = q.destination
-               left join paths p on p.source = q.source and p.destination = q.destination
-               left join names a on a.airport_id = q.source
-               left join names b on b.airport_id = q.destination""",
-            _labels_sql("edges") + """,
-walk(source, d, cur, step) as (
-  select st.source, st.node, st.node, 0 from st
-  join qs on qs.source = st.source and qs.destination = st.node
-  union all
-  select w.source, w.d, st.pred, w.step + 1 from walk w
-  join st on st.source = w.source and st.node = w.cur where st.pred is not null),
-paths as (select w.source, w.d destination, string_agg(n.name, ' -> ' order by w.step desc) path_text
-          from walk w left join names n on n.airport_id = w.cur group by 1, 2)""", recursive=True),
+        "route_queries": _with(_ROUTES_BODY.format(q="qs"), _labels_sql("edges") + _walk_sql("qs"),
+                               recursive=True),
+        "hub_routes": _with(_ROUTES_BODY.format(q="hq"),
+                            _HUB + "," + _labels_sql("edges", "hq") + _walk_sql("hq"), recursive=True),
         "latest_overrides": _with("select src, dst, weight from lo"),
         "override_commands": _with("select seq, src, dst, weight from ov"),
         "edges_with_overrides": _with(
