@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from routelytics.plans.sssp import shortest_paths
-from routelytics.session import cut_lineage
+from routelytics.session import cut_lineage, trace
 
 ARROW = " -> "
 
@@ -52,6 +52,7 @@ def reconstruct(state: DataFrame, pairs: DataFrame, airport_dim: DataFrame | Non
         nxt = active.join(links, ["source", "cur"]).select(
             "source", "destination", F.col("pred").alias("cur"), (F.col("step") + 1).alias("step"))
         nxt = cut_lineage(nxt)
+        trace(f"paths: step {n}")
         steps.append(nxt)
         active = nxt.where(F.col("cur") != F.col("source"))
     all_steps = reduce(DataFrame.unionByName, steps)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from routelytics.session import (checkpoint_cached, checkpoint_dir, cut_lineage, persist,
-                                 shuffle_partitions)
+                                 shuffle_partitions, trace)
 
 DEFAULT_MAX_EDGES_PER_KEY = 50_000
 
@@ -109,7 +109,9 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
+    trace("sssp: prepare edges")
     E, fan = prepare_edges(edges, max_edges_per_key)
+    trace("sssp: edges ready")
     src = sources.select(F.col(source_col).cast("long").alias("source")).distinct()
     seed = (src.join(fan, src.source == fan.node, "left")
             .select("source", F.col("source").alias("node"),
@@ -127,6 +129,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
         nxt = persist(_merge(state, best))
         changed = nxt.where("changed").count()
         nxt = checkpoint_cached(nxt)
+        trace(f"sssp: round {rounds}: {changed} labels improved")
         state = nxt
         if changed == 0:
             break

@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+import os
+import sys
 import tempfile
+import time
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_TRACE = bool(os.environ.get("ROUTELYTICS_TRACE"))
+_T0 = time.perf_counter()
+
+
+def trace(msg: str) -> None:
+    """Timing line on stderr when ROUTELYTICS_TRACE is set (iterative operators)."""
+    if _TRACE:
+        print(f"[routelytics {time.perf_counter() - _T0:8.2f}s] {msg}", file=sys.stderr, flush=True)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of this session.
 
