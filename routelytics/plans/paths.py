@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from routelytics.plans.sssp import shortest_paths
-from routelytics.session import cut_lineage, trace
+from routelytics.session import RoundTables, trace
 
 ARROW = " -> "
 
@@ -25,8 +25,50 @@ def path_text(path) -> "F.Column":
     return F.array_join(path, ARROW)
 
 
+def ancestor_lists(state: DataFrame, max_rounds: int | None = None) -> DataFrame:
+    """``(source, node, anc)``: every labelled node's predecessors, nearest first.
+
+    Pointer jumping: each row keeps the ancestors found so far and a jump
+    pointer to the farthest one; a self-join appends the jump target's
+    list and doubles the known prefix, so a tree with paths of h hops takes
+    about log2(h) rounds.  Total data is the total path length.
+    """
+    st = state.select("source", "node", "pred")
+    preds = st.select("source", F.col("node").alias("pred"), F.col("pred").alias("_pp"))
+    tables = RoundTables(state.sparkSession, "routelytics-ancestors")
+    open_ = F.count_if(F.col("jump").isNotNull())
+    cur, m = tables.write(
+        st.join(preds, ["source", "pred"], "left").select(
+            "source", "node",
+            F.when(F.col("pred").isNull(), F.array().cast("array<long>"))
+             .otherwise(F.array(F.col("pred"))).alias("anc"),
+            # jump only when the farthest known ancestor has ancestors itself
+            F.when(F.col("_pp").isNotNull(), F.col("pred")).alias("jump")), open=open_)
+    rounds = 0
+    while m["open"]:
+        rounds += 1
+        if max_rounds is not None and rounds > max_rounds:
+            raise RuntimeError(f"ancestor lists did not settle in {max_rounds} rounds")
+        j = cur.select("source", F.col("node").alias("jump"), F.col("anc").alias("_janc"),
+                       F.col("jump").alias("_jjump"))
+        cur, m = tables.write(cur.join(j, ["source", "jump"], "left").select(
+            "source", "node",
+            F.when(F.col("jump").isNull(), F.col("anc")).otherwise(F.concat("anc", "_janc")).alias("anc"),
+            F.when(F.col("jump").isNull(), F.lit(None)).otherwise(F.col("_jjump")).alias("jump")),
+            open=open_)
+        trace(f"paths: doubling round {rounds}")
+    return cur.select("source", "node", "anc")
+
+
+def _named_paths_by_doubling(state: DataFrame, airport_dim: DataFrame | None) -> DataFrame:
+    anc = ancestor_lists(state)
+    hops = anc.select("source", F.col("node").alias("destination"),
+                      F.posexplode(F.concat(F.array(F.col("node")), F.col("anc"))).alias("step", "cur"))
+    return hops
+
+
 def reconstruct(state: DataFrame, pairs: DataFrame, airport_dim: DataFrame | None = None,
-                max_steps: int | None = None) -> DataFrame:
+                max_steps: int | None = None, dense_fraction: float = 0.25) -> DataFrame:
     """``(source, destination, origin, dest, weight, hops, path, path_text)`` per distinct pair.
 
     ``state`` is the output of :func:`shortest_paths`.  Unreachable pairs keep
@@ -37,24 +79,32 @@ def reconstruct(state: DataFrame, pairs: DataFrame, airport_dim: DataFrame | Non
     st = state.select("source", "node", "dist", "hops", "pred")
     q = pairs.select(F.col("source").cast("long").alias("source"),
                      F.col("destination").cast("long").alias("destination")).distinct()
-    found = cut_lineage(q.join(st.select("source", F.col("node").alias("destination"), "dist", "hops"),
-                           ["source", "destination"], "left"))
-    walk = cut_lineage(found.where(F.col("dist").isNotNull()).select(
-        "source", "destination", F.col("destination").alias("cur"), F.lit(0).alias("step")))
+    tables = RoundTables(state.sparkSession, "routelytics-walk")
+    found, _ = tables.write(q.join(st.select("source", F.col("node").alias("destination"), "dist", "hops"),
+                                   ["source", "destination"], "left"))
+    not_home = F.count_if(F.col("cur") != F.col("source"))
+    walk, m = tables.write(found.where(F.col("dist").isNotNull()).select(
+        "source", "destination", F.col("destination").alias("cur"), F.lit(0).alias("step")),
+        pairs=F.count(F.lit(1)), open=not_home)
     links = st.select("source", F.col("node").alias("cur"), "pred")
     steps = [walk]
+    if m["pairs"] and m["pairs"] >= dense_fraction * st.count():
+        # most labels are asked for: build every path by pointer jumping
+        # (log rounds) and keep the requested ones
+        everything = _named_paths_by_doubling(st, airport_dim)
+        steps = [everything.join(walk.select("source", "destination"), ["source", "destination"], "left_semi")]
+        m["open"] = 0
     n = 0
-    active = walk.where(F.col("cur") != F.col("source"))
-    while active.count():
+    while m["open"]:
         n += 1
         if max_steps is not None and n > max_steps:
             raise RuntimeError(f"path longer than {max_steps} steps")
-        nxt = active.join(links, ["source", "cur"]).select(
-            "source", "destination", F.col("pred").alias("cur"), (F.col("step") + 1).alias("step"))
-        nxt = cut_lineage(nxt)
+        active = steps[-1].where(F.col("cur") != F.col("source"))
+        nxt, m = tables.write(active.join(links, ["source", "cur"]).select(
+            "source", "destination", F.col("pred").alias("cur"), (F.col("step") + 1).alias("step")),
+            open=not_home)
         trace(f"paths: step {n}")
         steps.append(nxt)
-        active = nxt.where(F.col("cur") != F.col("source"))
     all_steps = reduce(DataFrame.unionByName, steps)
     if airport_dim is not None:
         names = airport_dim.select(F.col("airport_id").alias("cur"), F.col("name"))
@@ -72,7 +122,7 @@ def reconstruct(state: DataFrame, pairs: DataFrame, airport_dim: DataFrame | Non
     else:
         out = (out.withColumn("origin", F.col("source").cast("string"))
                .withColumn("dest", F.col("destination").cast("string")))
-    result = cut_lineage(out.select(
+    result, _ = tables.write(out.select(
         "source", "destination", "origin", "dest", F.col("dist").alias("weight"),
         "hops", "path", path_text(F.col("path")).alias("path_text")))
     return result

@@ -33,10 +33,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routelytics.session import (checkpoint_cached, checkpoint_dir, cut_lineage, persist,
-                                 shuffle_partitions, trace)
+from routelytics.session import RoundTables, checkpoint_dir, persist, scratch_table, trace
 
 DEFAULT_MAX_EDGES_PER_KEY = 50_000
+# A frontier at most this many rows (known from the previous round's count)
+# is broadcast to the edge scan; a larger one is shuffled to the salted edges.
+DEFAULT_BROADCAST_FRONTIER_ROWS = 1_000_000
 
 
 def _label(dist, hops, pred):
@@ -45,7 +47,7 @@ def _label(dist, hops, pred):
 
 
 def prepare_edges(edges: DataFrame, max_edges_per_key: int = DEFAULT_MAX_EDGES_PER_KEY):
-    """Salted, src-partitioned, checkpointed edge table and the per-node fan-out table.
+    """Salted edge table (Parquet in the checkpoint folder) and the per-node fan-out table.
 
     ``edges`` is evaluated once.  Raises on a negative weight.
     """
@@ -55,17 +57,17 @@ def prepare_edges(edges: DataFrame, max_edges_per_key: int = DEFAULT_MAX_EDGES_P
     fan = (e.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
            .select(F.col("src").alias("node"),
                    F.greatest(F.lit(1), F.ceil(F.col("_deg") / max_edges_per_key)).cast("int").alias("fanout")))
-    fan = cut_lineage(fan)
+    fan = scratch_table(fan, "routelytics-fanout")
     salted = (e.join(fan.select(F.col("node").alias("src"), F.col("fanout").alias("_sf")), "src")
               .join(fan.select(F.col("node").alias("dst"), F.col("fanout").alias("_df")), "dst", "left")
               .select(F.col("src").alias("e_src"),
                       F.pmod(F.xxhash64("dst"), F.col("_sf")).cast("int").alias("e_salt"),
                       F.col("dst").alias("e_dst"), F.col("weight").alias("e_w"),
                       F.coalesce(F.col("_df"), F.lit(1)).alias("e_fan")))
-    n = shuffle_partitions(edges.sparkSession)
-    salted = cut_lineage(salted.repartition(n, "e_src", "e_salt"))
+    salted, m = RoundTables(edges.sparkSession, "routelytics-edges").write(
+        salted, low=F.min("e_w"))
     e.unpersist()
-    if salted.where(F.col("e_w") < 0).limit(1).count():
+    if m["low"] is not None and m["low"] < 0:
         raise ValueError("shortest_paths needs non-negative edge weights")
     return salted, fan
 
@@ -93,7 +95,8 @@ def _merge(state: DataFrame, best: DataFrame) -> DataFrame:
 
 def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "source",
                    max_edges_per_key: int = DEFAULT_MAX_EDGES_PER_KEY,
-                   max_rounds: int | None = None) -> DataFrame:
+                   max_rounds: int | None = None,
+                   broadcast_frontier_rows: int = DEFAULT_BROADCAST_FRONTIER_ROWS) -> DataFrame:
     """Labels ``(source, node, dist, hops, pred)`` for every node reachable from each source.
 
     ``edges``: ``(src, dst, weight)`` with weight >= 0; ``sources``: a column
@@ -103,9 +106,11 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
     checkpointed final labels.
 
     The state ``(source, node, l, fanout, changed)`` is rewritten once per
-    round by a co-partitioned full outer join with the round's candidates
-    and checkpointed, so every round plans against flat file scans; the
-    rows with ``changed`` set are the next frontier.
+    round by a full outer join with the round's candidates and written as a
+    Parquet table in the checkpoint folder (one job per round; the count of
+    improved labels is observed during the write), so every round plans
+    against flat file scans; the rows with ``changed`` set are the next
+    frontier.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
@@ -118,21 +123,22 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
                     _label(F.lit(0.0), F.lit(0), F.lit(None)).alias("l"),
                     F.coalesce(F.col("fanout"), F.lit(1)).alias("fanout"),
                     F.lit(True).alias("changed")))
-    n = shuffle_partitions(spark)
-    state = cut_lineage(seed.repartition(n, "source", "node"))
+    rounds_out = RoundTables(spark, "routelytics-sssp")
+    state, m = rounds_out.write(seed, changed=F.count(F.lit(1)))
+    changed = m["changed"]
     rounds = 0
-    while True:
+    while changed:
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"shortest_paths did not settle in {max_rounds} rounds")
-        best = _relax(state.where("changed"), E)
-        nxt = persist(_merge(state, best))
-        changed = nxt.where("changed").count()
-        nxt = checkpoint_cached(nxt)
+        frontier = state.where("changed")
+        if changed <= broadcast_frontier_rows:
+            # the count of the round before proves the frontier is small
+            frontier = F.broadcast(frontier)
+        best = _relax(frontier, E)
+        state, m = rounds_out.write(_merge(state, best), changed=F.count_if(F.col("changed")))
+        changed = m["changed"]
         trace(f"sssp: round {rounds}: {changed} labels improved")
-        state = nxt
-        if changed == 0:
-            break
     return state.select("source", "node", F.col("l.dist").alias("dist"),
                         F.col("l.hops").alias("hops"), F.col("l.pred").alias("pred"))
 

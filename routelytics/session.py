@@ -6,9 +6,10 @@ import os
 import sys
 import tempfile
 import time
+import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -77,6 +78,46 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     return df
 
 
+def scratch_table(df: DataFrame, prefix: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Used for inputs that every round of a loop scans: a columnar table with
+    statistics, no lineage, and files any executor can read after a loss.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+class RoundTables:
+    """Per-round tables of an iterative operator, written under the checkpoint folder.
+
+    ``write(df, **metrics)`` writes one round in a single job, returns the
+    table read back from its files (no lineage, survives executor loss)
+    and the metrics observed while writing (e.g. how many rows changed),
+    so no extra job is needed to count them.
+    """
+
+    def __init__(self, spark: SparkSession, prefix: str):
+        self.spark = spark
+        self.root = f"{checkpoint_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+        self.n = 0
+
+    def write(self, df: DataFrame, **metrics) -> tuple[DataFrame, dict]:
+        self.n += 1
+        path = f"{self.root}/round={self.n}"
+        if metrics:
+            obs = Observation(f"{self.root.rsplit('/', 1)[-1]}-{self.n}")
+            df = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
+            df.write.mode("overwrite").parquet(path)
+            got = obs.get
+        else:
+            df.write.mode("overwrite").parquet(path)
+            got = {}
+        return self.spark.read.parquet(path), got
+
+
 def persist(df: DataFrame) -> DataFrame:
     """Cache ``df`` in memory, spilling to local disk (lazy)."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -117,3 +117,13 @@ def test_reconstruct_walks_back_to_source(spark):
     out = reconstruct(st, pairs).collect()
     for r in out:
         assert r.path[0] == "0" and r.path[-1] == str(r.destination) and len(r.path) == r.hops + 1
+
+
+def test_walk_and_doubling_agree(spark):
+    triples = synth_edges(spark, 30, 5, 4)
+    e = edges_df(spark, triples)
+    st = shortest_paths(e, spark.createDataFrame([(0,), (7,)], "source long"))
+    pairs = st.select("source", F.col("node").alias("destination"))
+    walk = {(r.source, r.destination): (r.path, r.weight) for r in reconstruct(st, pairs, dense_fraction=10.0).collect()}
+    jump = {(r.source, r.destination): (r.path, r.weight) for r in reconstruct(st, pairs, dense_fraction=0.0).collect()}
+    assert walk == jump and len(walk) == st.count()
