@@ -9,10 +9,11 @@ improve a label because it adds hops.
 Each round relaxes only the frontier (labels improved in the round
 before):
 
-1. frontier x out-edges (equi-join on node = src) gives candidates,
-   reduced per (source, node) by ``min(l)`` (map-side partial aggregate);
-2. a co-partitioned full outer join with the state keeps the better label
-   and flags the rows that improved: they are the next frontier.
+1. frontier x out-edges (equi-join on node = src) gives candidates;
+2. candidates and current labels are reduced together per (source, node)
+   by one ``min`` aggregation (map-side partials, one shuffle per round),
+   which keeps the better label and flags the rows that improved: they are
+   the next frontier.
 
 The loop stops when a frontier is empty; weights must be >= 0, so this
 takes at most |V| rounds.  The state is written to the session's reliable
@@ -72,25 +73,33 @@ def prepare_edges(edges: DataFrame, max_edges_per_key: int = DEFAULT_MAX_EDGES_P
     return salted, fan
 
 
-def _relax(frontier: DataFrame, E: DataFrame) -> DataFrame:
-    """Best candidate label per (source, node) from one frontier: ``(source, node, _l, _fan)``."""
+def _keyed(dist, hops, pred, rank: int):
+    # rank 0 = label already in the state, 1 = candidate: on equal labels the
+    # old one wins, so only a strictly better candidate counts as a change
+    return F.struct(dist.cast("double").alias("dist"), hops.cast("long").alias("hops"),
+                    pred.cast("long").alias("pred"), F.lit(rank).alias("rank"))
+
+
+def _step(state: DataFrame, frontier: DataFrame, E: DataFrame) -> DataFrame:
+    """One relaxation round: the next state ``(source, node, l, fanout, changed)``.
+
+    Candidates (frontier x out-edges) and the current labels go through a
+    single ``min`` aggregation per (source, node): map-side partials cut
+    the candidates down before the one shuffle of the round.
+    """
     f = frontier.select("source", "node", "l",
                         F.explode(F.sequence(F.lit(0), F.col("fanout") - 1)).alias("salt"))
     cand = f.join(E, (F.col("node") == F.col("e_src")) & (F.col("salt") == F.col("e_salt"))).select(
         "source", F.col("e_dst").alias("node"),
-        _label(F.col("l.dist") + F.col("e_w"), F.col("l.hops") + 1, F.col("e_src")).alias("l"),
+        _keyed(F.col("l.dist") + F.col("e_w"), F.col("l.hops") + 1, F.col("e_src"), 1).alias("k"),
         F.col("e_fan").alias("fanout"))
-    return cand.groupBy("source", "node").agg(F.min("l").alias("_l"), F.max("fanout").alias("_fan"))
-
-
-def _merge(state: DataFrame, best: DataFrame) -> DataFrame:
-    """Full outer join of state and candidates; ``changed`` marks the next frontier."""
-    better = F.col("_l").isNotNull() & (F.col("l").isNull() | (F.col("_l") < F.col("l")))
-    return state.join(best, ["source", "node"], "full").select(
-        "source", "node",
-        F.when(better, F.col("_l")).otherwise(F.col("l")).alias("l"),
-        F.coalesce(F.col("fanout"), F.col("_fan")).alias("fanout"),
-        better.alias("changed"))
+    old = state.select("source", "node",
+                       _keyed(F.col("l.dist"), F.col("l.hops"), F.col("l.pred"), 0).alias("k"), "fanout")
+    best = old.unionByName(cand).groupBy("source", "node").agg(
+        F.min("k").alias("k"), F.max("fanout").alias("fanout"))
+    return best.select("source", "node",
+                       _label(F.col("k.dist"), F.col("k.hops"), F.col("k.pred")).alias("l"),
+                       "fanout", (F.col("k.rank") == 1).alias("changed"))
 
 
 def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "source",
@@ -106,7 +115,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
     checkpointed final labels.
 
     The state ``(source, node, l, fanout, changed)`` is rewritten once per
-    round by a full outer join with the round's candidates and written as a
+    round by one aggregation over state and candidates and written as a
     Parquet table in the checkpoint folder (one job per round; the count of
     improved labels is observed during the write), so every round plans
     against flat file scans; the rows with ``changed`` set are the next
@@ -135,8 +144,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
         if changed <= broadcast_frontier_rows:
             # the count of the round before proves the frontier is small
             frontier = F.broadcast(frontier)
-        best = _relax(frontier, E)
-        state, m = rounds_out.write(_merge(state, best), changed=F.count_if(F.col("changed")))
+        state, m = rounds_out.write(_step(state, frontier, E), changed=F.count_if(F.col("changed")))
         changed = m["changed"]
         trace(f"sssp: round {rounds}: {changed} labels improved")
     return state.select("source", "node", F.col("l.dist").alias("dist"),
