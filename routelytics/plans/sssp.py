@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routelytics.session import RoundTables, checkpoint_dir, persist, scratch_table, trace
+from routelytics.session import RoundTables, checkpoint_dir, persist, trace
 
 DEFAULT_MAX_EDGES_PER_KEY = 50_000
 # A frontier at most this many rows (known from the previous round's count)
@@ -58,13 +58,18 @@ def prepare_edges(edges: DataFrame, max_edges_per_key: int = DEFAULT_MAX_EDGES_P
     fan = (e.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
            .select(F.col("src").alias("node"),
                    F.greatest(F.lit(1), F.ceil(F.col("_deg") / max_edges_per_key)).cast("int").alias("fanout")))
-    fan = scratch_table(fan, "routelytics-fanout")
-    salted = (e.join(fan.select(F.col("node").alias("src"), F.col("fanout").alias("_sf")), "src")
-              .join(fan.select(F.col("node").alias("dst"), F.col("fanout").alias("_df")), "dst", "left")
-              .select(F.col("src").alias("e_src"),
-                      F.pmod(F.xxhash64("dst"), F.col("_sf")).cast("int").alias("e_salt"),
-                      F.col("dst").alias("e_dst"), F.col("weight").alias("e_w"),
-                      F.coalesce(F.col("_df"), F.lit(1)).alias("e_fan")))
+    fan, fm = RoundTables(edges.sparkSession, "routelytics-fanout").write(fan, top=F.max("fanout"))
+    if (fm["top"] or 1) == 1:
+        # no node has more out-edges than one join key may hold: no salting
+        salted = e.select(F.col("src").alias("e_src"), F.lit(0).alias("e_salt"), F.col("dst").alias("e_dst"),
+                          F.col("weight").alias("e_w"), F.lit(1).alias("e_fan"))
+    else:
+        salted = (e.join(fan.select(F.col("node").alias("src"), F.col("fanout").alias("_sf")), "src")
+                  .join(fan.select(F.col("node").alias("dst"), F.col("fanout").alias("_df")), "dst", "left")
+                  .select(F.col("src").alias("e_src"),
+                          F.pmod(F.xxhash64("dst"), F.col("_sf")).cast("int").alias("e_salt"),
+                          F.col("dst").alias("e_dst"), F.col("weight").alias("e_w"),
+                          F.coalesce(F.col("_df"), F.lit(1)).alias("e_fan")))
     salted, m = RoundTables(edges.sparkSession, "routelytics-edges").write(
         salted, low=F.min("e_w"))
     e.unpersist()
