@@ -40,6 +40,9 @@ DEFAULT_MAX_EDGES_PER_KEY = 50_000
 # A frontier at most this many rows (known from the previous round's count)
 # is broadcast to the edge scan; a larger one is shuffled to the salted edges.
 DEFAULT_BROADCAST_FRONTIER_ROWS = 1_000_000
+# A state at most this many rows (counted while the previous round was
+# written) is broadcast to prune candidates before they are aggregated.
+DEFAULT_BROADCAST_STATE_ROWS = 2_000_000
 
 
 def _label(dist, hops, pred):
@@ -85,7 +88,7 @@ def _keyed(dist, hops, pred, rank: int):
                     pred.cast("long").alias("pred"), F.lit(rank).alias("rank"))
 
 
-def _step(state: DataFrame, frontier: DataFrame, E: DataFrame) -> DataFrame:
+def _step(state: DataFrame, frontier: DataFrame, E: DataFrame, prune_with_state: bool = False) -> DataFrame:
     """One relaxation round: the next state ``(source, node, l, fanout, changed)``.
 
     Candidates (frontier x out-edges) and the current labels go through a
@@ -98,6 +101,14 @@ def _step(state: DataFrame, frontier: DataFrame, E: DataFrame) -> DataFrame:
         "source", F.col("e_dst").alias("node"),
         _keyed(F.col("l.dist") + F.col("e_w"), F.col("l.hops") + 1, F.col("e_src"), 1).alias("k"),
         F.col("e_fan").alias("fanout"))
+    if prune_with_state:
+        # the state is proven small: broadcast it and drop, before the sort
+        # aggregation, every candidate that cannot beat the current label
+        cur = F.broadcast(state.select("source", "node", F.col("l").alias("_cur")))
+        cand = (cand.join(cur, ["source", "node"], "left")
+                .where(F.col("_cur").isNull()
+                       | (_label(F.col("k.dist"), F.col("k.hops"), F.col("k.pred")) < F.col("_cur")))
+                .drop("_cur"))
     old = state.select("source", "node",
                        _keyed(F.col("l.dist"), F.col("l.hops"), F.col("l.pred"), 0).alias("k"), "fanout")
     best = old.unionByName(cand).groupBy("source", "node").agg(
@@ -110,7 +121,8 @@ def _step(state: DataFrame, frontier: DataFrame, E: DataFrame) -> DataFrame:
 def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "source",
                    max_edges_per_key: int = DEFAULT_MAX_EDGES_PER_KEY,
                    max_rounds: int | None = None,
-                   broadcast_frontier_rows: int = DEFAULT_BROADCAST_FRONTIER_ROWS) -> DataFrame:
+                   broadcast_frontier_rows: int = DEFAULT_BROADCAST_FRONTIER_ROWS,
+                   broadcast_state_rows: int = DEFAULT_BROADCAST_STATE_ROWS) -> DataFrame:
     """Labels ``(source, node, dist, hops, pred)`` for every node reachable from each source.
 
     ``edges``: ``(src, dst, weight)`` with weight >= 0; ``sources``: a column
@@ -138,7 +150,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
                     F.coalesce(F.col("fanout"), F.lit(1)).alias("fanout"),
                     F.lit(True).alias("changed")))
     rounds_out = RoundTables(spark, "routelytics-sssp")
-    state, m = rounds_out.write(seed, changed=F.count(F.lit(1)))
+    state, m = rounds_out.write(seed, changed=F.count(F.lit(1)), rows=F.count(F.lit(1)))
     changed = m["changed"]
     rounds = 0
     while changed:
@@ -149,7 +161,9 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
         if changed <= broadcast_frontier_rows:
             # the count of the round before proves the frontier is small
             frontier = F.broadcast(frontier)
-        state, m = rounds_out.write(_step(state, frontier, E), changed=F.count_if(F.col("changed")))
+        small_state = m["rows"] <= broadcast_state_rows
+        state, m = rounds_out.write(_step(state, frontier, E, small_state),
+                                    changed=F.count_if(F.col("changed")), rows=F.count(F.lit(1)))
         changed = m["changed"]
         trace(f"sssp: round {rounds}: {changed} labels improved")
     return state.select("source", "node", F.col("l.dist").alias("dist"),

@@ -127,3 +127,8 @@ def test_walk_and_doubling_agree(spark):
     walk = {(r.source, r.destination): (r.path, r.weight) for r in reconstruct(st, pairs, dense_fraction=10.0).collect()}
     jump = {(r.source, r.destination): (r.path, r.weight) for r in reconstruct(st, pairs, dense_fraction=0.0).collect()}
     assert walk == jump and len(walk) == st.count()
+
+
+def test_state_pruning_does_not_change_labels(spark):
+    triples = synth_edges(spark, 25, 20, 6)
+    assert labels(spark, triples, [0, 3], broadcast_state_rows=0) == labels(spark, triples, [0, 3])
