@@ -1,4 +1,4 @@
-"""Session-level helpers: checkpoint folder, lineage cuts, size-checked broadcast."""
+"""Session-level helpers: checkpoint folder, lineage cuts, per-round tables, tracing."""
 
 from __future__ import annotations
 
@@ -10,7 +10,6 @@ import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 
 _TRACE = bool(os.environ.get("ROUTELYTICS_TRACE"))
@@ -78,18 +77,6 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     return df
 
 
-def scratch_table(df: DataFrame, prefix: str) -> DataFrame:
-    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
-
-    Used for inputs that every round of a loop scans: a columnar table with
-    statistics, no lineage, and files any executor can read after a loss.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 class RoundTables:
     """Per-round tables of an iterative operator, written under the checkpoint folder.
 
@@ -123,28 +110,3 @@ def persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def checkpoint_cached(df: DataFrame) -> DataFrame:
-    """Write an already persisted, materialised ``df`` to the checkpoint folder.
-
-    The write reads the cached blocks; the cache is released afterwards and
-    the returned DataFrame reads the checkpoint files.
-    """
-    checkpoint_dir(df.sparkSession)
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it holds at most ``max_rows``.
-
-    Meant for tables that are already persisted or cheap to count; beyond
-    the bound the plain DataFrame is returned and the planner (AQE) picks
-    a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

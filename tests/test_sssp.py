@@ -1,7 +1,5 @@
 """Shortest paths: hand-made graphs, brute force on generated graphs, invariants."""
 
-import heapq  # noqa: F401  (documented alternative; the oracle below is label-correcting)
-
 import pytest
 from pyspark.sql import functions as F
 
