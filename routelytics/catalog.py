@@ -151,6 +151,30 @@ def q_hub_routes(spark, sf):
                     "hops", "path_text")
 
 
+def q_route_shell(spark, sf):
+    """The interactive shell end to end: ``time`` and ``info`` command lines
+    (from purchase and view events) are written as text under the checkpoint
+    folder and run through the Structured Streaming command job; one
+    micro-batch applies all overrides, then answers all route queries."""
+    import os
+    import uuid
+
+    from routelytics.session import checkpoint_dir
+    from routelytics.streaming.commands import command_stream
+
+    fl = _flights(spark, sf)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/routelytics-shell-{uuid.uuid4().hex}"
+    cmds = (D.derived_override_commands(spark, sf).select("value")
+            .unionByName(D.derived_info_commands(spark, sf)))
+    cmds.write.text(os.path.join(root, "in"))
+    q = command_stream(spark, os.path.join(root, "in"), E.route_edges(fl), AP.airport_names(fl),
+                       os.path.join(root, "out"), state_path=os.path.join(root, "state"),
+                       checkpoint_location=os.path.join(root, "stream"))
+    q.awaitTermination()
+    out = spark.read.parquet(os.path.join(root, "out"))
+    return out.select("origin", "dest", _r6(F.col("weight")).alias("weight"), "hops", "path_text")
+
+
 def q_latest_overrides(spark, sf):
     return O.latest_overrides(D.derived_override_events(spark, sf))
 
@@ -217,6 +241,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sssp_predecessors": q_sssp_predecessors,
     "route_queries": q_route_queries,
     "hub_routes": q_hub_routes,
+    "route_shell": q_route_shell,
     "latest_overrides": q_latest_overrides,
     "override_commands": q_override_commands,
     "edges_with_overrides": q_edges_with_overrides,
@@ -376,6 +401,13 @@ def oracle_sql() -> dict[str, str]:
                                recursive=True),
         "hub_routes": _with(_ROUTES_BODY.format(q="hq"),
                             _HUB + "," + _labels_sql("edges", "hq") + _walk_sql("hq"), recursive=True),
+        "route_shell": _with(
+            """select a.name origin, b.name dest, round(st.dist, 6) weight, st.hops, p.path_text
+               from qs q left join st on st.source = q.source and st.node = q.destination
+               left join paths p on p.source = q.source and p.destination = q.destination
+               join names a on a.airport_id = q.source
+               join names b on b.airport_id = q.destination""",
+            _labels_sql("oedges") + _walk_sql("qs"), recursive=True),
         "latest_overrides": _with("select src, dst, weight from lo"),
         "override_commands": _with("select seq, src, dst, weight from ov"),
         "edges_with_overrides": _with(

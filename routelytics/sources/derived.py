@@ -101,6 +101,16 @@ def derived_override_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("weight").cast("long").cast("string")).alias("value"))
 
 
+def derived_info_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The route queries as command text ``info A B`` with airport names."""
+    q = derived_route_queries(spark, sf_dir)
+    sup = table(spark, sf_dir, "supplier")
+    a = sup.select(F.col("s_suppkey").alias("source"), F.col("s_name").alias("a"))
+    b = sup.select(F.col("s_suppkey").alias("destination"), F.col("s_name").alias("b"))
+    return q.join(a, "source").join(b, "destination").select(
+        F.concat_ws(" ", F.lit("info"), "a", "b").alias("value"))
+
+
 def derived_route_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Route queries ``(source, destination)`` from ``view`` events, deduplicated."""
     ev = table(spark, sf_dir, "events").where(F.col("event_type") == "view")
