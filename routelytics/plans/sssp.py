@@ -43,6 +43,12 @@ DEFAULT_BROADCAST_FRONTIER_ROWS = 1_000_000
 # A state at most this many rows (counted while the previous round was
 # written) is broadcast to prune candidates before they are aggregated.
 DEFAULT_BROADCAST_STATE_ROWS = 2_000_000
+# Work budget of one round, in candidate rows (frontier rows x mean
+# out-degree).  A larger pending set is relaxed nearest-first over several
+# rounds (adaptive distance buckets, as in delta-stepping); nothing is
+# dropped, the order only saves relaxations that a shorter label would undo.
+DEFAULT_MAX_CANDIDATES_PER_ROUND = 100_000_000
+BUCKET_QUANTILES = (0.0, 0.001, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7)
 
 
 def _label(dist, hops, pred):
@@ -61,7 +67,8 @@ def prepare_edges(edges: DataFrame, max_edges_per_key: int = DEFAULT_MAX_EDGES_P
     fan = (e.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
            .select(F.col("src").alias("node"),
                    F.greatest(F.lit(1), F.ceil(F.col("_deg") / max_edges_per_key)).cast("int").alias("fanout")))
-    fan, fm = RoundTables(edges.sparkSession, "routelytics-fanout").write(fan, top=F.max("fanout"))
+    fan, fm = RoundTables(edges.sparkSession, "routelytics-fanout").write(
+        fan, top=F.max("fanout"), nodes=F.count(F.lit(1)))
     if (fm["top"] or 1) == 1:
         # no node has more out-edges than one join key may hold: no salting
         salted = e.select(F.col("src").alias("e_src"), F.lit(0).alias("e_salt"), F.col("dst").alias("e_dst"),
@@ -74,11 +81,12 @@ def prepare_edges(edges: DataFrame, max_edges_per_key: int = DEFAULT_MAX_EDGES_P
                           F.col("dst").alias("e_dst"), F.col("weight").alias("e_w"),
                           F.coalesce(F.col("_df"), F.lit(1)).alias("e_fan")))
     salted, m = RoundTables(edges.sparkSession, "routelytics-edges").write(
-        salted, low=F.min("e_w"))
+        salted, low=F.min("e_w"), rows=F.count(F.lit(1)))
     e.unpersist()
     if m["low"] is not None and m["low"] < 0:
         raise ValueError("shortest_paths needs non-negative edge weights")
-    return salted, fan
+    avg_degree = (m["rows"] or 0) / max(1, fm["nodes"] or 0)
+    return salted, fan, avg_degree
 
 
 def _keyed(dist, hops, pred, rank: int):
@@ -88,7 +96,8 @@ def _keyed(dist, hops, pred, rank: int):
                     pred.cast("long").alias("pred"), F.lit(rank).alias("rank"))
 
 
-def _step(state: DataFrame, frontier: DataFrame, E: DataFrame, prune_with_state: bool = False) -> DataFrame:
+def _step(state: DataFrame, frontier: DataFrame, E: DataFrame, still_pending,
+          prune_with_state: bool = False) -> DataFrame:
     """One relaxation round: the next state ``(source, node, l, fanout, changed)``.
 
     Candidates (frontier x out-edges) and the current labels go through a
@@ -110,19 +119,22 @@ def _step(state: DataFrame, frontier: DataFrame, E: DataFrame, prune_with_state:
                        | (_label(F.col("k.dist"), F.col("k.hops"), F.col("k.pred")) < F.col("_cur")))
                 .drop("_cur"))
     old = state.select("source", "node",
-                       _keyed(F.col("l.dist"), F.col("l.hops"), F.col("l.pred"), 0).alias("k"), "fanout")
-    best = old.unionByName(cand).groupBy("source", "node").agg(
-        F.min("k").alias("k"), F.max("fanout").alias("fanout"))
+                       _keyed(F.col("l.dist"), F.col("l.hops"), F.col("l.pred"), 0).alias("k"), "fanout",
+                       still_pending.alias("keep"))
+    best = old.unionByName(cand.withColumn("keep", F.lit(False))).groupBy("source", "node").agg(
+        F.min("k").alias("k"), F.max("fanout").alias("fanout"), F.max("keep").alias("keep"))
+    # pending: improved in this round, or waiting for a later bucket
     return best.select("source", "node",
                        _label(F.col("k.dist"), F.col("k.hops"), F.col("k.pred")).alias("l"),
-                       "fanout", (F.col("k.rank") == 1).alias("changed"))
+                       "fanout", ((F.col("k.rank") == 1) | F.col("keep")).alias("changed"))
 
 
 def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "source",
                    max_edges_per_key: int = DEFAULT_MAX_EDGES_PER_KEY,
                    max_rounds: int | None = None,
                    broadcast_frontier_rows: int = DEFAULT_BROADCAST_FRONTIER_ROWS,
-                   broadcast_state_rows: int = DEFAULT_BROADCAST_STATE_ROWS) -> DataFrame:
+                   broadcast_state_rows: int = DEFAULT_BROADCAST_STATE_ROWS,
+                   max_candidates_per_round: int = DEFAULT_MAX_CANDIDATES_PER_ROUND) -> DataFrame:
     """Labels ``(source, node, dist, hops, pred)`` for every node reachable from each source.
 
     ``edges``: ``(src, dst, weight)`` with weight >= 0; ``sources``: a column
@@ -141,35 +153,58 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
     spark = edges.sparkSession
     checkpoint_dir(spark)
     trace("sssp: prepare edges")
-    E, fan = prepare_edges(edges, max_edges_per_key)
-    trace("sssp: edges ready")
+    E, fan, avg_degree = prepare_edges(edges, max_edges_per_key)
+    trace(f"sssp: edges ready, mean out-degree {avg_degree:.1f}")
+    budget_rows = max(1, int(max_candidates_per_round / max(avg_degree, 1.0)))
     src = sources.select(F.col(source_col).cast("long").alias("source")).distinct()
     seed = (src.join(fan, src.source == fan.node, "left")
             .select("source", F.col("source").alias("node"),
                     _label(F.lit(0.0), F.lit(0), F.lit(None)).alias("l"),
                     F.coalesce(F.col("fanout"), F.lit(1)).alias("fanout"),
                     F.lit(True).alias("changed")))
+    pending_dist = F.when(F.col("changed"), F.col("l.dist"))
+    metrics = dict(changed=F.count_if(F.col("changed")), rows=F.count(F.lit(1)),
+                   q=F.percentile_approx(pending_dist, list(BUCKET_QUANTILES), 10000))
     rounds_out = RoundTables(spark, "routelytics-sssp")
-    state, m = rounds_out.write(seed, changed=F.count(F.lit(1)), rows=F.count(F.lit(1)))
-    changed = m["changed"]
+    state, m = rounds_out.write(seed, **metrics)
     rounds = 0
-    while changed:
+    while m["changed"]:
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"shortest_paths did not settle in {max_rounds} rounds")
-        frontier = state.where("changed")
-        if changed <= broadcast_frontier_rows:
-            # the count of the round before proves the frontier is small
+        pending = F.col("changed")
+        if m["changed"] <= budget_rows:
+            take, keep, bound = pending, F.lit(False), None
+        else:
+            # relax the nearest pending labels first (those most likely
+            # final); the rest stays pending for the next rounds
+            bound = _bucket_bound(m["q"], m["changed"], budget_rows)
+            take = pending & (F.col("l.dist") <= F.lit(bound))
+            keep = pending & (F.col("l.dist") > F.lit(bound))
+        frontier = state.where(take)
+        if m["changed"] <= broadcast_frontier_rows:
+            # the pending count of the round before bounds the frontier
             frontier = F.broadcast(frontier)
         small_state = m["rows"] <= broadcast_state_rows
-        state, m = rounds_out.write(_step(state, frontier, E, small_state),
-                                    changed=F.count_if(F.col("changed")), rows=F.count(F.lit(1)))
-        changed = m["changed"]
-        trace(f"sssp: round {rounds}: {changed} labels improved")
+        state, m = rounds_out.write(_step(state, frontier, E, keep, small_state), **metrics)
+        trace(f"sssp: round {rounds}: bound {bound}, {m['changed']} labels pending")
     return state.select("source", "node", F.col("l.dist").alias("dist"),
                         F.col("l.hops").alias("hops"), F.col("l.pred").alias("pred"))
 
 
+def _bucket_bound(quantiles, pending: int, budget_rows: int) -> float:
+    """Largest observed quantile of pending distances whose share fits the budget.
+
+    Quantile 0 (the smallest pending distance) always qualifies, so every
+    round relaxes at least one label.
+    """
+    bound = quantiles[0]
+    for share, value in zip(BUCKET_QUANTILES, quantiles):
+        if share * pending <= budget_rows and value is not None:
+            bound = value
+    return bound
+
+
 def distance_to(state: DataFrame, node: int) -> DataFrame:
     """``(source, dist)`` of one node in a label table (F2); no row if unreachable."""
     return state.where(F.col("node") == F.lit(node)).select("source", "dist")

@@ -130,3 +130,17 @@ def test_walk_and_doubling_agree(spark):
 def test_state_pruning_does_not_change_labels(spark):
     triples = synth_edges(spark, 25, 20, 6)
     assert labels(spark, triples, [0, 3], broadcast_state_rows=0) == labels(spark, triples, [0, 3])
+
+
+def test_nearest_first_buckets_give_same_labels(spark):
+    """A tiny work budget forces many nearest-first rounds; labels must not change."""
+    triples = synth_edges(spark, 30, 20, 8)
+    sources = [0, 4, 9]
+    bucketed = labels(spark, triples, sources, max_candidates_per_round=20)
+    want = {}
+    for s in sources:
+        want.update({(s, k): v for k, v in brute_labels(triples, s).items()})
+    assert bucketed.keys() == want.keys()
+    for k in want:
+        assert bucketed[k][1:] == want[k][1:] and bucketed[k][0] == pytest.approx(want[k][0], rel=1e-12), k
+    assert bucketed == labels(spark, triples, sources)
