@@ -15,8 +15,15 @@ before):
    which keeps the better label and flags the rows that improved: they are
    the next frontier.
 
-The loop stops when a frontier is empty; weights must be >= 0, so this
-takes at most |V| rounds.  The state is written to the session's reliable
+Order: when the pending labels would produce more candidates than a
+round's work budget, only the nearest ones (distance up to an approximate
+quantile observed while the previous round was written) are relaxed; the
+rest stays pending.  Any order reaches the same fixpoint, and nearest-first
+saves the relaxations that a shorter label would later undo (the idea of
+delta-stepping, with buckets sized from the data).  Small frontiers are
+relaxed whole, as plain Bellman-Ford rounds.
+
+The loop stops when no label is pending; weights must be >= 0.  The state is written to the session's reliable
 checkpoint folder every round: the plan of a round is always a few flat
 file scans (a cached DataFrame would carry, and re-plan, the whole plan of
 every earlier round), and a lost executor re-reads files instead of
