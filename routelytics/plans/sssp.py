@@ -126,14 +126,18 @@ def _step(state: DataFrame, frontier: DataFrame, E: DataFrame, still_pending,
                        | (_label(F.col("k.dist"), F.col("k.hops"), F.col("k.pred")) < F.col("_cur")))
                 .drop("_cur"))
     old = state.select("source", "node",
-                       _keyed(F.col("l.dist"), F.col("l.hops"), F.col("l.pred"), 0).alias("k"), "fanout",
-                       still_pending.alias("keep"))
+                       _keyed(F.col("l.dist"), F.col("l.hops"), F.col("l.pred"), 0).alias("k"), "fanout")
+    label = _label(F.col("k.dist"), F.col("k.hops"), F.col("k.pred")).alias("l")
+    improved = F.col("k.rank") == 1
+    if still_pending is None:
+        best = old.unionByName(cand).groupBy("source", "node").agg(
+            F.min("k").alias("k"), F.max("fanout").alias("fanout"))
+        return best.select("source", "node", label, "fanout", improved.alias("changed"))
+    old = old.withColumn("keep", still_pending)
     best = old.unionByName(cand.withColumn("keep", F.lit(False))).groupBy("source", "node").agg(
         F.min("k").alias("k"), F.max("fanout").alias("fanout"), F.max("keep").alias("keep"))
     # pending: improved in this round, or waiting for a later bucket
-    return best.select("source", "node",
-                       _label(F.col("k.dist"), F.col("k.hops"), F.col("k.pred")).alias("l"),
-                       "fanout", ((F.col("k.rank") == 1) | F.col("keep")).alias("changed"))
+    return best.select("source", "node", label, "fanout", (improved | F.col("keep")).alias("changed"))
 
 
 def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "source",
@@ -170,18 +174,18 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
                     F.coalesce(F.col("fanout"), F.lit(1)).alias("fanout"),
                     F.lit(True).alias("changed")))
     pending_dist = F.when(F.col("changed"), F.col("l.dist"))
-    metrics = dict(changed=F.count_if(F.col("changed")), rows=F.count(F.lit(1)),
-                   q=F.percentile_approx(pending_dist, list(BUCKET_QUANTILES), 10000))
+    counts = dict(changed=F.count_if(F.col("changed")), rows=F.count(F.lit(1)))
+    with_quantiles = dict(counts, q=F.percentile_approx(pending_dist, list(BUCKET_QUANTILES), 10000))
     rounds_out = RoundTables(spark, "routelytics-sssp")
-    state, m = rounds_out.write(seed, **metrics)
+    state, m = rounds_out.write(seed, **counts)
     rounds = 0
     while m["changed"]:
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"shortest_paths did not settle in {max_rounds} rounds")
         pending = F.col("changed")
-        if m["changed"] <= budget_rows:
-            take, keep, bound = pending, F.lit(False), None
+        if m["changed"] <= budget_rows or "q" not in m:
+            take, keep, bound = pending, None, None
         else:
             # relax the nearest pending labels first (those most likely
             # final); the rest stays pending for the next rounds
@@ -193,6 +197,9 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
             # the pending count of the round before bounds the frontier
             frontier = F.broadcast(frontier)
         small_state = m["rows"] <= broadcast_state_rows
+        # distance quantiles are observed only once the state could outgrow
+        # the budget; without them a round relaxes every pending label
+        metrics = with_quantiles if 2 * m["rows"] > budget_rows else counts
         state, m = rounds_out.write(_step(state, frontier, E, keep, small_state), **metrics)
         trace(f"sssp: round {rounds}: bound {bound}, {m['changed']} labels pending")
     return state.select("source", "node", F.col("l.dist").alias("dist"),
