@@ -125,15 +125,17 @@ def _step(state: DataFrame, frontier: DataFrame, E: DataFrame, still_pending,
                 .where(F.col("_cur").isNull()
                        | (_label(F.col("k.dist"), F.col("k.hops"), F.col("k.pred")) < F.col("_cur")))
                 .drop("_cur"))
-    old = state.select("source", "node",
-                       _keyed(F.col("l.dist"), F.col("l.hops"), F.col("l.pred"), 0).alias("k"), "fanout")
+    old_cols = ["source", "node", _keyed(F.col("l.dist"), F.col("l.hops"), F.col("l.pred"), 0).alias("k"),
+                "fanout"]
+    if still_pending is not None:
+        old_cols.append(still_pending.alias("keep"))
+    old = state.select(*old_cols)
     label = _label(F.col("k.dist"), F.col("k.hops"), F.col("k.pred")).alias("l")
     improved = F.col("k.rank") == 1
     if still_pending is None:
         best = old.unionByName(cand).groupBy("source", "node").agg(
             F.min("k").alias("k"), F.max("fanout").alias("fanout"))
         return best.select("source", "node", label, "fanout", improved.alias("changed"))
-    old = old.withColumn("keep", still_pending)
     best = old.unionByName(cand.withColumn("keep", F.lit(False))).groupBy("source", "node").agg(
         F.min("k").alias("k"), F.max("fanout").alias("fanout"), F.max("keep").alias("keep"))
     # pending: improved in this round, or waiting for a later bucket
