@@ -6,8 +6,8 @@ kept label is the cheapest path, then the one with fewest hops, then the
 smallest predecessor id (Decision D5d); a zero-weight cycle can never
 improve a label because it adds hops.
 
-Each round relaxes only the frontier (labels improved in the round
-before):
+Each round relaxes only the frontier (pending labels: improved in an
+earlier round and not yet relaxed since):
 
 1. frontier x out-edges (equi-join on node = src) gives candidates;
 2. candidates and current labels are reduced together per (source, node)
@@ -23,11 +23,11 @@ saves the relaxations that a shorter label would later undo (the idea of
 delta-stepping, with buckets sized from the data).  Small frontiers are
 relaxed whole, as plain Bellman-Ford rounds.
 
-The loop stops when no label is pending; weights must be >= 0.  The state is written to the session's reliable
-checkpoint folder every round: the plan of a round is always a few flat
-file scans (a cached DataFrame would carry, and re-plan, the whole plan of
-every earlier round), and a lost executor re-reads files instead of
-replaying earlier rounds.
+The loop stops when no label is pending; weights must be >= 0.  The state
+is written as a Parquet table under the session's checkpoint folder every
+round: the plan of a round is always a few flat file scans (a cached
+DataFrame would carry, and re-plan, the whole plan of every earlier round),
+and a lost executor re-reads files instead of replaying earlier rounds.
 
 Skew: a hub holding a third of all edges would make one join key hold a
 third of every round's work.  Each node's out-edges are split into
