@@ -175,6 +175,19 @@ def _distance(d: int):
     return out
 
 
+_SALTS = 16
+
+
+def _salted(x: DataFrame) -> DataFrame:
+    return x.withColumn("salt", F.pmod(F.xxhash64("x0", "x1"), F.lit(_SALTS)).cast("int"))
+
+
+def _by_salt(small: DataFrame) -> DataFrame:
+    """One copy per salt: where the estimates are too many to be broadcast, a
+    hot group's rows still meet them in several tasks and are summed in two steps."""
+    return small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+
+
 def fit_mcd(x: DataFrame, d: int, p: QualityParams) -> DataFrame:
     """One estimate per ``grp`` of ``x`` (grp, x0..): location m*, precision p*, size."""
     rounds = RoundTables(x.sparkSession, "mcd")
@@ -188,13 +201,14 @@ def fit_mcd(x: DataFrame, d: int, p: QualityParams) -> DataFrame:
     est, _ = rounds.write(start.select("grp", "n_grp", *cols))
     invert, schema = _invert(d, p)
     for _ in range(p.steps):
-        near = x.join(est, "grp").withColumn("dist", _distance(d))
-        cut = near.groupBy("grp").agg(F.percentile_approx("dist", p.subset, 1000).alias("cut"))
-        low = F.col("dist") <= F.col("cut")
+        dist = _salted(x).join(_by_salt(est), ["grp", "salt"]).select("grp", _distance(d).alias("dist"))
+        cut = dist.groupBy("grp").agg(F.percentile_approx("dist", p.subset, 1000).alias("cut"))
+        cut, _ = rounds.write(est.join(cut, "grp"))
+        low = _distance(d) <= F.col("cut")
         sums = [F.sum(F.when(low, F.col(f"x{i}")).otherwise(0.0)).alias(f"s{i}") for i in range(d)]
         sums += [F.sum(F.when(low, F.col(f"x{i}") * F.col(f"x{j}")).otherwise(0.0)).alias(f"s{i}_{j}")
                  for i in range(d) for j in range(i, d)]
-        moments = near.join(cut, "grp").groupBy("grp").agg(
+        moments = _salted(x).join(_by_salt(cut), ["grp", "salt"]).groupBy("grp").agg(
             F.count(F.lit(1)).alias("n_all"), F.sum(low.cast("long")).alias("n_sub"), *sums)
         est, _ = rounds.write(moments.mapInPandas(invert, schema))
     return est
@@ -216,7 +230,8 @@ def judge(counts: DataFrame, names: DataFrame, est: DataFrame, p: QualityParams
     d = len(_vector(p))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     far = (F.col("n_grp") >= p.min_group) & (F.col("distance") > p.cutoff)
-    return (_with_vector(counts, names, p).join(est, "grp", "left").withColumn("distance", _distance(d))
+    salted = _salted(_with_vector(counts, names, p))
+    return (salted.join(_by_salt(est), ["grp", "salt"], "left").withColumn("distance", _distance(d))
             .withColumn("base_failed", failed)
             .withColumn("kept", ~failed & ~F.coalesce(far, F.lit(False)))
             .select(*counts.columns, "grp", "distance", "base_failed", "kept"))

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from routelytics.llm import quality_rules
+from routelytics.llm import near_dedup, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,8 +21,32 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(_table(spark, sf_dir, "documents"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
+    "op9_near_dedup": op9_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_OP9_SQL = r"""
+with recursive
+toks as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+sets as (select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+           else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) s from toks),
+-- documents of one set stand for each other
+classes as (select min(doc_id) rep, s from sets where len(s) > 0 group by s),
+grams as (select rep, len(s) n, unnest(s) g from classes),
+links as (select a.rep a, b.rep b from grams a join grams b on a.g = b.g and a.rep < b.rep
+          group by a.rep, b.rep, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+both as (select a, b from links union select b, a from links),
+walk as (select rep a, rep b from classes union select w.a, t.b from walk w join both t on t.a = w.b),
+least as (select a rep, min(b) component from walk group by a)
+select d.doc_id, cast(len(d.s) as bigint) n_shingles, coalesce(l.component, d.doc_id) component_id,
+       d.doc_id = coalesce(l.component, d.doc_id) kept
+from sets d left join classes c on c.s = d.s left join least l on l.rep = c.rep
+"""
+
+ORACLE_SQL: dict[str, str] = {"op9_near_dedup": _OP9_SQL}
