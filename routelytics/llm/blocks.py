@@ -41,16 +41,23 @@ def text_blocks(batches: Iterator[pa.RecordBatch], block_chars: int) -> Iterator
 
 def map_texts(df: DataFrame, make: Callable[[], Callable[[list[str]], list]], added: StructType,
               keep: list[str], text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``keep`` columns of ``df`` plus ``added`` columns computed from its texts.
+    """``keep`` columns of ``df`` (the text last) plus ``added`` columns computed from its texts.
 
     ``make()`` runs once per task and returns a function from a list of texts
     to one list or Arrow array per added column.  Columns of ``df`` that are
     not kept never reach Python, so extra columns cannot clash.
     """
-    src = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias("__text"))
-    out = StructType([StructField(f.name, f.dataType, True) for f in src.schema.fields[:-1]] + list(added.fields))
+    # the text goes last; one that is kept is not sent twice
+    kept = [c for c in keep if c != text_col]
+    src = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").cast("string").alias("__text"))
+    fields = [StructField(f.name, f.dataType, True) for f in src.schema.fields]
+    if len(kept) == len(keep):
+        fields = fields[:-1]
+    else:
+        fields[-1] = StructField(text_col, fields[-1].dataType, True)
+    k = len(fields)
+    out = StructType(fields + list(added.fields))
     arrow = to_arrow_schema(out)
-    k = len(keep)
 
     def run(batches):
         f = make()
