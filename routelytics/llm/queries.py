@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from routelytics.llm import decontaminate, near_dedup, quality_rules
+from routelytics.llm import decontaminate, near_dedup, pii, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(_table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(_table(spark, sf_dir, "documents"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.digest(_table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op4_quality_rules": op4_quality_rules,
+    "op5_pii": op5_pii,
     "op9_near_dedup": op9_near_dedup,
 }
 
