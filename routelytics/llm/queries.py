@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from routelytics.llm import byte_bpe, decontaminate, near_dedup, pii, quality_rules, token_counts
+from routelytics.llm import byte_bpe, decontaminate, near_dedup, pii, quality_rules, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.digest(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
     "op5_pii": op5_pii,
+    "op6_toxicity": op6_toxicity,
     "op9_near_dedup": op9_near_dedup,
 }
 
