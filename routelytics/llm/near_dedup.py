@@ -12,9 +12,9 @@ Steps, all on representatives of equal sets (exact copies cost one row):
 
 1. A group hash that no other text has cannot take part in any table, so
    table keys are formed only from groups that collide.
-2. Each table's members are paired with its least member; pairs whose
-   signatures agree enough are confirmed on the full sets and joined into
-   components.
+2. Each table's members are paired with its least member (a star).  In a few
+   rounds every component tries the star pair that shares most tables and
+   leads out of it; it is confirmed on the full sets and joins two components.
 3. Tables that still hold several components pair every member outside the
    largest one with the members of other components, each pair once (in the
    first table it shares), and these are confirmed as well.  So no
@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, ByteType, LongType, StructField, StructType
 
 from routelytics.llm.blocks import map_texts
 from routelytics.llm.components import components
@@ -55,7 +55,10 @@ class NearDupParams:
     seed: int = 20240607
     #: agreeing minhashes that a candidate needs before its sets are compared:
     #: at similarity 0.8, fewer than this share agree with probability 1e-6
-    agree: float = 0.54
+    agree: float = 0.6
+    #: rounds in which every component tries its best star pair, before all
+    #: remaining pairs between components are compared
+    star_rounds: int = 3
 
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -124,13 +127,14 @@ def _signatures(p: NearDupParams):
             def lists(a, kind, dtype):
                 offsets = np.arange(len(texts) + 1, dtype=np.int32) * a.shape[1]
                 return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(a).view(dtype).ravel(), kind))
-            return [pa.array(sizes), keys, lists(sig, pa.int32(), np.int32), lists(g, pa.int64(), np.int64)]
+            # a byte of each minhash is enough to count agreements
+            return [pa.array(sizes), keys, lists(sig.astype(np.uint8), pa.int8(), np.int8), lists(g, pa.int64(), np.int64)]
         return f
     return make
 
 
 _SIGNATURE = StructType([StructField("n_shingles", LongType()), StructField("set_key", BinaryType()),
-                         StructField("sig", ArrayType(IntegerType())), StructField("grp", ArrayType(LongType()))])
+                         StructField("sig", ArrayType(ByteType())), StructField("grp", ArrayType(LongType()))])
 
 
 def _key(hashes: np.ndarray) -> bytes | None:
@@ -188,6 +192,36 @@ def _confirm(pairs: DataFrame, sets: DataFrame, p: NearDupParams) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _best(stars: DataFrame, joined: DataFrame | None, tried: DataFrame | None) -> DataFrame:
+    """For each component the untried star pair, out of it or into it, that shares most tables."""
+    pairs = stars.withColumn("ca", F.col("a")).withColumn("cb", F.col("b"))
+    if joined is not None:
+        for end in "ab":
+            of = joined.select(F.col("node").alias(end), F.col("component").alias("comp"))
+            pairs = pairs.join(of, end, "left").withColumn(f"c{end}", F.coalesce("comp", end)).drop("comp")
+        pairs = pairs.filter("ca <> cb").join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    best = F.max(F.struct("n", (-F.col("b")).alias("later"), "a", "b")).alias("m")
+    picked = pairs.groupBy("ca").agg(best).select("m.a", "m.b")
+    if joined is not None:
+        picked = picked.unionByName(pairs.groupBy("cb").agg(best).select("m.a", "m.b")).distinct()
+    return picked
+
+
+def _across(full: DataFrame, p: NearDupParams, need) -> DataFrame:
+    """Pairs (a, b), a > b, that share a table, are in different components and
+    whose signatures agree enough; each once, at the first table it shares."""
+    x, y = full.filter("comp <> main").alias("x"), full.alias("y")
+
+    def first_shared(lo):
+        half = [F.slice(F.col(f"{s}.grp"), lo + 1, p.groups) for s in "xy"]
+        return F.array_position(F.zip_with(*half, lambda a, b: a == b), True) - 1
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp"))
+                   & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.rep") > F.col("y.rep")))
+                   & (first_shared(0) == F.col("x.ti")) & (first_shared(p.groups) == F.col("x.tj"))
+                   & (_agree(F.col("x.sig"), F.col("y.sig")) >= need))
+    return pairs.select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")).distinct()
+
+
 def classes(docs: DataFrame, params: NearDupParams = NearDupParams(), id_col: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     p = params
@@ -203,11 +237,7 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams(), id_col: st
     buckets, _ = tables.write(_buckets(reps, p))
     shared = buckets.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).filter("pivot < last")
     stars = (buckets.join(shared.select("key", "pivot"), "key").filter("rep <> pivot")
-             .select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct())
-    sig = reps.select("rep", "sig")
-    need = F.lit(int(p.agree * 2 * p.groups * p.rows))
-    stars = (stars.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
-             .filter(_agree("sig_a", "sig_b") >= need).select("a", "b"))
+             .groupBy(F.col("rep").alias("a"), F.col("pivot").alias("b")).agg(F.count(F.lit(1)).alias("n")))
     stars, _ = tables.write(stars)
 
     # full sets of the texts that share a table with another one
@@ -216,33 +246,36 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams(), id_col: st
     texts = docs.select(F.col(f"`{id_col}`").alias("rep"), F.col("text")).join(wanted.hint("shuffle_hash"), "rep")
     sets = map_texts(texts, _full_sets(p), _FULL_SET, ["rep", "set_key"])
     sets, _ = tables.write(sets.filter("set_key = own_key").select("rep", "hashes"))
-    links, _ = tables.write(_confirm(stars, sets, p))
-    joined, _ = tables.write(components(links))
-
-    # tables that still hold several components
-    of = (buckets.join(shared.select("key"), "key", "left_semi").join(joined, buckets.rep == joined.node, "left")
-          .select("key", "ti", "tj", "rep", F.coalesce("component", "rep").alias("comp")))
-    mixed = of.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    of, more = tables.write(of.join(mixed, "key"), n=F.count(F.lit(1)))
-    if more["n"]:
-        sizes = of.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-        main = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m")).select("key", F.col("m.comp").alias("main"))
-        full = of.join(main, "key").join(reps.select("rep", "sig", "grp"), "rep")
-        full, _ = tables.write(full)
-        x, y = full.filter("comp <> main").alias("x"), full.alias("y")
-
-        def first_shared(lo):
-            half = [F.slice(F.col(f"{s}.grp"), lo + 1, p.groups) for s in "xy"]
-            return F.array_position(F.zip_with(*half, lambda a, b: a == b), True) - 1
-        pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp"))
-                       & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.rep") > F.col("y.rep")))
-                       & (first_shared(0) == F.col("x.ti")) & (first_shared(p.groups) == F.col("x.tj"))
-                       & (_agree(F.col("x.sig"), F.col("y.sig")) >= need))
-        pairs = (pairs.select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")).distinct()
-                 .join(stars, ["a", "b"], "left_anti"))
-        late, found = tables.write(_confirm(pairs, sets, p), n=F.count(F.lit(1)))
-        if found["n"]:
-            joined = components(links.unionByName(late))
+
+    links = tried = joined = None
+    for _ in range(p.star_rounds):
+        pairs, picked = tables.write(_best(stars, joined, tried), n=F.count(F.lit(1)))
+        if not picked["n"]:
+            break
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        found, new = tables.write(_confirm(pairs, sets, p), n=F.count(F.lit(1)))
+        if links is None or new["n"]:
+            links = found if links is None else links.unionByName(found)
+            joined, _ = tables.write(components(links))
+    if links is not None:
+        # tables that still hold several components
+        need = F.lit(int(p.agree * 2 * p.groups * p.rows))
+        of = (buckets.join(shared.select("key"), "key", "left_semi").join(joined, buckets.rep == joined.node, "left")
+              .select("key", "ti", "tj", "rep", F.coalesce("component", "rep").alias("comp")))
+        mixed = of.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+        of, more = tables.write(of.join(mixed, "key"), n=F.count(F.lit(1)))
+        if more["n"]:
+            sizes = of.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+            main = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m")).select("key", F.col("m.comp").alias("main"))
+            short = F.transform("grp", lambda g: (g % (1 << 31)).cast("int")).alias("grp")
+            full, _ = tables.write(of.join(main, "key").join(reps.select("rep", "sig", short), "rep"))
+            pairs = _across(full, p, need).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+            pairs, _ = tables.write(pairs)
+            late, found = tables.write(_confirm(pairs, sets, p), n=F.count(F.lit(1)))
+            if found["n"]:
+                joined = components(links.unionByName(late))
+    else:
+        joined = docs.sparkSession.createDataFrame([], "node long, component long")
     out = (rows.join(rep_of, "set_key", "left").join(joined, F.col("rep") == joined.node, "left")
            .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id")))
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
