@@ -48,6 +48,8 @@ class ToxicityParams:
     voters: int = 96
     #: least ratio of a term's shares among toxic and clean documents
     least_ratio: float = 8.0
+    #: least number of toxic documents times the log of that ratio
+    least_evidence: float = 16.0
     stems: tuple = (4, 5, 6, 7)
     em_steps: int = 12
     newton_steps: int = 10
@@ -113,7 +115,7 @@ def lexicon(docs: DataFrame, sample: DataFrame, p: ToxicityParams) -> list[str]:
     scored = []
     for r in toxic:
         ratio = (r.n / n1) / ((clean.get(r.term, 0) + 0.5) / (n0 + 1))
-        if ratio >= p.least_ratio:
+        if ratio >= p.least_ratio and r.n * np.log(ratio) >= p.least_evidence:
             scored.append((r.n * np.log(ratio), len(r.term), r.term))
     chosen: list[str] = []
     for _, _, term in sorted(scored, reverse=True):
