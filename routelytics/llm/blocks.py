@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
-BLOCK_CHARS = 6 << 20
+BLOCK_CHARS = 3 << 20
 
 #: Words of all contracts: runs of anything but space, tab, LF, VT, FF, CR.
 WORD = r"[^\x20\x09-\x0D]+"

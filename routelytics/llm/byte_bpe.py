@@ -36,7 +36,7 @@ from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, Str
 
 from routelytics.llm.blocks import map_texts
 
-BLOCK_CHARS = 24 << 20
+BLOCK_CHARS = 8 << 20
 _SHIFT = 20
 
 

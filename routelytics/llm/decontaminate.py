@@ -47,9 +47,11 @@ class LeakParams:
     #: benchmark characters that one broadcast holds
     block_chars: int = 4 << 20
     #: shared q-grams held at a time in a task
-    most_hits: int = 8_000_000
+    most_hits: int = 2_000_000
 
 
+#: Characters of text a task compares at a time; arrays take about 60 bytes for each.
+BLOCK_CHARS = 1 << 20
 _SEPARATOR = np.uint32(0x110000)
 
 
@@ -319,7 +321,7 @@ def report(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakParam
     out = docs.select("doc_id", "text").withColumn("hits", F.lit(None).cast(_HITS["hits"].dataType))
     for shared in _indexes(docs, benchmark, params):
         found = StructType([StructField("more", _HITS["hits"].dataType)])
-        out = map_texts(out, _finder(shared), found, ["doc_id", "hits", "text"]).select(
+        out = map_texts(out, _finder(shared), found, ["doc_id", "hits", "text"], block_chars=BLOCK_CHARS).select(
             "doc_id", "text", F.concat(F.coalesce("hits", F.array().cast(_HITS["hits"].dataType)), "more").alias("hits"))
     hits = F.coalesce("hits", F.array().cast(_HITS["hits"].dataType))
     return out.select("doc_id", (F.size(hits) > 0).alias("contaminated"),
@@ -334,6 +336,6 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakP
         def make(find=_finder(shared)):
             f = find()
             return lambda texts: [[not h for h in f(texts)[0]]]
-        out = (map_texts(out, make, StructType([StructField("clean", BooleanType())]), ["row", "text"])
+        out = (map_texts(out, make, StructType([StructField("clean", BooleanType())]), ["row", "text"], block_chars=BLOCK_CHARS)
                .filter("clean").select("row", "text"))
     return out.select("row.*")

@@ -35,7 +35,7 @@ from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from routelytics.llm.blocks import map_texts
 
-BLOCK_CHARS = 24 << 20
+BLOCK_CHARS = 8 << 20
 _SHIFT = 20
 #: Lower case where str.lower() differs from code point by code
 #: point (sigma at a word's end) or lags behind the library's Unicode version.

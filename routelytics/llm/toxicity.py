@@ -87,12 +87,12 @@ def _count_terms(sample: DataFrame, stems: tuple, wanted: frozenset | None) -> D
                         terms = _terms(w, stems)
                         if wanted is not None:
                             terms = [x for x in terms if x in wanted]
-                        if len(cache) > 500_000:
+                        if len(cache) > 100_000:
                             cache.clear()
                         cache[w] = terms
                     found.update(terms)
                 total.update(found)
-            if len(total) > 1_000_000:
+            if len(total) > 300_000:
                 yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array(list(total.values()), pa.int64())], names=["term", "n"])
                 total = Counter()
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())],
@@ -142,7 +142,7 @@ def _voter(terms: list[str], p: ToxicityParams):
 
         def voter(w: str) -> int:
             k = next((index[x] for x in _terms(w, p.stems) if x in index), -1)
-            if len(seen) > 1_000_000:
+            if len(seen) > 300_000:
                 seen.clear()
             seen[w] = k
             return k
