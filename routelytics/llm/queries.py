@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from routelytics.llm import byte_bpe, decontaminate, near_dedup, pii, quality_classifier, quality_rules, token_counts, toxicity
+from routelytics.llm import (byte_bpe, decontaminate, lm_scores, near_dedup, pii, quality_classifier, quality_rules,
+                             token_counts, toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +56,10 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.digest(_table(spark, sf_dir, "documents"))
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores.score(_table(spark, sf_dir, "documents"), lm_scores.good_ids(_table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_token_counts": op2_token_counts,
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_quality_classifier": op7_quality_classifier,
     "op9_near_dedup": op9_near_dedup,
+    "op10_lm_scores": op10_lm_scores,
 }
 
 _OP9_SQL = r"""
