@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from routelytics.llm import (byte_bpe, decontaminate, lm_scores, near_dedup, pii, quality_classifier, quality_rules,
-                             token_counts, toxicity)
+                             token_counts, toxicity, warc)
+from routelytics.session import checkpoint_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +53,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(_table(spark, sf_dir, "pages"), checkpoint_dir(spark))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.digest(_table(spark, sf_dir, "documents"))
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii": op5_pii,
     "op6_toxicity": op6_toxicity,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_warc": op8_warc,
     "op9_near_dedup": op9_near_dedup,
     "op10_lm_scores": op10_lm_scores,
 }
@@ -91,4 +97,19 @@ select d.doc_id, cast(len(d.s) as bigint) n_shingles, coalesce(l.component, d.do
 from sets d left join classes c on c.s = d.s left join least l on l.rep = c.rep
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_near_dedup": _OP9_SQL}
+_OP8_SQL = """
+with p as (select page_id, strlen(coalesce(html, '')) payload_bytes, sha1(coalesce(html, '')) x from pages),
+d as (select *, max(page_id) over (partition by x) last,
+             list_transform(range(8), lambda i: cast('0x' || x[i * 5 + 1:i * 5 + 5] as integer)) v from p)
+select page_id, payload_bytes,
+       list_aggregate(list_transform(v, lambda n:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (n // 32768) % 32 + 1, 1)
+        || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (n // 1024) % 32 + 1, 1)
+        || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (n // 32) % 32 + 1, 1)
+        || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', n % 32 + 1, 1)), 'string_agg', '') payload_digest,
+       case when page_id = last then 'response' else 'revisit' end record_type,
+       case when page_id <> last then last end refers_to
+from d
+"""
+
+ORACLE_SQL: dict[str, str] = {"op8_warc": _OP8_SQL, "op9_near_dedup": _OP9_SQL}
