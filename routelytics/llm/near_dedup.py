@@ -59,6 +59,8 @@ class NearDupParams:
     #: rounds in which every component tries its best star pair, before all
     #: remaining pairs between components are compared
     star_rounds: int = 3
+    #: star pairs of a text that these rounds may try
+    star_pairs: int = 4
 
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -238,6 +240,11 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams(), id_col: st
     shared = buckets.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).filter("pivot < last")
     stars = (buckets.join(shared.select("key", "pivot"), "key").filter("rep <> pivot")
              .groupBy(F.col("rep").alias("a"), F.col("pivot").alias("b")).agg(F.count(F.lit(1)).alias("n")))
+    # the stars that share most tables with a text, which has one in each table at most;
+    # pairs left out here are compared at the end, if their ends are not connected by then
+    nearest = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "b"))), 1, p.star_pairs)
+    stars = stars.groupBy("a").agg(nearest.alias("s")).select("a", F.explode("s").alias("s")).select(
+        "a", "s.b", (-F.col("s.n")).alias("n"))
     stars, _ = tables.write(stars)
 
     # full sets of the texts that share a table with another one
