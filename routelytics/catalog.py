@@ -8,6 +8,7 @@ to 6 places on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +20,13 @@ from routelytics.operators import airports as AP
 from routelytics.operators import edges as E
 from routelytics.operators import overrides as O
 from routelytics.operators import words as W
-from routelytics.plans.paths import reconstruct
-from routelytics.plans.sssp import shortest_paths
+from routelytics.plans.paths import reconstruct, route_queries
+from routelytics.plans.sssp import SCALE, distance_to, shortest_paths
 from routelytics.sources import derived as D
-from routelytics.sources.flights import flights_to_lines, parse_flights
+from routelytics.sources.flights import flights_to_lines, parse_flights, read_flights, rejected_flights, write_table
 from routelytics.sources.schema import FLIGHT_COLUMNS
+from routelytics.streaming.commands import command_stream
+from routelytics.session import checkpoint_dir, cut_lineage
 from routelytics.sources.synthetic import synthetic_flights
 
 # Parameters of the registered queries (fixed values shared with the oracles).
@@ -32,6 +35,8 @@ TOP_WORDS = 20             # S7: the original prints the first 20 words
 SYNTH_PCT = 25             # S5: connections per airport in percent of n
 SYNTH_SEED = 7             # S5: seed of the integer mixing
 BLOCK = E.DEFAULT_BLOCK    # M3: source ids per adjacency block
+LOOKUP_NODE = 1            # F2: node whose distance is looked up
+OVERRIDE_ROWS = [(0, 1, 5.0), (2, 2, 0.0), (0, 1, 7.0)]  # S4: overrides from driver values, in order
 
 
 def _r6(c):
@@ -106,73 +111,121 @@ def q_direct_weights(spark, sf):
     return d.select("dst", _r6(F.col("weight")).alias("weight"))
 
 
-def _labels(spark, sf, with_overrides=False):
-    fl = _flights(spark, sf)
-    edges = E.route_edges(fl)
+def _sums(spark, sf):
+    """Flights reduced once and stored: routes, names and the hub come from it."""
+    return cut_lineage(E.route_sums(_flights(spark, sf)))
+
+
+def busiest_airport(sums: DataFrame) -> DataFrame:
+    """One row ``(source)``: the origin with most departing flights, ties by smallest id."""
+    return (sums.groupBy("org_id").agg(F.sum("n").alias("_n")).orderBy(F.desc("_n"), F.asc("org_id")).limit(1)
+            .select(F.col("org_id").alias("source")))
+
+
+def _hub_labels(spark, sf, with_overrides=False):
+    """Labels of every airport from the busiest one (the original solves one source at a time)."""
+    sums = _sums(spark, sf)
+    edges = E.edges_from_sums(sums)
     if with_overrides:
         edges = O.apply_overrides(edges, D.derived_override_events(spark, sf))
-    qs = D.derived_route_queries(spark, sf)
-    return shortest_paths(edges, qs.select("source")), fl, qs
+    return shortest_paths(edges, busiest_airport(sums)), sums
 
 
 def q_sssp_distances(spark, sf):
-    st, _, _ = _labels(spark, sf)
+    st, _ = _hub_labels(spark, sf)
     return st.select("source", "node", _r6(F.col("dist")).alias("dist"), "hops")
 
 
 def q_sssp_predecessors(spark, sf):
-    st, _, _ = _labels(spark, sf)
+    st, _ = _hub_labels(spark, sf)
     return st.select("source", "node", "pred")
 
 
+def q_distance_lookup(spark, sf):
+    st, _ = _hub_labels(spark, sf)
+    return distance_to(st, LOOKUP_NODE).select("source", _r6(F.col("dist")).alias("dist"))
+
+
 def q_route_queries(spark, sf):
-    st, fl, qs = _labels(spark, sf)
-    r = reconstruct(st, qs, AP.airport_names(fl))
+    sums = _sums(spark, sf)
+    r = route_queries(E.edges_from_sums(sums), D.derived_route_queries(spark, sf), AP.airport_names(sums))
     return r.select("source", "destination", "origin", "dest", _r6(F.col("weight")).alias("weight"),
                     "hops", "path_text")
 
 
-def busiest_airport(flights: DataFrame) -> DataFrame:
-    """One row ``(source)``: the origin with most departing flights, ties by smallest id."""
-    return (flights.groupBy("org_id").agg(F.count(F.lit(1)).alias("_n"))
-            .orderBy(F.desc("_n"), F.asc("org_id")).limit(1)
-            .select(F.col("org_id").alias("source")))
-
-
 def q_hub_routes(spark, sf):
     """Shortest route from the busiest airport to every airport (the `info A B` query, all B)."""
-    fl = _flights(spark, sf)
-    names = AP.airport_names(fl)
-    hub = busiest_airport(fl)
-    st = shortest_paths(E.route_edges(fl), hub)
-    pairs = names.select(hub.scalar().alias("source"), F.col("airport_id").alias("destination"))
+    st, sums = _hub_labels(spark, sf)
+    names = AP.airport_names(sums)
+    pairs = names.select(busiest_airport(sums).scalar().alias("source"), F.col("airport_id").alias("destination"))
     r = reconstruct(st, pairs, names)
     return r.select("source", "destination", "origin", "dest", _r6(F.col("weight")).alias("weight"),
                     "hops", "path_text")
 
 
-def q_route_shell(spark, sf):
-    """The interactive shell end to end: ``time`` and ``info`` command lines
-    (from purchase and view events) are written as text under the checkpoint
-    folder and run through the Structured Streaming command job; one
-    micro-batch applies all overrides, then answers all route queries."""
-    import os
-    import uuid
+def _new_folder(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
-    from routelytics.session import checkpoint_dir
-    from routelytics.streaming.commands import command_stream
 
-    fl = _flights(spark, sf)
-    root = f"{checkpoint_dir(spark).rstrip('/')}/routelytics-shell-{uuid.uuid4().hex}"
-    cmds = (D.derived_override_commands(spark, sf).select("value")
-            .unionByName(D.derived_info_commands(spark, sf)))
-    cmds.write.text(os.path.join(root, "in"))
-    q = command_stream(spark, os.path.join(root, "in"), E.route_edges(fl), AP.airport_names(fl),
-                       os.path.join(root, "out"), state_path=os.path.join(root, "state"),
-                       checkpoint_location=os.path.join(root, "stream"))
+def q_route_shell(spark, sf):
+    """The interactive shell end to end: numbered ``time`` and ``info`` lines
+    (from purchase and view events), dealt over several files in no order,
+    run through the Structured Streaming command job.  Half of the queries
+    are asked half way through the overrides, half at their end."""
+    root = _new_folder(spark, "routelytics-shell")
+    cmds = D.derived_override_commands(spark, sf).select("seq", "value").unionByName(D.derived_info_commands(spark, sf))
+    lines = cmds.select(F.concat_ws(" ", F.col("seq").cast("string"), "value").alias("value"))
+    lines.repartition(3).write.text(f"{root}/in")
+    sums = _sums(spark, sf)
+    q = command_stream(spark, f"{root}/in", E.edges_from_sums(sums), AP.airport_names(sums),
+                       f"{root}/out", f"{root}/state", f"{root}/stream")
     q.awaitTermination()
-    out = spark.read.parquet(os.path.join(root, "out"))
-    return out.select("origin", "dest", _r6(F.col("weight")).alias("weight"), "hops", "path_text")
+    out = spark.read.parquet(f"{root}/out/answers")
+    return out.select("seq", "origin", "dest", _r6(F.col("weight")).alias("weight"), "hops", "path_text")
+
+
+def q_flights_from_text(spark, sf):
+    """Flight lines written as text files, scanned and parsed, stored as a table and read back."""
+    root = _new_folder(spark, "routelytics-flights")
+    flights_to_lines(_flights(spark, sf)).write.text(f"{root}/lines")
+    write_table(read_flights(spark, f"{root}/lines"), f"{root}/table")
+    return spark.read.parquet(f"{root}/table")
+
+
+def q_rejected_flights(spark, sf):
+    """Good flight lines mixed with lines that are no flights: the latter."""
+    ev = D.table(spark, sf, "events")
+    bad = ev.select(F.concat_ws(",", F.col("event_id").cast("string"), "event_type").alias("value"))
+    return rejected_flights(flights_to_lines(_flights(spark, sf)).unionByName(bad))
+
+
+def q_rejected_override_commands(spark, sf):
+    """Override commands mixed with other commands: the latter."""
+    cmds = D.derived_override_commands(spark, sf).select("seq", "value").unionByName(D.derived_info_commands(spark, sf))
+    return O.rejected_override_commands(cmds, AP.airport_names(_flights(spark, sf)))
+
+
+def q_ambiguous_airports(spark, sf):
+    """Origins named by zone, so ids have two names and zones several ids."""
+    fl = _flights(spark, sf).withColumn("origin", F.concat(F.lit("Zone"), (F.col("org_id") % 10).cast("string")))
+    return AP.ambiguous_airports(fl)
+
+
+def q_edge_lookup(spark, sf):
+    edges = E.edges_from_sums(_sums(spark, sf))
+    got = E.edge_weight(edges, D.derived_route_queries(spark, sf), "source", "destination")
+    return got.select("source", "destination", _r6(F.col("weight")).alias("weight"))
+
+
+def q_transposed_edges(spark, sf):
+    e = E.transpose(E.route_edges(_flights(spark, sf)))
+    return e.select("src", "dst", _r6(F.col("weight")).alias("weight"), "n_flights")
+
+
+def q_edges_with_override_rows(spark, sf):
+    """The route graph with overrides given as driver values."""
+    e = O.apply_overrides(E.route_edges(_flights(spark, sf)), O.override_rows(spark, OVERRIDE_ROWS))
+    return e.select("src", "dst", _r6(F.col("weight")).alias("weight"), "overridden")
 
 
 def q_latest_overrides(spark, sf):
@@ -190,9 +243,8 @@ def q_edges_with_overrides(spark, sf):
 
 
 def q_sssp_with_overrides(spark, sf):
-    st, _, _ = _labels(spark, sf, with_overrides=True)
-    return st.select("source", "node", _r6(F.col("dist")).alias("dist"), "hops",
-                     F.col("pred"))
+    st, _ = _hub_labels(spark, sf, with_overrides=True)
+    return st.select("source", "node", _r6(F.col("dist")).alias("dist"), "hops", "pred")
 
 
 def q_word_count_ws(spark, sf):
@@ -213,14 +265,19 @@ def q_top_words_ws(spark, sf):
     return t.select(F.col("rank").cast("long").alias("rank"), "word", "count")
 
 
+def _supplier_nodes(spark, sf):
+    """Airports of the generated graph: suppliers, placed by their balance and nation."""
+    sup = D.table(spark, sf, "supplier")
+    return sup.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
+                      (F.floor(F.col("s_acctbal")) + 1000).alias("x"), (F.col("s_nationkey") * 100).alias("y"))
+
+
 def q_synthetic_flights(spark, sf):
-    n = D.supplier_count(spark, sf)
-    return synthetic_flights(spark, n, SYNTH_PCT, SYNTH_SEED)
+    return synthetic_flights(_supplier_nodes(spark, sf), SYNTH_PCT, SYNTH_SEED)
 
 
 def q_synthetic_route_edges(spark, sf):
-    n = D.supplier_count(spark, sf)
-    e = E.route_edges(synthetic_flights(spark, n, SYNTH_PCT, SYNTH_SEED))
+    e = E.route_edges(synthetic_flights(_supplier_nodes(spark, sf), SYNTH_PCT, SYNTH_SEED))
     return e.select("src", "dst", _r6(F.col("weight")).alias("weight"), "n_flights")
 
 
@@ -242,6 +299,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_queries": q_route_queries,
     "hub_routes": q_hub_routes,
     "route_shell": q_route_shell,
+    "flights_from_text": q_flights_from_text,
+    "rejected_flights": q_rejected_flights,
+    "rejected_override_commands": q_rejected_override_commands,
+    "ambiguous_airports": q_ambiguous_airports,
+    "distance_lookup": q_distance_lookup,
+    "edge_lookup": q_edge_lookup,
+    "transposed_edges": q_transposed_edges,
+    "edges_with_override_rows": q_edges_with_override_rows,
     "latest_overrides": q_latest_overrides,
     "override_commands": q_override_commands,
     "edges_with_overrides": q_edges_with_overrides,
@@ -298,19 +363,21 @@ def _with(body: str, extra: str = "", recursive: bool = False) -> str:
     return f"{head} {_FLIGHTS}{(',' + extra) if extra else ''}\n{body}"
 
 
-def _labels_sql(edge_table: str, queries: str = "qs") -> str:
+def _labels_sql(edge_table: str, queries: str = "qs", r: str = "r", st: str = "st") -> str:
+    # whole-number distances, as in the Spark loop
+    step = f"{{'dist': {r}.l.dist + e.w, 'hops': {r}.l.hops + 1, 'pred': e.src}}"
     return f"""
-r(source, node, l) using key (source, node) as (
-  select source, source, {{'dist': 0.0::double, 'hops': 0::bigint, 'pred': -1::bigint}}
+{r}_e as (select src, dst, cast(round(weight * {SCALE}) as bigint) w from {edge_table}),
+{r}(source, node, l) using key (source, node) as (
+  select source, source, {{'dist': 0::bigint, 'hops': 0::bigint, 'pred': -1::bigint}}
   from (select distinct source from {queries}) s
   union
-  select r.source, e.dst, min({{'dist': r.l.dist + e.weight, 'hops': r.l.hops + 1, 'pred': e.src}})
-  from r join {edge_table} e on r.node = e.src
-  left join recurring.r k on k.source = r.source and k.node = e.dst
-  where k.node is null
-     or {{'dist': r.l.dist + e.weight, 'hops': r.l.hops + 1, 'pred': e.src}} < k.l
-  group by r.source, e.dst),
-st as (select source, node, l.dist dist, l.hops hops, nullif(l.pred, -1) pred from r)"""
+  select {r}.source, e.dst, min({step})
+  from {r} join {r}_e e on {r}.node = e.src
+  left join recurring.{r} k on k.source = {r}.source and k.node = e.dst
+  where k.node is null or {step} < k.l
+  group by {r}.source, e.dst),
+{st} as (select source, node, l.dist / {SCALE}.0::double dist, l.hops hops, nullif(l.pred, -1) pred from {r})"""
 
 
 _LINES = "lines as (select unnest(string_split(text, chr(10))) v from documents)"
@@ -327,19 +394,19 @@ wc as (select w word, count(*) count from (
 def _synth_sql() -> str:
     d = lambda ident, slot, ch: M.draw_sql(ident, slot, ch, SYNTH_SEED)
     return f"""with p as (select n, n * {min(100, max(0, SYNTH_PCT))} // 100 m from (select count(*) n from supplier) c),
-ids as (select unnest(generate_series(0, (select n from p) - 1)) i),
-coords as (select i node, {d('i', '0', M.CHANNEL_X)} % (select n from p) x,
-                  {d('i', '0', M.CHANNEL_Y)} % (select n from p) y from ids),
+coords as (select row_number() over (order by s_suppkey) - 1 node, s_suppkey id, s_name name,
+                  cast(floor(s_acctbal) as bigint) + 1000 x, s_nationkey::bigint * 100 y from supplier),
+ids as (select node i from coords),
 slots as (select i, unnest(generate_series(0, (select m from p))) b from ids),
-legs as (select i org_id,
+legs as (select i oi,
                 case when b = 0 then (i + 1) % (select n from p)
-                     else {d('i', 'b', M.CHANNEL_DEST)} % (select n from p) end dest_id,
+                     else {d('i', 'b', M.CHANNEL_DEST)} % (select n from p) end di,
                 {d('i', 'b', M.CHANNEL_DEPARTURE)} % 2400 dep,
                 ({d('i', 'b', M.CHANNEL_FLIGHT_NUMBER)})::int flnum from slots),
-g as (select l.*, (floor(sqrt(((o.x - t.x) * (o.x - t.x) + (o.y - t.y) * (o.y - t.y))::double)) % 2400)::int w
-      from legs l join coords o on o.node = l.org_id join coords t on t.node = l.dest_id),
+g as (select l.*, o.id org_id, o.name origin, t.id dest_id, t.name dest, (floor(sqrt(((o.x - t.x) * (o.x - t.x) + (o.y - t.y) * (o.y - t.y))::double)) % 2400)::int w
+      from legs l join coords o on o.node = l.oi join coords t on t.node = l.di),
 sflights as (select 'dofm' day_of_month, 'dofW' day_of_week, 'carrier' carrier, 'tailnum' tailnum, flnum,
-       org_id, 'Node' || org_id origin, dest_id, 'Node' || dest_id dest,
+       org_id, origin, dest_id, dest,
        dep::double sched_dep, dep::double dep_time, 0.0::double dep_delay,
        (dep + w)::double sched_arr, (dep + w)::double arr_time, 0.0::double arr_delay,
        w::double sched_elapsed, w distance from g)"""
@@ -357,17 +424,27 @@ hub as (select org_id source from flights group by org_id order by count(*) desc
 hq as (select (select source from hub) source, airport_id destination from names)"""
 
 
-def _walk_sql(queries: str) -> str:
+def _walk_sql(queries: str, st: str = "st", paths: str = "paths") -> str:
     return f""",
-walk(source, d, cur, step) as (
-  select st.source, st.node, st.node, 0 from st
+{paths}_walk(source, d, cur, step) as (
+  select s.source, s.node, s.node, 0 from {st} s
   join (select distinct source, destination from {queries}) q
-    on q.source = st.source and q.destination = st.node
+    on q.source = s.source and q.destination = s.node
   union all
-  select w.source, w.d, st.pred, w.step + 1 from walk w
-  join st on st.source = w.source and st.node = w.cur where st.pred is not null),
-paths as (select w.source, w.d destination, string_agg(n.name, ' -> ' order by w.step desc) path_text
-          from walk w left join names n on n.airport_id = w.cur group by 1, 2)"""
+  select w.source, w.d, s.pred, w.step + 1 from {paths}_walk w
+  join {st} s on s.source = w.source and s.node = w.cur where s.pred is not null),
+{paths} as (select w.source, w.d destination, string_agg(n.name, ' -> ' order by w.step desc) path_text
+          from {paths}_walk w left join names n on n.airport_id = w.cur group by 1, 2)"""
+
+
+_MID = "(select max(event_id) // 2 from events)"
+_SHELL = f"""
+asked as (select {D.INFO_SEQ_SQL} seq, source, destination from qs),
+early as (select * from asked where seq <= {_MID}), late as (select * from asked where seq > {_MID}),
+lo_mid as (select src, dst, arg_max(weight, seq) weight from ov where seq <= {_MID} group by 1, 2),
+oedges_mid as (select src, dst, weight from edges e
+           where not exists (select 1 from lo_mid lo where lo.src = e.src and lo.dst = e.dst)
+           union all select src, dst, weight from lo_mid)"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -395,19 +472,45 @@ def oracle_sql() -> dict[str, str]:
         "direct_weights": _with("select f.dest_id dst, round(e.weight, 6) weight from flights f "
                                 f"left join edges e on e.src = {DIRECT_SOURCE} and e.dst = f.dest_id"),
         "sssp_distances": _with("select source, node, round(dist, 6) dist, hops from st",
-                                _labels_sql("edges"), recursive=True),
-        "sssp_predecessors": _with("select source, node, pred from st", _labels_sql("edges"), recursive=True),
+                                _HUB + "," + _labels_sql("edges", "hub"), recursive=True),
+        "sssp_predecessors": _with("select source, node, pred from st", _HUB + "," + _labels_sql("edges", "hub"), recursive=True),
         "route_queries": _with(_ROUTES_BODY.format(q="qs"), _labels_sql("edges") + _walk_sql("qs"),
                                recursive=True),
         "hub_routes": _with(_ROUTES_BODY.format(q="hq"),
                             _HUB + "," + _labels_sql("edges", "hq") + _walk_sql("hq"), recursive=True),
         "route_shell": _with(
-            """select a.name origin, b.name dest, round(st.dist, 6) weight, st.hops, p.path_text
-               from qs q left join st on st.source = q.source and st.node = q.destination
-               left join paths p on p.source = q.source and p.destination = q.destination
+            " union all ".join(
+                f"""select q.seq, a.name origin, b.name dest, round(st.dist, 6) weight, st.hops, p.path_text
+               from {when} q left join {st} st on st.source = q.source and st.node = q.destination
+               left join {paths} p on p.source = q.source and p.destination = q.destination
                join names a on a.airport_id = q.source
-               join names b on b.airport_id = q.destination""",
-            _labels_sql("oedges") + _walk_sql("qs"), recursive=True),
+               join names b on b.airport_id = q.destination"""
+                for when, st, paths in (("early", "st_mid", "paths_mid"), ("late", "st", "paths"))),
+            _SHELL + "," + _labels_sql("oedges_mid", "early", "r_mid", "st_mid") + _walk_sql("early", "st_mid", "paths_mid")
+            + "," + _labels_sql("oedges", "late") + _walk_sql("late"), recursive=True),
+        "flights_from_text": _with(f"select {cols} from flights"),
+        "rejected_flights": "select event_id || ',' || event_type as value from events",
+        "rejected_override_commands": _with(
+            f"""select {D.INFO_SEQ_SQL} seq, 'info ' || a.s_name || ' ' || b.s_name as value from qs
+                join supplier a on a.s_suppkey = source join supplier b on b.s_suppkey = destination"""),
+        "ambiguous_airports": _with(
+            """select * from (with e as (select distinct airport_id, name from (
+                 select org_id airport_id, 'Zone' || (org_id % 10) name from flights
+                 union all select dest_id, dest from flights) t)
+               select airport_id, 'id' kind from e group by 1 having count(*) > 1
+               union select airport_id, 'name' from e where name in (select name from e group by 1 having count(*) > 1)) t"""),
+        "distance_lookup": _with(f"select source, round(dist, 6) dist from st where node = {LOOKUP_NODE}",
+                                 _HUB + "," + _labels_sql("edges", "hub"), recursive=True),
+        "edge_lookup": _with("select q.source, q.destination, round(e.weight, 6) weight from qs q "
+                             "left join edges e on e.src = q.source and e.dst = q.destination"),
+        "transposed_edges": _with("select dst src, src dst, round(weight, 6) weight, n_flights from edges"),
+        "edges_with_override_rows": _with(
+            "select src, dst, round(weight, 6) weight, false overridden from edges e "
+            "where not exists (select 1 from given g where g.src = e.src and g.dst = e.dst) "
+            "union all select src, dst, weight, true from given",
+            "given as (select src, dst, arg_max(weight, seq) weight from (values "
+            + ", ".join(f"({i}, {a}::bigint, {b}::bigint, {w}::double)" for i, (a, b, w) in enumerate(OVERRIDE_ROWS))
+            + ") v(seq, src, dst, weight) group by 1, 2)"),
         "latest_overrides": _with("select src, dst, weight from lo"),
         "override_commands": _with("select seq, src, dst, weight from ov"),
         "edges_with_overrides": _with(
@@ -415,7 +518,7 @@ def oracle_sql() -> dict[str, str]:
             "where not exists (select 1 from lo where lo.src = e.src and lo.dst = e.dst) "
             "union all select src, dst, round(weight, 6) weight, true overridden from lo"),
         "sssp_with_overrides": _with("select source, node, round(dist, 6) dist, hops, pred from st",
-                                     _labels_sql("oedges"), recursive=True),
+                                     _HUB + "," + _labels_sql("oedges", "hub"), recursive=True),
         "word_count_ws": f"with {_WC_WS} select word, count from wc",
         "word_count_space": f"with {_WC_SP} select word, count from wc",
         "top_words": (f"with {_WC_SP} select row_number() over (order by count desc, word) rank, word, count "

@@ -17,9 +17,10 @@ from routelytics.session import cut_lineage
 
 
 def _endpoints(flights: DataFrame) -> DataFrame:
-    o = flights.select(F.col("org_id").alias("airport_id"), F.col("origin").alias("name"))
-    d = flights.select(F.col("dest_id").alias("airport_id"), F.col("dest").alias("name"))
-    return o.unionByName(d)
+    """Both ends of every flight, from one scan: ``(airport_id, name)``."""
+    ends = F.array(F.struct(F.col("org_id").alias("airport_id"), F.col("origin").alias("name")),
+                   F.struct(F.col("dest_id").alias("airport_id"), F.col("dest").alias("name")))
+    return flights.select(F.inline(ends))
 
 
 def airport_names(flights: DataFrame) -> DataFrame:
@@ -61,20 +62,22 @@ def airports(flights: DataFrame) -> DataFrame:
     return dense_index(airport_names(flights).drop("n_names"), "airport_id", "node_id")
 
 
-def with_node_ids(flights: DataFrame, airport_dim: DataFrame) -> DataFrame:
-    """Flights plus ``src``/``dst`` node ids (joins on the airport ids)."""
-    a = airport_dim.select(F.col("airport_id").alias("org_id"), F.col("node_id").alias("src"))
-    b = airport_dim.select(F.col("airport_id").alias("dest_id"), F.col("node_id").alias("dst"))
-    return flights.join(a, "org_id").join(b, "dest_id")
-
-
 def airport_count(flights: DataFrame) -> DataFrame:
     """Number of distinct airports (origins and destinations): ``(n_airports)``."""
     return _endpoints(flights).select("airport_id").distinct().agg(
         F.count(F.lit(1)).alias("n_airports"))
 
 
+def ids_by_name(airport_dim: DataFrame) -> DataFrame:
+    """``(name, airport_id)``: one row per name; of several airports the least id."""
+    return airport_dim.groupBy("name").agg(F.min("airport_id").alias("airport_id"))
+
+
 def names_to_ids(df: DataFrame, name_col: str, out: str, airport_dim: DataFrame) -> DataFrame:
-    """Left join that maps an airport name column to its ``airport_id`` (null if unknown)."""
-    a = airport_dim.select(F.col("name").alias(name_col), F.col("airport_id").alias(out))
+    """Left join that maps an airport name column to its ``airport_id`` (null if unknown).
+
+    A name that several airports share means the one with the least id (see
+    :func:`ambiguous_airports`), so a row never multiplies.
+    """
+    a = ids_by_name(airport_dim).select(F.col("name").alias(name_col), F.col("airport_id").alias(out))
     return df.join(a, name_col, "left")

@@ -31,6 +31,23 @@ def route_edges(flights: DataFrame) -> DataFrame:
     )
 
 
+def route_sums(flights: DataFrame) -> DataFrame:
+    """The flight table reduced once: ``(org_id, origin, dest_id, dest, total, n)``.
+
+    Names, airports, the busiest airport and the route graph all follow from
+    it (:func:`edges_from_sums`), so a plan that needs several of them scans
+    the flights a single time.
+    """
+    return flights.groupBy("org_id", "origin", "dest_id", "dest").agg(
+        F.sum(wrapped_duration()).alias("total"), F.count(F.lit(1)).alias("n"))
+
+
+def edges_from_sums(sums: DataFrame) -> DataFrame:
+    """:func:`route_edges` from :func:`route_sums`."""
+    return sums.groupBy(F.col("org_id").alias("src"), F.col("dest_id").alias("dst")).agg(
+        (F.sum("total") / F.sum("n")).alias("weight"), F.sum("n").alias("n_flights"))
+
+
 def raw_edges_transposed(flights: DataFrame) -> DataFrame:
     """Mean raw (unwrapped) duration per route, destination first: ``(dst, src, weight)``."""
     return flights.groupBy(F.col("dest_id").alias("dst"), F.col("org_id").alias("src")).agg(

@@ -7,34 +7,40 @@ that route.  A later override of the same route replaces an earlier one
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from routelytics.operators.airports import names_to_ids
+from routelytics.sources.schema import OVERRIDE_SCHEMA
+
+
+def override_rows(spark: SparkSession, rows: list[tuple[int, int, float]]) -> DataFrame:
+    """Overrides from driver values ``(src, dst, weight)`` in their order."""
+    return spark.createDataFrame([(i, int(a), int(b), float(w)) for i, (a, b, w) in enumerate(rows)], OVERRIDE_SCHEMA)
 
 
 def parse_override_commands(commands: DataFrame, airport_dim: DataFrame,
-                            value_col: str = "value", seq_col: str | None = "seq",
-                            ) -> DataFrame:
+                            value_col: str = "value", seq_col: str = "seq") -> DataFrame:
     """``time A B w`` lines → ``(seq, src, dst, weight)``.
 
     Names map to airport ids through ``airport_dim``.  Lines that are not a
     ``time`` command, name an unknown airport or carry a negative or
     non-integer weight are left out (see :func:`rejected_override_commands`).
-    Without ``seq_col`` the input order numbers the commands.
+    ``seq_col`` carries the order of the commands: rows of a table have none of their own.
     """
     parsed = _parse(commands, airport_dim, value_col, seq_col)
     return parsed.where("_ok").select("seq", "src", "dst", "weight")
 
 
 def rejected_override_commands(commands: DataFrame, airport_dim: DataFrame,
-                               value_col: str = "value", seq_col: str | None = "seq") -> DataFrame:
+                               value_col: str = "value", seq_col: str = "seq") -> DataFrame:
+    """Lines left out by :func:`parse_override_commands`: ``(seq, value)``."""
     return _parse(commands, airport_dim, value_col, seq_col).where(~F.col("_ok")).select(
         "seq", F.col("_line").alias(value_col))
 
 
 def _parse(commands, airport_dim, value_col, seq_col):
-    seq = F.col(seq_col).cast("long") if seq_col else F.monotonically_increasing_id()
+    seq = F.col(seq_col).cast("long")
     parts = F.split(F.col(value_col), " ", -1)
     c = commands.select(
         seq.alias("seq"), F.col(value_col).alias("_line"),

@@ -1,16 +1,15 @@
 """Paths from shortest-path labels.
 
-A path is walked back from the destination along ``pred`` links, all
-requested (source, destination) pairs at once: one equi-join per step, so
-the number of rounds is the longest requested path in hops and the total
-work is the total length of the answers.  Names join in at the end; each
-path is gathered as one array (its length is bounded by its hop count).
+Only the requested paths are expanded.  A path of h hops has h + 1 steps, each
+the ancestor of its destination at a known distance, and that distance is a sum
+of powers of two: tables of the 1st, 2nd, 4th, ... ancestor of every label
+(pointer doubling) resolve all steps of all paths in about log2(h) joins.  Every
+level is written, so plans do not grow with the paths, and a hot
+(source, node) is split by the skew join.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,102 +24,66 @@ def path_text(path) -> "F.Column":
     return F.array_join(path, ARROW)
 
 
-def ancestor_lists(state: DataFrame, max_rounds: int | None = None) -> DataFrame:
-    """``(source, node, anc)``: every labelled node's predecessors, nearest first.
+def path_steps(state: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(source, destination, back, cur)``: the nodes of each wanted path.
 
-    Pointer jumping: each row keeps the ancestors found so far and a jump
-    pointer to the farthest one; a self-join appends the jump target's
-    list and doubles the known prefix, so a tree with paths of h hops takes
-    about log2(h) rounds.  Total data is the total path length.
+    ``wanted``: ``(source, destination, hops)`` of labels in ``state``;
+    ``back`` counts from the destination (0) to the start (hops).
     """
-    st = state.select("source", "node", "pred")
-    preds = st.select("source", F.col("node").alias("pred"), F.col("pred").alias("_pp"))
-    tables = RoundTables(state.sparkSession, "routelytics-ancestors")
-    open_ = F.count_if(F.col("jump").isNotNull())
-    cur, m = tables.write(
-        st.join(preds, ["source", "pred"], "left").select(
-            "source", "node",
-            F.when(F.col("pred").isNull(), F.array().cast("array<long>"))
-             .otherwise(F.array(F.col("pred"))).alias("anc"),
-            # jump only when the farthest known ancestor has ancestors itself
-            F.when(F.col("_pp").isNotNull(), F.col("pred")).alias("jump")), open=open_)
-    rounds = 0
-    while m["open"]:
-        rounds += 1
-        if max_rounds is not None and rounds > max_rounds:
-            raise RuntimeError(f"ancestor lists did not settle in {max_rounds} rounds")
-        j = cur.select("source", F.col("node").alias("jump"), F.col("anc").alias("_janc"),
-                       F.col("jump").alias("_jjump"))
-        cur, m = tables.write(cur.join(j, ["source", "jump"], "left").select(
-            "source", "node",
-            F.when(F.col("jump").isNull(), F.col("anc")).otherwise(F.concat("anc", "_janc")).alias("anc"),
-            F.when(F.col("jump").isNull(), F.lit(None)).otherwise(F.col("_jjump")).alias("jump")),
-            open=open_)
-        trace(f"paths: doubling round {rounds}")
-    return cur.select("source", "node", "anc")
-
-
-def _named_paths_by_doubling(state: DataFrame, airport_dim: DataFrame | None) -> DataFrame:
-    anc = ancestor_lists(state)
-    hops = anc.select("source", F.col("node").alias("destination"),
-                      F.posexplode(F.concat(F.array(F.col("node")), F.col("anc"))).alias("step", "cur"))
-    return hops
-
-
-def reconstruct(state: DataFrame, pairs: DataFrame, airport_dim: DataFrame | None = None,
-                max_steps: int | None = None, dense_fraction: float = 0.25) -> DataFrame:
+    tables = RoundTables(state.sparkSession, "routelytics-steps")
+    rows, m = tables.write(wanted.select("source", "destination", "hops",
+                                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("hops"))).alias("back"),
+                                         F.col("destination").alias("cur")),
+                           longest=F.max("hops"))
+    longest = m["longest"] or 0
+    up, _ = tables.write(state.where(F.col("pred").isNotNull()).select("source", "node", F.col("pred").alias("up")))
+    power = 1
+    while power <= longest:
+        jump = up.select("source", F.col("node").alias("cur"), "up")
+        needs = F.col("back").bitwiseAND(F.lit(power)) != 0
+        moved = rows.where(needs).join(jump, ["source", "cur"]).select(
+            "source", "destination", "hops", "back", F.col("up").alias("cur"))
+        rows, _ = tables.write(moved.unionByName(rows.where(~needs).select("source", "destination", "hops", "back", "cur")))
+        power *= 2
+        if power <= longest:
+            nxt = up.select("source", F.col("node").alias("up"), F.col("up").alias("far"))
+            up, _ = tables.write(up.join(nxt, ["source", "up"]).select("source", "node", F.col("far").alias("up")))
+        trace(f"paths: ancestors at {power}")
+    return rows.select("source", "destination", "back", "cur")
+
+
+def reconstruct(state: DataFrame, pairs: DataFrame, airport_dim: DataFrame | None = None) -> DataFrame:
     """``(source, destination, origin, dest, weight, hops, path, path_text)`` per distinct pair.
 
     ``state`` is the output of :func:`shortest_paths`.  Unreachable pairs keep
     a row with null weight, hops and path (Decision D5b); a pair with source =
     destination has weight 0 and a one-name path.  Without ``airport_dim``
-    the path lists node ids as text.
+    the path lists node ids as text.  ``pairs`` may name the start of a source
+    (``start``) where that is not the source id itself.
     """
     st = state.select("source", "node", "dist", "hops", "pred")
-    q = pairs.select(F.col("source").cast("long").alias("source"),
+    begin = F.col("start") if "start" in pairs.columns else F.col("source")
+    q = pairs.select(F.col("source").cast("long").alias("source"), begin.cast("long").alias("start"),
                      F.col("destination").cast("long").alias("destination")).distinct()
-    tables = RoundTables(state.sparkSession, "routelytics-walk")
+    tables = RoundTables(state.sparkSession, "routelytics-paths")
     found, _ = tables.write(q.join(st.select("source", F.col("node").alias("destination"), "dist", "hops"),
                                    ["source", "destination"], "left"))
-    not_home = F.count_if(F.col("cur") != F.col("source"))
-    walk, m = tables.write(found.where(F.col("dist").isNotNull()).select(
-        "source", "destination", F.col("destination").alias("cur"), F.lit(0).alias("step")),
-        pairs=F.count(F.lit(1)), open=not_home)
-    links = st.select("source", F.col("node").alias("cur"), "pred")
-    steps = [walk]
-    if m["pairs"] and m["pairs"] >= dense_fraction * st.count():
-        # most labels are asked for: build every path by pointer jumping
-        # (log rounds) and keep the requested ones
-        everything = _named_paths_by_doubling(st, airport_dim)
-        steps = [everything.join(walk.select("source", "destination"), ["source", "destination"], "left_semi")]
-        m["open"] = 0
-    n = 0
-    while m["open"]:
-        n += 1
-        if max_steps is not None and n > max_steps:
-            raise RuntimeError(f"path longer than {max_steps} steps")
-        active = steps[-1].where(F.col("cur") != F.col("source"))
-        nxt, m = tables.write(active.join(links, ["source", "cur"]).select(
-            "source", "destination", F.col("pred").alias("cur"), (F.col("step") + 1).alias("step")),
-            open=not_home)
-        trace(f"paths: step {n}")
-        steps.append(nxt)
-    all_steps = reduce(DataFrame.unionByName, steps)
+    steps = path_steps(st, found.where(F.col("dist").isNotNull()))
     if airport_dim is not None:
-        names = airport_dim.select(F.col("airport_id").alias("cur"), F.col("name"))
-        all_steps = all_steps.join(names, "cur", "left")
+        names, _ = tables.write(airport_dim.select("airport_id", "name"))
+        steps = steps.join(names.select(F.col("airport_id").alias("cur"), "name"), "cur", "left")
     else:
-        all_steps = all_steps.withColumn("name", F.col("cur").cast("string"))
-    paths = all_steps.groupBy("source", "destination").agg(
-        F.sort_array(F.collect_list(F.struct("step", "name")), asc=False).alias("_walk"))
+        steps = steps.withColumn("name", F.col("cur").cast("string"))
+    paths = steps.groupBy("source", "destination").agg(
+        F.sort_array(F.collect_list(F.struct("back", "name")), asc=False).alias("_walk"))
     paths = paths.select("source", "destination", F.transform("_walk", lambda x: x["name"]).alias("path"))
     out = found.join(paths, ["source", "destination"], "left")
     if airport_dim is not None:
-        a = airport_dim.select(F.col("airport_id").alias("source"), F.col("name").alias("origin"))
-        b = airport_dim.select(F.col("airport_id").alias("destination"), F.col("name").alias("dest"))
-        out = out.join(a, "source", "left").join(b, "destination", "left")
+        a = names.select(F.col("airport_id").alias("start"), F.col("name").alias("origin"))
+        b = names.select(F.col("airport_id").alias("destination"), F.col("name").alias("dest"))
+        out = out.join(a, "start", "left").join(b, "destination", "left")
     else:
-        out = (out.withColumn("origin", F.col("source").cast("string"))
+        out = (out.withColumn("origin", F.col("start").cast("string"))
                .withColumn("dest", F.col("destination").cast("string")))
     result, _ = tables.write(out.select(
         "source", "destination", "origin", "dest", F.col("dist").alias("weight"),
@@ -130,6 +93,11 @@ def reconstruct(state: DataFrame, pairs: DataFrame, airport_dim: DataFrame | Non
 
 def route_queries(edges: DataFrame, queries: DataFrame, airport_dim: DataFrame | None = None,
                   **kwargs) -> DataFrame:
-    """Answer a table of ``(source, destination)`` route queries in one job."""
-    state = shortest_paths(edges, queries.select("source"), **kwargs)
+    """Answer a table of ``(source, destination)`` route queries in one job.
+
+    Sources stop as soon as their wanted destinations are settled.
+    """
+    wanted = queries.select("source", F.col("destination").alias("node"))
+    extra = [c for c in ("start", "asof") if c in queries.columns]
+    state = shortest_paths(edges, queries.select("source", *extra), targets=wanted, **kwargs)
     return reconstruct(state, queries, airport_dim)

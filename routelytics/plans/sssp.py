@@ -1,226 +1,174 @@
 """Shortest paths from many sources in one distributed job.
 
+Distances are whole numbers inside the loop: weights are scaled by
+``SCALE`` and rounded once, so sums are exact, equal paths compare equal
+and the labels do not depend on the order in which edges are relaxed.
+
 State: one row per (source, node) reached, with the label
 ``l = struct(dist, hops, pred)``.  Labels compare lexicographically, so the
 kept label is the cheapest path, then the one with fewest hops, then the
 smallest predecessor id (Decision D5d); a zero-weight cycle can never
 improve a label because it adds hops.
 
-Each round relaxes only the frontier (pending labels: improved in an
-earlier round and not yet relaxed since):
+Each round relaxes the frontier (labels improved in the round before):
 
 1. frontier x out-edges (equi-join on node = src) gives candidates;
 2. candidates and current labels are reduced together per (source, node)
-   by one ``min`` aggregation (map-side partials, one shuffle per round),
-   which keeps the better label and flags the rows that improved: they are
-   the next frontier.
-
-Order: when the pending labels would produce more candidates than a
-round's work budget, only the nearest ones (distance up to an approximate
-quantile observed while the previous round was written) are relaxed; the
-rest stays pending.  Any order reaches the same fixpoint, and nearest-first
-saves the relaxations that a shorter label would later undo (the idea of
-delta-stepping, with buckets sized from the data).  Small frontiers are
-relaxed whole, as plain Bellman-Ford rounds.
-
-The loop stops when no label is pending; weights must be >= 0.  The state
-is written as a Parquet table under the session's checkpoint folder every
-round: the plan of a round is always a few flat file scans (a cached
-DataFrame would carry, and re-plan, the whole plan of every earlier round),
-and a lost executor re-reads files instead of replaying earlier rounds.
-
-Skew: a hub holding a third of all edges would make one join key hold a
-third of every round's work.  Each node's out-edges are split into
-``ceil(out_degree / max_edges_per_key)`` salted buckets by a hash of the
-destination, and a frontier row of that node is replicated once per bucket,
-so no join key ever holds more than about ``max_edges_per_key`` edges.
+   by one ``min`` aggregation (map-side partials, one shuffle of state and
+   candidates), which keeps the better label and flags the rows that
+   improved: they are the next frontier.
+
+The edge table is written once as a bucketed table, so no round shuffles or
+sorts it.  Its bucket key is (src, salt) with ``salts`` salts from a hash of
+the destination, and a frontier row is sent once per salt: a hub's edges lie in
+``salts`` buckets, whatever its degree, without counting degrees.
+
+With ``targets`` a source's candidates beyond its farthest wanted
+destination are dropped as soon as all of them have a label.  This is exact:
+weights are not negative, so such a candidate is on no better path to them.
+
+The loop stops when no label improved.  The state is written as a Parquet
+table under the session's checkpoint folder every round, so plans stay flat
+and a lost executor re-reads files; tables older than the previous round are
+deleted.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routelytics.session import RoundTables, checkpoint_dir, persist, trace
+from routelytics.session import RoundTables, checkpoint_dir, trace
 
-DEFAULT_MAX_EDGES_PER_KEY = 50_000
-# A frontier at most this many rows (known from the previous round's count)
-# is broadcast to the edge scan; a larger one is shuffled to the salted edges.
-DEFAULT_BROADCAST_FRONTIER_ROWS = 1_000_000
-# A state at most this many rows (counted while the previous round was
-# written) is broadcast to prune candidates before they are aggregated.
-DEFAULT_BROADCAST_STATE_ROWS = 2_000_000
-# Work budget of one round, in candidate rows (frontier rows x mean
-# out-degree).  A larger pending set is relaxed nearest-first over several
-# rounds (adaptive distance buckets, as in delta-stepping); nothing is
-# dropped, the order only saves relaxations that a shorter label would undo.
-DEFAULT_MAX_CANDIDATES_PER_ROUND = 100_000_000
-BUCKET_QUANTILES = (0.0, 0.001, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7)
+#: Units of the loop's whole-number distances per unit of weight.
+SCALE = 1_000_000
+DEFAULT_SALTS = 8
 
 
-def _label(dist, hops, pred):
-    return F.struct(dist.cast("double").alias("dist"), hops.cast("long").alias("hops"),
-                    pred.cast("long").alias("pred"))
+def scaled(weight):
+    """Weight column as a whole number of 1/SCALE units."""
+    return F.round(weight.cast("double") * SCALE).cast("long")
 
 
-def prepare_edges(edges: DataFrame, max_edges_per_key: int = DEFAULT_MAX_EDGES_PER_KEY):
-    """Salted edge table (Parquet in the checkpoint folder) and the per-node fan-out table.
-
-    ``edges`` is evaluated once.  Raises on a negative weight.
-    """
-    e = persist(edges.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"),
-                             F.col("weight").cast("double").alias("weight"))
-                .where(F.col("weight").isNotNull()))
-    fan = (e.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
-           .select(F.col("src").alias("node"),
-                   F.greatest(F.lit(1), F.ceil(F.col("_deg") / max_edges_per_key)).cast("int").alias("fanout")))
-    fan, fm = RoundTables(edges.sparkSession, "routelytics-fanout").write(
-        fan, top=F.max("fanout"), nodes=F.count(F.lit(1)))
-    if (fm["top"] or 1) == 1:
-        # no node has more out-edges than one join key may hold: no salting
-        salted = e.select(F.col("src").alias("e_src"), F.lit(0).alias("e_salt"), F.col("dst").alias("e_dst"),
-                          F.col("weight").alias("e_w"), F.lit(1).alias("e_fan"))
-    else:
-        salted = (e.join(fan.select(F.col("node").alias("src"), F.col("fanout").alias("_sf")), "src")
-                  .join(fan.select(F.col("node").alias("dst"), F.col("fanout").alias("_df")), "dst", "left")
-                  .select(F.col("src").alias("e_src"),
-                          F.pmod(F.xxhash64("dst"), F.col("_sf")).cast("int").alias("e_salt"),
-                          F.col("dst").alias("e_dst"), F.col("weight").alias("e_w"),
-                          F.coalesce(F.col("_df"), F.lit(1)).alias("e_fan")))
-    salted, m = RoundTables(edges.sparkSession, "routelytics-edges").write(
-        salted, low=F.min("e_w"), rows=F.count(F.lit(1)))
-    e.unpersist()
-    if m["low"] is not None and m["low"] < 0:
-        raise ValueError("shortest_paths needs non-negative edge weights")
-    avg_degree = (m["rows"] or 0) / max(1, fm["nodes"] or 0)
-    return salted, fan, avg_degree
+def _label(dist, hops, pred):
+    return F.struct(dist.cast("long").alias("dist"), hops.cast("long").alias("hops"), pred.cast("long").alias("pred"))
 
 
 def _keyed(dist, hops, pred, rank: int):
     # rank 0 = label already in the state, 1 = candidate: on equal labels the
     # old one wins, so only a strictly better candidate counts as a change
-    return F.struct(dist.cast("double").alias("dist"), hops.cast("long").alias("hops"),
+    return F.struct(dist.cast("long").alias("dist"), hops.cast("long").alias("hops"),
                     pred.cast("long").alias("pred"), F.lit(rank).alias("rank"))
 
 
-def _step(state: DataFrame, frontier: DataFrame, E: DataFrame, still_pending,
-          prune_with_state: bool = False) -> DataFrame:
-    """One relaxation round: the next state ``(source, node, l, fanout, changed)``.
+class EdgeTable:
+    """Edges as a bucketed, sorted table of the session's warehouse; ``drop`` removes it.
 
-    Candidates (frontier x out-edges) and the current labels go through a
-    single ``min`` aggregation per (source, node): map-side partials cut
-    the candidates down before the one shuffle of the round.
+    ``since`` and ``until`` columns, where present, say for which moments an
+    edge holds (see ``shortest_paths``).
     """
-    f = frontier.select("source", "node", "l",
-                        F.explode(F.sequence(F.lit(0), F.col("fanout") - 1)).alias("salt"))
-    cand = f.join(E, (F.col("node") == F.col("e_src")) & (F.col("salt") == F.col("e_salt"))).select(
+
+    def __init__(self, edges: DataFrame, salts: int = DEFAULT_SALTS):
+        spark = edges.sparkSession
+        self.spark, self.salts = spark, salts
+        self.name = f"routelytics_edges_{uuid.uuid4().hex}"
+        self.timed = "since" in edges.columns
+        when = [F.col("since").cast("long"), F.col("until").cast("long")] if self.timed else []
+        weight = F.when(F.col("weight") < 0, F.raise_error(F.lit("shortest_paths needs non-negative edge weights")).cast("long"))
+        e = edges.where(F.col("weight").isNotNull()).select(
+            F.col("src").cast("long").alias("e_src"), F.pmod(F.xxhash64("dst"), F.lit(salts)).cast("int").alias("e_salt"),
+            F.col("dst").cast("long").alias("e_dst"), weight.otherwise(scaled(F.col("weight"))).alias("e_w"), *when)
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        try:
+            (e.repartition(buckets, "e_src", "e_salt").write.bucketBy(buckets, "e_src", "e_salt")
+             .sortBy("e_src", "e_salt").saveAsTable(self.name))
+        except Exception as err:
+            self.drop()
+            if "non-negative" in str(err):
+                raise ValueError("shortest_paths needs non-negative edge weights") from err
+            raise
+
+    @property
+    def df(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
+def relax(state: DataFrame, edges: EdgeTable, bound: DataFrame | None = None) -> DataFrame:
+    """One round: the next state ``(source, node, l, asof, changed)``."""
+    f = state.where("changed").select("source", "node", "l", "asof",
+                                      F.explode(F.sequence(F.lit(0), F.lit(edges.salts - 1))).alias("salt"))
+    on = (F.col("node") == F.col("e_src")) & (F.col("salt") == F.col("e_salt"))
+    if edges.timed:
+        on = on & (F.col("since") <= F.col("asof")) & (F.col("asof") < F.col("until"))
+    cand = f.join(edges.df, on).select(
         "source", F.col("e_dst").alias("node"),
-        _keyed(F.col("l.dist") + F.col("e_w"), F.col("l.hops") + 1, F.col("e_src"), 1).alias("k"),
-        F.col("e_fan").alias("fanout"))
-    if prune_with_state:
-        # the state is proven small: broadcast it and drop, before the sort
-        # aggregation, every candidate that cannot beat the current label
-        cur = F.broadcast(state.select("source", "node", F.col("l").alias("_cur")))
-        cand = (cand.join(cur, ["source", "node"], "left")
-                .where(F.col("_cur").isNull()
-                       | (_label(F.col("k.dist"), F.col("k.hops"), F.col("k.pred")) < F.col("_cur")))
-                .drop("_cur"))
-    old_cols = ["source", "node", _keyed(F.col("l.dist"), F.col("l.hops"), F.col("l.pred"), 0).alias("k"),
-                "fanout"]
-    if still_pending is not None:
-        old_cols.append(still_pending.alias("keep"))
-    old = state.select(*old_cols)
-    label = _label(F.col("k.dist"), F.col("k.hops"), F.col("k.pred")).alias("l")
-    improved = F.col("k.rank") == 1
-    if still_pending is None:
-        best = old.unionByName(cand).groupBy("source", "node").agg(
-            F.min("k").alias("k"), F.max("fanout").alias("fanout"))
-        return best.select("source", "node", label, "fanout", improved.alias("changed"))
-    best = old.unionByName(cand.withColumn("keep", F.lit(False))).groupBy("source", "node").agg(
-        F.min("k").alias("k"), F.max("fanout").alias("fanout"), F.max("keep").alias("keep"))
-    # pending: improved in this round, or waiting for a later bucket
-    return best.select("source", "node", label, "fanout", (improved | F.col("keep")).alias("changed"))
-
-
-def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "source",
-                   max_edges_per_key: int = DEFAULT_MAX_EDGES_PER_KEY,
-                   max_rounds: int | None = None,
-                   broadcast_frontier_rows: int = DEFAULT_BROADCAST_FRONTIER_ROWS,
-                   broadcast_state_rows: int = DEFAULT_BROADCAST_STATE_ROWS,
-                   max_candidates_per_round: int = DEFAULT_MAX_CANDIDATES_PER_ROUND) -> DataFrame:
+        _keyed(F.col("l.dist") + F.col("e_w"), F.col("l.hops") + 1, F.col("e_src"), 1).alias("k"), "asof")
+    if bound is not None:
+        cand = (cand.join(bound, "source", "left")
+                .where(F.col("bound").isNull() | (F.col("k.dist") <= F.col("bound"))).drop("bound"))
+    old = state.select("source", "node", _keyed(F.col("l.dist"), F.col("l.hops"), F.col("l.pred"), 0).alias("k"), "asof")
+    best = old.unionByName(cand).groupBy("source", "node").agg(F.min("k").alias("k"), F.max("asof").alias("asof"))
+    return best.select("source", "node", _label(F.col("k.dist"), F.col("k.hops"), F.col("k.pred")).alias("l"), "asof",
+                       (F.col("k.rank") == 1).alias("changed"))
+
+
+def target_bound(state: DataFrame, targets: DataFrame) -> DataFrame:
+    """(source, bound): the farthest label of a source's wanted nodes; null until all have one."""
+    wanted = targets.join(state.select("source", "node", F.col("l.dist").alias("dist")), ["source", "node"], "left")
+    done = F.count("dist") == F.count(F.lit(1))
+    return wanted.groupBy("source").agg(F.when(done, F.max("dist")).alias("bound"))
+
+
+def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "source", salts: int = DEFAULT_SALTS,
+                   targets: DataFrame | None = None, max_rounds: int | None = None) -> DataFrame:
     """Labels ``(source, node, dist, hops, pred)`` for every node reachable from each source.
 
     ``edges``: ``(src, dst, weight)`` with weight >= 0; ``sources``: a column
     ``source_col`` of node ids (duplicates are fine).  A source is reached
     by itself with dist 0, hops 0 and a null pred; unreachable nodes have
-    no row.  The loop runs eagerly; the returned DataFrame reads the
-    checkpointed final labels.
-
-    The state ``(source, node, l, fanout, changed)`` is rewritten once per
-    round by one aggregation over state and candidates and written as a
-    Parquet table in the checkpoint folder (one job per round; the count of
-    improved labels is observed during the write), so every round plans
-    against flat file scans; the rows with ``changed`` set are the next
-    frontier.
+    no row.  ``targets`` ``(source, node)`` limits the answer to labels on the
+    way to these nodes (other rows may be missing or not final).
+
+    Many views of one changing graph: edges may carry ``since`` and ``until``,
+    and sources ``start`` (the node) and ``asof``; a source then names a query,
+    and walks from ``start`` over the edges with since <= asof < until.
+
+    The loop runs eagerly; the returned DataFrame reads the last round's files.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
-    trace("sssp: prepare edges")
-    E, fan, avg_degree = prepare_edges(edges, max_edges_per_key)
-    trace(f"sssp: edges ready, mean out-degree {avg_degree:.1f}")
-    budget_rows = max(1, int(max_candidates_per_round / max(avg_degree, 1.0)))
-    src = sources.select(F.col(source_col).cast("long").alias("source")).distinct()
-    seed = (src.join(fan, src.source == fan.node, "left")
-            .select("source", F.col("source").alias("node"),
-                    _label(F.lit(0.0), F.lit(0), F.lit(None)).alias("l"),
-                    F.coalesce(F.col("fanout"), F.lit(1)).alias("fanout"),
-                    F.lit(True).alias("changed")))
-    pending_dist = F.when(F.col("changed"), F.col("l.dist"))
-    counts = dict(changed=F.count_if(F.col("changed")), rows=F.count(F.lit(1)))
-    with_quantiles = dict(counts, q=F.percentile_approx(pending_dist, list(BUCKET_QUANTILES), 10000))
-    rounds_out = RoundTables(spark, "routelytics-sssp")
-    state, m = rounds_out.write(seed, **counts)
-    rounds = 0
-    while m["changed"]:
-        rounds += 1
-        if max_rounds is not None and rounds > max_rounds:
-            raise RuntimeError(f"shortest_paths did not settle in {max_rounds} rounds")
-        pending = F.col("changed")
-        if m["changed"] <= budget_rows or "q" not in m:
-            take, keep, bound = pending, None, None
-        else:
-            # relax the nearest pending labels first (those most likely
-            # final); the rest stays pending for the next rounds
-            bound = _bucket_bound(m["q"], m["changed"], budget_rows)
-            take = pending & (F.col("l.dist") <= F.lit(bound))
-            keep = pending & (F.col("l.dist") > F.lit(bound))
-        frontier = state.where(take)
-        if m["changed"] <= broadcast_frontier_rows:
-            # the pending count of the round before bounds the frontier
-            frontier = F.broadcast(frontier)
-        small_state = m["rows"] <= broadcast_state_rows
-        # distance quantiles are observed only once the state could outgrow
-        # the budget; without them a round relaxes every pending label
-        metrics = with_quantiles if 2 * m["rows"] > budget_rows else counts
-        state, m = rounds_out.write(_step(state, frontier, E, keep, small_state), **metrics)
-        trace(f"sssp: round {rounds}: bound {bound}, {m['changed']} labels pending")
-    return state.select("source", "node", F.col("l.dist").alias("dist"),
+    start = F.col("start") if "start" in sources.columns else F.col(source_col)
+    asof = F.col("asof") if "asof" in sources.columns else F.lit(0)
+    seed = sources.select(F.col(source_col).cast("long").alias("source"), start.cast("long").alias("node"),
+                          _label(F.lit(0), F.lit(0), F.lit(None)).alias("l"), asof.cast("long").alias("asof"),
+                          F.lit(True).alias("changed")).distinct()
+    table = EdgeTable(edges, salts)
+    try:
+        counts = {"changed": F.count_if(F.col("changed"))}
+        rounds_out = RoundTables(spark, "routelytics-sssp", keep=2)
+        if targets is not None:
+            targets, _ = RoundTables(spark, "routelytics-targets").write(
+                targets.select(F.col("source").cast("long"), F.col("node").cast("long")).distinct())
+        state, m = rounds_out.write(seed, **counts)
+        rounds = 0
+        while m["changed"]:
+            rounds += 1
+            if max_rounds is not None and rounds > max_rounds:
+                raise RuntimeError(f"shortest_paths did not settle in {max_rounds} rounds")
+            bound = target_bound(state, targets) if targets is not None else None
+            state, m = rounds_out.write(relax(state, table, bound), **counts)
+            trace(f"sssp: round {rounds}: {m['changed']} labels improved")
+    finally:
+        table.drop()
+    return state.select("source", "node", (F.col("l.dist") / F.lit(float(SCALE))).alias("dist"),
                         F.col("l.hops").alias("hops"), F.col("l.pred").alias("pred"))
 
 
-def _bucket_bound(quantiles, pending: int, budget_rows: int) -> float:
-    """Largest observed quantile of pending distances whose share fits the budget.
-
-    Quantile 0 (the smallest pending distance) always qualifies, so every
-    round relaxes at least one label.
-    """
-    bound = quantiles[0]
-    for share, value in zip(BUCKET_QUANTILES, quantiles):
-        if share * pending <= budget_rows and value is not None:
-            bound = value
-    return bound
-
-
 def distance_to(state: DataFrame, node: int) -> DataFrame:
     """``(source, dist)`` of one node in a label table (F2); no row if unreachable."""
     return state.where(F.col("node") == F.lit(node)).select("source", "dist")

@@ -8,7 +8,6 @@ import tempfile
 import time
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 
@@ -49,32 +48,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once into the reliable checkpoint folder.
+    """Write ``df`` once under the checkpoint folder and read it back.
 
-    The rows are computed a single time (persisted for the checkpoint write)
-    and the returned DataFrame reads the checkpoint files, keeping the
-    output partitioning, so a lost executor re-reads files instead of
-    replaying every earlier round.
+    The returned DataFrame reads shared files, so a lost executor re-reads them
+    instead of replaying what came before, and nothing is kept in executor
+    memory or on local disks.
     """
-    checkpoint_dir(df.sparkSession)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
+    return RoundTables(df.sparkSession, "routelytics-cut").write(df)[0]
 
 
 def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that came out in fewer partitions than there are cores.
+    """Round-robin a scan of fewer files than there are cores.
 
-    A handful of large files (or one) would leave most cores idle in a
-    CPU-heavy stage such as tokenising; a scan that already has at least
-    one partition per core is returned unchanged, so a big input never pays
-    for an extra shuffle.
+    One or a handful of files would leave most cores idle in a CPU-heavy
+    stage such as tokenising.  Only the file listing is looked at (no job
+    runs), and an input of many files, as any large one, is returned unchanged,
+    so it never pays for an extra shuffle.  Rows are the same either way.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of any store Spark can write to."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 class RoundTables:
@@ -83,11 +81,12 @@ class RoundTables:
     ``write(df, **metrics)`` writes one round in a single job, returns the
     table read back from its files (no lineage, survives executor loss)
     and the metrics observed while writing (e.g. how many rows changed),
-    so no extra job is needed to count them.
+    so no extra job is needed to count them.  With ``keep`` only that many
+    latest rounds stay on disk.
     """
 
-    def __init__(self, spark: SparkSession, prefix: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, prefix: str, keep: int | None = None):
+        self.spark, self.keep = spark, keep
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
         self.n = 0
 
@@ -102,11 +101,6 @@ class RoundTables:
         else:
             df.write.mode("overwrite").parquet(path)
             got = {}
+        if self.keep and self.n > self.keep:
+            delete_path(self.spark, f"{self.root}/round={self.n - self.keep}")
         return self.spark.read.parquet(path), got
-
-
-def persist(df: DataFrame) -> DataFrame:
-    """Cache ``df`` in memory, spilling to local disk (lazy)."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-

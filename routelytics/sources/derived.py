@@ -101,14 +101,20 @@ def derived_override_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("weight").cast("long").cast("string")).alias("value"))
 
 
+#: When a route query is asked: half way through the overrides or after them.
+INFO_SEQ_SQL = "case when (source + destination) % 2 = 0 then (select max(event_id) // 2 from events) else (select max(event_id) + 1 from events) end"
+
+
 def derived_info_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The route queries as command text ``info A B`` with airport names."""
+    """The route queries as numbered command text ``info A B`` with airport names."""
     q = derived_route_queries(spark, sf_dir)
+    top = table(spark, sf_dir, "events").agg(F.max("event_id").alias("top")).scalar()
     sup = table(spark, sf_dir, "supplier")
     a = sup.select(F.col("s_suppkey").alias("source"), F.col("s_name").alias("a"))
     b = sup.select(F.col("s_suppkey").alias("destination"), F.col("s_name").alias("b"))
-    return q.join(a, "source").join(b, "destination").select(
-        F.concat_ws(" ", F.lit("info"), "a", "b").alias("value"))
+    half = (F.col("source") + F.col("destination")) % 2 == 0
+    return q.withColumn("seq", F.when(half, F.floor(top / 2)).otherwise(top + 1).cast("long")).join(a, "source").join(
+        b, "destination").select("seq", F.concat_ws(" ", F.lit("info"), "a", "b").alias("value"))
 
 
 def derived_route_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,9 +132,5 @@ def derived_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_lines(table(spark, sf_dir, "documents"))
 
 
-def supplier_count(spark: SparkSession, sf_dir: str) -> int:
-    return table(spark, sf_dir, "supplier").count()
-
-
 __all__ = ["derived_flights", "derived_override_events", "derived_override_commands",
-           "derived_route_queries", "derived_lines", "supplier_count", "table", "FLIGHT_COLUMNS"]
+           "derived_route_queries", "derived_lines", "table", "FLIGHT_COLUMNS"]

@@ -15,15 +15,21 @@ from pyspark.sql import types as T
 from routelytics.sources.schema import BLANK_AS_ZERO, FLIGHT_SCHEMA
 
 
+#: whole numbers as the original reads them: a sign and digits, no blanks around
+_WHOLE = r"^[+-]?[0-9]+$"
+
+
 def _typed(parts: Column, i: int, field: T.StructField) -> Column:
     raw = F.get(parts, i)
     if isinstance(field.dataType, T.StringType):
         return raw
-    # Java's parseDouble ignores surrounding blanks, parseInt/parseLong do not
-    text = F.trim(raw) if isinstance(field.dataType, T.DoubleType) else raw
-    typed = text.try_cast(field.dataType)
+    # casts ignore blanks around a number: right for doubles, not for whole numbers
+    typed = raw.try_cast(field.dataType)
+    if isinstance(field.dataType, (T.IntegerType, T.LongType)):
+        typed = F.when(raw.rlike(_WHOLE), typed)
     if field.name in BLANK_AS_ZERO:
-        typed = F.when(text == "", F.lit(0).cast(field.dataType)).otherwise(typed)
+        # only an empty field is zero; blanks are malformed
+        typed = F.when(raw == "", F.lit(0).cast(field.dataType)).otherwise(typed)
     return typed
 
 
@@ -46,17 +52,17 @@ def parse_flights(lines: DataFrame, mode: str = "lenient", value_col: str = "val
     """Typed flights from text lines.
 
     ``mode="lenient"`` drops malformed lines (see :func:`rejected_flights`);
-    ``mode="strict"`` raises on the first malformed line, like the original
-    program, at the cost of one extra pass that checks for bad rows.
+    ``mode="strict"`` fails on a malformed line, like the original program,
+    when and where that line is read: there is no extra pass.
     """
     parsed = _with_parse(lines, value_col)
+    cols = [F.col(f.name).cast(f.dataType) for f in FLIGHT_SCHEMA.fields]
     if mode == "strict":
-        bad = parsed.where(~F.col("_ok")).select("_line").limit(1).collect()
-        if bad:
-            raise ValueError(f"malformed flight line: {bad[0][0]!r}")
-    elif mode != "lenient":
+        bad = F.raise_error(F.concat(F.lit("malformed flight line: "), F.col("_line")))
+        # the check sits in the row's own filter, so column pruning cannot drop it
+        return parsed.where(F.when(F.col("_ok"), F.lit(True)).otherwise(bad.cast("boolean"))).select(*cols)
+    if mode != "lenient":
         raise ValueError(f"unknown mode {mode!r}")
-    cols = [F.col(f.name).cast(f.dataType) for f in FLIGHT_SCHEMA.fields]
     return parsed.where(F.col("_ok")).select(*cols)
 
 

@@ -27,21 +27,9 @@ FLIGHT_COLUMNS = [f.name for f in FLIGHT_SCHEMA.fields]
 # Fields 13 and 14 (arrival time and delay) may be blank; blank reads as 0.
 BLANK_AS_ZERO = ("arr_time", "arr_delay")
 
-EDGE_SCHEMA = T.StructType([
-    T.StructField("src", T.LongType(), False),
-    T.StructField("dst", T.LongType(), False),
-    T.StructField("weight", T.DoubleType(), False),
-    T.StructField("n_flights", T.LongType(), True),
-])
-
 OVERRIDE_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType(), False),
     T.StructField("src", T.LongType(), False),
     T.StructField("dst", T.LongType(), False),
     T.StructField("weight", T.DoubleType(), False),
 ])
-
-QUERY_SCHEMA = T.StructType([
-    T.StructField("source", T.LongType(), False),
-    T.StructField("destination", T.LongType(), False),
-])

@@ -5,77 +5,126 @@ The original program reads commands one by one from stdin:
 * ``time A B w`` — set the weight of route A -> B to w (add it if missing);
 * ``info A B``   — print the shortest route from A to B.
 
-Here the commands arrive as text lines in files dropped into a folder (any
-``readStream`` text source works).  Each micro-batch is one step of the
-shell: its ``time`` commands are applied first (a later command on the same
-route wins, and any override beats the averaged edge), then all its
-``info`` commands are answered together by one multi-source shortest-path
-job over the overridden graph.
-
-Both outputs are written per batch with ``overwrite`` into a
-``batch_id=<n>`` folder, so a batch that Spark replays after a failure
-rewrites the same files instead of appending twice.  The override log and
-the stream's own checkpoint live under shared folders (by default below
-the session's ``spark.checkpoint.dir``).
+Here commands arrive as text lines in files dropped into a folder (any
+``readStream`` text source works), and as files and lines of a stream have no
+order of their own, each line begins with its sequence number:
+``17 time A B 5``.  An ``info`` is answered over the overrides whose number is
+not above its own, from its own and all earlier batches, whatever file they
+came in; lines without a number, with an unknown command or airport, or with a
+weight that is not a whole number from 0 on go to the rejected output.
+
+All answers of a batch come from one shortest-path job: every edge carries the
+interval of sequence numbers in which it holds, and every query the number of
+the last override it sees, so queries of one start and one state of the graph
+share their labels.
+
+Overrides, answers and rejects are written with ``overwrite`` into a
+``batch_id=<n>`` folder each, so a batch that Spark replays after a failure
+rewrites the same files instead of appending twice.  The caller names the
+folders of input, output, state and stream checkpoint; a later run with the
+same folders goes on with the overrides of the earlier one.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from routelytics.operators.airports import names_to_ids
-from routelytics.operators.overrides import apply_overrides
+from routelytics.operators.airports import dense_index, names_to_ids
 from routelytics.plans.paths import route_queries
-from routelytics.session import checkpoint_dir, cut_lineage
+from routelytics.session import cut_lineage
 
+_FIRST, _LAST = -(1 << 62), 1 << 62
 
-def _split_commands(batch: DataFrame, batch_id: int) -> DataFrame:
+
+def parse_commands(lines: DataFrame, airport_dim: DataFrame) -> DataFrame:
+    """``(line, seq, cmd, a, b, src, dst, weight, reason)``; a null reason means a good command."""
     parts = F.split(F.trim(F.col("value")), " +", -1)
-    return batch.select(
-        F.struct(F.lit(batch_id).cast("long").alias("batch"),
-                 F.monotonically_increasing_id().alias("pos")).alias("seq"),
-        F.get(parts, 0).alias("cmd"), F.get(parts, 1).alias("a"), F.get(parts, 2).alias("b"),
-        F.get(parts, 3).try_cast("int").alias("w"))
+    number = F.get(parts, 0)
+    c = lines.select(F.col("value").alias("line"), F.when(number.rlike("^[0-9]{1,18}$"), number.try_cast("long")).alias("seq"),
+                     F.get(parts, 1).alias("cmd"), F.get(parts, 2).alias("a"), F.get(parts, 3).alias("b"),
+                     F.get(parts, 4).try_cast("int").cast("double").alias("weight"))
+    c = names_to_ids(names_to_ids(c, "a", "src", airport_dim), "b", "dst", airport_dim)
+    known = F.coalesce(F.col("cmd").isin("time", "info"), F.lit(False))
+    reason = (F.when(F.col("seq").isNull(), "no sequence number").when(~known, "unknown command")
+              .when(F.col("src").isNull() | F.col("dst").isNull(), "unknown airport")
+              .when((F.col("cmd") == "time") & ~F.coalesce(F.col("weight") >= 0, F.lit(False)), "bad weight"))
+    return c.select("line", "seq", "cmd", "a", "b", "src", "dst", "weight", reason.alias("reason"))
+
+
+def timed_edges(edges: DataFrame, overrides: DataFrame) -> DataFrame:
+    """``(src, dst, weight, since, until)``: when each weight of a route holds.
+
+    A base edge holds until the first override of its route, an override from
+    its own number until the next one.
+    """
+    last = overrides.groupBy("src", "dst", "seq").agg(F.max("weight").alias("weight"))
+    nxt = F.lead("seq").over(Window.partitionBy("src", "dst").orderBy("seq"))
+    ov = last.select("src", "dst", "weight", F.col("seq").alias("since"), F.coalesce(nxt, F.lit(_LAST)).alias("until"))
+    first = overrides.groupBy("src", "dst").agg(F.min("seq").alias("first"))
+    base = edges.select("src", "dst", F.col("weight").cast("double").alias("weight")).join(first, ["src", "dst"], "left")
+    return base.select("src", "dst", "weight", F.lit(_FIRST).alias("since"),
+                       F.coalesce("first", F.lit(_LAST)).alias("until")).unionByName(ov)
+
+
+def last_before(asked: DataFrame, overrides: DataFrame) -> DataFrame:
+    """``asked`` (with seq) and ``asof``: the largest override number up to its own.
+
+    The numbers are range-partitioned and scanned in order; one row per
+    partition carries the largest number on to the next, so no task sees all.
+    """
+    both = asked.withColumn("mark", F.lit(None).cast("long")).unionByName(
+        overrides.select("seq", F.col("seq").alias("mark")).distinct(), allowMissingColumns=True)
+    rows = cut_lineage(both.repartitionByRange("seq").withColumn("_p", F.spark_partition_id()))
+    ends = rows.groupBy("_p").agg(F.max("mark").alias("end"))
+    before = ends.select("_p", F.max("end").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)).alias("old"))
+    here = F.max("mark").over(Window.partitionBy("_p").orderBy("seq"))  # rows of one number count together
+    return (rows.join(F.broadcast(before), "_p")  # one row per partition
+            .withColumn("asof", F.coalesce(here, "old", F.lit(_FIRST)))
+            .where("cmd is not null").drop("_p", "mark", "old"))
+
+
+def answer(edges: DataFrame, infos: DataFrame, overrides: DataFrame, airport_dim: DataFrame) -> DataFrame:
+    """One row per ``infos`` row (seq, cmd, src, dst): seq, names, weight, hops and path."""
+    asked = cut_lineage(last_before(infos.select("seq", "cmd", "src", "dst"), overrides))
+    groups = asked.select(F.struct("src", "asof").alias("k")).distinct()
+    groups = cut_lineage(dense_index(groups, "k", "source").select("source", F.col("k.src").alias("start"), F.col("k.asof").alias("asof")))
+    asked = asked.withColumnRenamed("src", "start").join(groups, ["start", "asof"])
+    got = route_queries(timed_edges(edges, overrides), asked.select("source", "start", "asof", F.col("dst").alias("destination")),
+                        airport_dim)
+    return asked.select("seq", "source", F.col("dst").alias("destination")).join(got, ["source", "destination"]).select(
+        "seq", "origin", "dest", "weight", "hops", "path_text")
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, base_edges: DataFrame,
                   airport_dim: DataFrame, output_path: str, state_path: str) -> None:
     """Apply one micro-batch of commands (see module docstring)."""
-    cmds = cut_lineage(_split_commands(batch, batch_id))
-    times = cmds.where((F.col("cmd") == "time") & F.col("w").isNotNull() & (F.col("w") >= 0))
-    times = names_to_ids(names_to_ids(times, "a", "src", airport_dim), "b", "dst", airport_dim)
-    (times.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-     .select("seq", "src", "dst", F.col("w").cast("double").alias("weight"))
-     .write.mode("overwrite").parquet(os.path.join(state_path, "overrides", f"batch_id={batch_id}")))
-
-    infos = cmds.where(F.col("cmd") == "info")
+    part = f"batch_id={batch_id}"
+    cmds = cut_lineage(parse_commands(batch, airport_dim))
+    (cmds.where("reason is not null").select("line", "reason")
+     .write.mode("overwrite").parquet(os.path.join(output_path, "rejected", part)))
+    good = cmds.where("reason is null")
+    (good.where("cmd = 'time'").select("seq", "src", "dst", "weight")
+     .write.mode("overwrite").parquet(os.path.join(state_path, "overrides", part)))
+    infos = good.where("cmd = 'info'")
     if infos.isEmpty():
         return
-    log_dir = os.path.join(state_path, "overrides")
-    log = spark.read.parquet(log_dir).where(F.col("batch_id") <= batch_id).drop("batch_id")
-    edges = apply_overrides(base_edges, log)
-    q = names_to_ids(names_to_ids(infos, "a", "source", airport_dim), "b", "destination", airport_dim)
-    known = q.where(F.col("source").isNotNull() & F.col("destination").isNotNull())
-    answers = route_queries(edges, known.select("source", "destination"), airport_dim)
-    (answers.select("origin", "dest", "weight", "hops", "path_text")
-     .write.mode("overwrite").parquet(os.path.join(output_path, f"batch_id={batch_id}")))
-
-
-def command_stream(spark: SparkSession, commands_path: str, base_edges: DataFrame,
-                   airport_dim: DataFrame, output_path: str, state_path: str | None = None,
-                   checkpoint_location: str | None = None, available_now: bool = True):
+    log = spark.read.parquet(os.path.join(state_path, "overrides")).where(F.col("batch_id") <= batch_id).drop("batch_id")
+    (answer(base_edges, infos, log, airport_dim)
+     .write.mode("overwrite").parquet(os.path.join(output_path, "answers", part)))
+
+
+def command_stream(spark: SparkSession, commands_path: str, base_edges: DataFrame, airport_dim: DataFrame,
+                   output_path: str, state_path: str, checkpoint_location: str, available_now: bool = True):
     """Start the command stream; returns the ``StreamingQuery``.
 
     ``base_edges``: ``(src, dst, weight)`` route graph; ``airport_dim``:
-    ``(airport_id, name)``.  With ``available_now`` the query processes what
-    is in ``commands_path`` and stops (``awaitTermination`` to wait).
+    ``(airport_id, name)``.  Answers go to ``output_path``/answers, refused
+    lines to ``output_path``/rejected.  With ``available_now`` the query
+    processes what is in ``commands_path`` and stops (``awaitTermination`` to wait).
     """
-    root = checkpoint_dir(spark)
-    state_path = state_path or os.path.join(root, "route-shell-state")
-    checkpoint_location = checkpoint_location or os.path.join(root, "route-shell-stream")
     edges = cut_lineage(base_edges.select("src", "dst", "weight"))
     dim = cut_lineage(airport_dim.select("airport_id", "name"))
 

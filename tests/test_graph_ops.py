@@ -2,8 +2,9 @@ from pyspark.sql import functions as F
 
 from routelytics.operators.airports import airport_count, airports
 from routelytics.operators.edges import adjacency_get, edge_weight, incoming_adjacency
-from routelytics.operators.overrides import apply_overrides, latest_overrides, parse_override_commands
-from routelytics.sources.synthetic import connections, synthetic_flights
+from routelytics.operators.overrides import (apply_overrides, latest_overrides, override_rows, parse_override_commands,
+                                             rejected_override_commands)
+from routelytics.sources.synthetic import connections, grid_nodes, synthetic_flights
 
 
 def test_overrides_latest_wins_and_adds(spark):
@@ -23,6 +24,31 @@ def test_parse_override_commands(spark):
     assert got == [(1, 10, 20, 7.0)]
 
 
+def test_names_shared_by_airports_mean_the_least_id(spark):
+    dim = spark.createDataFrame([(30, "A"), (10, "A"), (20, "B")], "airport_id long, name string")
+    cmds = spark.createDataFrame([(1, "time A B 7"), (2, "time A")], "seq long, value string")
+    got = [(r.seq, r.src, r.dst, r.weight) for r in parse_override_commands(cmds, dim).collect()]
+    assert got == [(1, 10, 20, 7.0)]
+    assert [r.seq for r in rejected_override_commands(cmds, dim).collect()] == [2]
+
+
+def test_override_rows_keep_their_order(spark):
+    got = override_rows(spark, [(0, 1, 5), (0, 1, 3)])
+    assert [(r.src, r.dst, r.weight) for r in latest_overrides(got).collect()] == [(0, 1, 3.0)]
+    assert override_rows(spark, []).count() == 0
+
+
+def test_generator_over_a_table(spark):
+    nodes = spark.createDataFrame([(70, "x", 0, 0), (10, "y", 3, 4), (40, "z", 9, 0)], "id long, name string, x long, y long")
+    fl = synthetic_flights(nodes, 100, 1).collect()
+    assert len(fl) == 3 * (1 + 3) and {r.org_id for r in fl} == {10, 40, 70}
+    place = {10: (3, 4), 40: (9, 0), 70: (0, 0)}
+    for r in fl:
+        (a, b), (c, d) = place[r.org_id], place[r.dest_id]
+        assert r.distance == int(((a - c) ** 2 + (b - d) ** 2) ** 0.5) and r.origin == {70: "x", 10: "y", 40: "z"}[r.org_id]
+    assert synthetic_flights(nodes.limit(0), 100, 1).count() == 0
+
+
 def test_adjacency_blocks_and_lookup(spark):
     e = spark.createDataFrame([(s, 7, float(s)) for s in range(10)] + [(7, 3, 1.5)],
                               "src long, dst long, weight double")
@@ -38,7 +64,7 @@ def test_adjacency_blocks_and_lookup(spark):
 
 
 def test_airports_dense_ids(spark):
-    fl = synthetic_flights(spark, 50, 4, 1).withColumn("org_id", F.col("org_id") * 3 + 1000) \
+    fl = synthetic_flights(grid_nodes(spark, 50, 1), 4, 1).withColumn("org_id", F.col("org_id") * 3 + 1000) \
         .withColumn("dest_id", F.col("dest_id") * 3 + 1000)
     a = airports(fl).orderBy("airport_id").collect()
     assert [r.node_id for r in a] == list(range(50))
@@ -47,7 +73,7 @@ def test_airports_dense_ids(spark):
 
 def test_synthetic_shape(spark):
     n, pct = 40, 10
-    fl = synthetic_flights(spark, n, pct, 3)
+    fl = synthetic_flights(grid_nodes(spark, n, 3), pct, 3)
     assert fl.count() == n * (1 + connections(n, pct))
     ring = fl.where(F.col("dest_id") == (F.col("org_id") + 1) % n).select("org_id").distinct().count()
     assert ring == n

@@ -31,6 +31,8 @@ def test_extra_fields_ignored(spark):
 @pytest.mark.parametrize("bad", [
     "1,3,AA,N1,x12,100,SFO,200,LAX,600,605,5,700,,,60,337",     # bad int
     "1,3,AA,N1,12,100,SFO,200,LAX,,605,5,700,,,60,337",          # blank that is not 13/14
+    "1,3,AA,N1, 12,100,SFO,200,LAX,600,605,5,700,,,60,337",     # blank before a whole number
+    "1,3,AA,N1,12,100,SFO,200,LAX,600,605,5,700,  ,,60,337",     # blanks are not an empty field
     "1,3,AA,N1,12,100,SFO",                                      # short line
     "",
 ])
@@ -38,8 +40,18 @@ def test_rejects(spark, bad):
     df = lines(spark, GOOD, bad)
     assert parse_flights(df).count() == 1
     assert [r.value for r in rejected_flights(df).collect()] == [bad]
-    with pytest.raises(ValueError):
-        parse_flights(df, mode="strict")
+    strict = parse_flights(df, mode="strict")  # fails where the line is read, not while the query is built
+    with pytest.raises(Exception, match="malformed flight line"):
+        strict.collect()
+
+
+def test_strict_mode_scans_once(spark):
+    df = parse_flights(derived_lines(spark), mode="strict").select("origin")
+    assert df._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet") == 1
+
+
+def derived_lines(spark):
+    return flights_to_lines(derived_flights(spark, SF_TINY))
 
 
 def test_roundtrip_fixture(spark):

@@ -1,22 +1,46 @@
 import os
-import tempfile
+
+import pytest
 
 from routelytics.streaming.commands import command_stream
 
 
-def test_command_stream_applies_overrides_then_answers(spark):
+@pytest.fixture
+def shell(spark, tmp_path):
     base = spark.createDataFrame([(1, 2, 10.0), (2, 3, 10.0), (1, 3, 50.0)], "src long, dst long, weight double")
-    dim = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C")], "airport_id long, name string")
-    root = tempfile.mkdtemp(prefix="routelytics-stream-test-")
-    cmds = os.path.join(root, "in")
-    os.makedirs(cmds)
-    with open(os.path.join(cmds, "batch.txt"), "w") as f:
-        f.write("time A C 5\ntime A C 30\ninfo A C\ninfo C A\nbogus line\n")
-    out = os.path.join(root, "out")
-    q = command_stream(spark, cmds, base, dim, out, state_path=os.path.join(root, "state"),
-                       checkpoint_location=os.path.join(root, "ckpt"))
-    q.awaitTermination(300)
-    rows = {(r.origin, r.dest): r for r in spark.read.parquet(out).collect()}
-    # the later override (30) wins over the earlier one; the path via B (20) is cheaper
-    assert rows[("A", "C")].weight == 20.0 and rows[("A", "C")].path_text == "A -> B -> C"
-    assert rows[("C", "A")].weight is None
+    dim = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C"), (9, "C")], "airport_id long, name string")
+    root = str(tmp_path)
+    os.makedirs(f"{root}/in")
+
+    def run(**files):
+        for name, text in files.items():
+            with open(f"{root}/in/{name}.txt", "w") as f:
+                f.write(text)
+        q = command_stream(spark, f"{root}/in", base, dim, f"{root}/out", f"{root}/state", f"{root}/ckpt")
+        q.awaitTermination(300)
+        answers = {(r.seq, r.origin, r.dest): (r.weight, r.path_text) for r in spark.read.parquet(f"{root}/out/answers").collect()}
+        rejected = {(r.line, r.reason) for r in spark.read.parquet(f"{root}/out/rejected").collect()}
+        return answers, rejected
+    return run
+
+
+def test_answers_follow_the_sequence_numbers(shell):
+    """Queries see only overrides before them, whatever file and line they are in."""
+    answers, rejected = shell(
+        a="5 info A C\n40 info A C\n41 info C A\n" + "0 info A B\n" * 200,
+        b="30 time A C 30\n",
+        c="10 time A C 5\n20 info A C\nbogus line\n21 time A Z 1\n22 info A Z\n23 time A B x\n24 fly A B\ninfo A B\n25 time A B -1\n")
+    assert answers[(5, "A", "C")] == (20.0, "A -> B -> C")
+    assert answers[(20, "A", "C")] == (5.0, "A -> C")
+    assert answers[(40, "A", "C")] == (20.0, "A -> B -> C")
+    assert answers[(41, "C", "A")] == (None, None)
+    assert answers[(0, "A", "B")] == (10.0, "A -> B") and len(answers) == 5
+    assert rejected == {("bogus line", "no sequence number"), ("21 time A Z 1", "unknown airport"), ("22 info A Z", "unknown airport"),
+                        ("23 time A B x", "bad weight"), ("24 fly A B", "unknown command"), ("info A B", "no sequence number"),
+                        ("25 time A B -1", "bad weight")}
+
+
+def test_a_later_run_keeps_the_overrides(shell):
+    shell(a="1 time A C 5\n2 info A C\n")
+    answers, _ = shell(b="9 info A C\n")
+    assert answers == {(2, "A", "C"): (5.0, "A -> C"), (9, "A", "C"): (5.0, "A -> C")}
