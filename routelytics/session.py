@@ -89,6 +89,7 @@ class RoundTables:
         self.spark, self.keep = spark, keep
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
         self.n = 0
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
 
     def write(self, df: DataFrame, **metrics) -> tuple[DataFrame, dict]:
         self.n += 1
@@ -103,4 +104,11 @@ class RoundTables:
             got = {}
         if self.keep and self.n > self.keep:
             delete_path(self.spark, f"{self.root}/round={self.n - self.keep}")
-        return self.spark.read.parquet(path), got
+        out = self.spark.read.parquet(path)
+        self._paths[id(out)] = out, path
+        return out, got
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables of this set that nothing reads any more."""
+        for t in tables:
+            delete_path(self.spark, self._paths.pop(id(t))[1])
