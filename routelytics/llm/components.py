@@ -15,9 +15,10 @@ from routelytics.session import RoundTables
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """links (u, v) with v < u; every node points to the least id it can see."""
-    both = links if not large else links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")) if large else \
-        both.groupBy("u").agg(F.min("v").alias("m"))
+    both = links
+    if large:
+        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     got = both.join(least, "u")
     if large:
         out = got.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -32,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Self links are ignored; an empty table gives an empty result.
     """
-    tables = RoundTables(links.sparkSession, "components")
+    tables = RoundTables(links.sparkSession, "components", keep=2)
     state = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     mark = {"n": F.count(F.lit(1)), "h": F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))}
     state, before = tables.write(state, **mark)

@@ -281,8 +281,11 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams(), id_col: st
             late, found = tables.write(_confirm(pairs, sets, p), n=F.count(F.lit(1)))
             if found["n"]:
                 joined = components(links.unionByName(late))
+            tables.drop(full, pairs, late)
+        tables.drop(of)
     else:
         joined = docs.sparkSession.createDataFrame([], "node long, component long")
+    tables.drop(reps, buckets, stars, sets)
     out = (rows.join(rep_of, "set_key", "left").join(joined, F.col("rep") == joined.node, "left")
            .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id")))
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))

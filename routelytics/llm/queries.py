@@ -89,12 +89,12 @@ classes as (select min(doc_id) rep, s from sets where len(s) > 0 group by s),
 grams as (select rep, len(s) n, unnest(s) g from classes),
 links as (select a.rep a, b.rep b from grams a join grams b on a.g = b.g and a.rep < b.rep
           group by a.rep, b.rep, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
-both as (select a, b from links union select b, a from links),
-walk as (select rep a, rep b from classes union select w.a, t.b from walk w join both t on t.a = w.b),
-least as (select a rep, min(b) component from walk group by a)
+sym as (select a, b from links union select b, a from links),
+walk as (select rep a, rep b from classes union select w.a, t.b from walk w join sym t on t.a = w.b),
+lowest as (select a rep, min(b) component from walk group by a)
 select d.doc_id, cast(len(d.s) as bigint) n_shingles, coalesce(l.component, d.doc_id) component_id,
        d.doc_id = coalesce(l.component, d.doc_id) kept
-from sets d left join classes c on c.s = d.s left join least l on l.rep = c.rep
+from sets d left join classes c on c.s = d.s left join lowest l on l.rep = c.rep
 """
 
 _OP8_SQL = """
