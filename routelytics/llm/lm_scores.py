@@ -43,7 +43,8 @@ from routelytics.session import RoundTables
 @dataclass(frozen=True)
 class LmParams:
     order: int = 5
-    block_chars: int = 3 << 20
+    #: characters of a block: larger ones ask the model for fewer n-grams in all
+    block_chars: int = 8 << 20
     #: pseudo-counts that each shorter context adds
     smoothing: float = 8.0
     #: mass added to every character
@@ -51,6 +52,10 @@ class LmParams:
 
 
 _BEGIN = 1  # stands before the first character
+#: entries of a table that numbers keys without sorting them
+_TABLE = 1 << 23
+#: characters a task numbers at a time
+_PIECE = 2 << 20
 
 
 def _codes(text: str) -> np.ndarray:
@@ -70,48 +75,77 @@ def ngrams(texts: list[str], order: int) -> tuple[list[str], np.ndarray, np.ndar
     begin = np.cumsum(size + order - 1) - (size + order - 1)
     ends[(begin[:, None] + np.arange(order - 1)).ravel()] = False
     at = np.flatnonzero(ends)
-    chars, ids = np.unique(flat, return_inverse=True)
-    key, span = ids[at - (order - 1)].astype(np.int64), len(chars)
+    ids, chars = _number(flat.astype(np.int64), 0x110000)
+    index, n = ids[at - (order - 1)], chars
     for k in range(order - 2, -1, -1):
-        if span * len(chars) >= 1 << 62:  # keep the combination exact
-            u, key = np.unique(key, return_inverse=True)
-            span = len(u)
-        key = key * len(chars) + ids[at - k]
-        span *= len(chars)
-    _, first, index = np.unique(key, return_index=True, return_inverse=True)
-    grams = flat[at[first][:, None] + np.arange(1 - order, 1)]
+        index, n = _number(index * chars + ids[at - k], n * chars)
+    last = np.empty(n, np.int64)
+    last[index] = at  # any place of each n-gram
+    grams = flat[last[:, None] + np.arange(1 - order, 1)]
     return np.ascontiguousarray(grams).view(f"<U{order}").ravel().tolist(), index, size
 
 
+def _number(key: np.ndarray, span: int) -> tuple[np.ndarray, int]:
+    """Keys below ``span`` numbered from 0 in their order, and how many there are."""
+    if span > _TABLE:
+        distinct, index = np.unique(key, return_inverse=True)
+        return index, len(distinct)
+    seen = np.zeros(span, bool)
+    seen[key] = True
+    rank = np.cumsum(seen, dtype=np.int32)
+    return rank[key].astype(np.int64) - 1, int(rank[-1]) if span else 0
+
+
+def _pieces(texts: list[str], most: int) -> list[tuple[int, int]]:
+    """Stretches (from, to) of the texts of at most ``most`` characters, or of one text."""
+    out, lo, held = [], 0, 0
+    for i, t in enumerate(texts):
+        if i > lo and held + len(t) > most:
+            out.append((lo, i))
+            lo, held = i, 0
+        held += len(t)
+    return [*out, (lo, len(texts))] if texts else []
+
+
 def _texts(table: pa.Table) -> list[str]:
     return [t or "" for t in table.column("text").to_pylist()]
 
 
 def _count_block(order: int):
     def f(docs: pa.Table, marks: pa.Table) -> pa.Table:
-        target = set(marks.column("mark").to_pylist())
-        grams, index, size = ngrams(_texts(docs), order)
+        target, texts = set(marks.column("mark").to_pylist()), _texts(docs)
         mine = np.array([i is not None and i in target for i in docs.column("id").to_pylist()], bool)
-        n = np.bincount(index, minlength=len(grams))
-        t = np.bincount(index[np.repeat(mine, size)], minlength=len(grams)) if len(index) else n
+        row: dict[str, int] = {}
+        n, t = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for lo, hi in _pieces(texts, _PIECE):
+            grams, index, size = ngrams(texts[lo:hi], order)
+            of = np.fromiter((row.setdefault(g, len(row)) for g in grams), np.int64, len(grams))
+            n, t = (np.concatenate([x, np.zeros(len(row) - len(x), np.int64)]) for x in (n, t))
+            n[of] += np.bincount(index, minlength=len(grams))
+            t[of] += np.bincount(index[np.repeat(mine[lo:hi], size)], minlength=len(grams))
         block = docs.column("block")[0].as_py() if docs.num_rows else 0
-        return pa.table({"block": pa.array([block] * len(grams), pa.int64()), "g": pa.array(grams, pa.string()),
-                         "n": pa.array(n.astype(np.int64)), "t": pa.array(t.astype(np.int64))})
+        return pa.table({"block": pa.array(np.full(len(row), block, np.int64)), "g": pa.array(list(row), pa.string()),
+                         "n": pa.array(n), "t": pa.array(t)})
     return f
 
 
 def _score_block(order: int, id_type: pa.DataType):
     def f(docs: pa.Table, losses: pa.Table) -> pa.Table:
-        grams, index, size = ngrams(_texts(docs), order)
+        texts = _texts(docs)
         of = dict(zip(losses.column("g").to_pylist(), range(losses.num_rows)))
-        row = np.fromiter(map(of.__getitem__, grams), np.int64, len(grams))
-        doc = np.repeat(np.arange(docs.num_rows), size)
-        sums = []
-        for c in ("lt", "lb"):
-            value = losses.column(c).to_numpy()[row] if len(grams) else np.empty(0)
-            sums.append(np.bincount(doc, value[index], docs.num_rows).astype(np.float64))
-        return pa.table({"doc_id": docs.column("id").cast(id_type), "n_tokens": pa.array(size),
-                         "target_loss": pa.array(sums[0]), "background_loss": pa.array(sums[1])})
+        values = [losses.column(c).to_numpy() for c in ("lt", "lb")]
+        sizes, sums = [np.zeros(0, np.int64)], [[np.zeros(0)], [np.zeros(0)]]
+        for lo, hi in _pieces(texts, _PIECE):
+            grams, index, size = ngrams(texts[lo:hi], order)
+            row = np.fromiter(map(of.__getitem__, grams), np.int64, len(grams))
+            doc = np.repeat(np.arange(hi - lo), size)
+            sizes.append(size)
+            for out, v in zip(sums, values):
+                each = v[row][index] if len(grams) else np.zeros(0)
+                out.append(np.bincount(doc, each, hi - lo).astype(np.float64))
+        lt, lb = (pa.array(np.concatenate(x)) for x in sums)
+        return pa.table({"doc_id": docs.column("id").cast(id_type), "n_tokens": pa.array(np.concatenate(sizes)),
+                         "target_loss": lt, "background_loss": lb})
     return f
 
 

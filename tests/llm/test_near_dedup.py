@@ -1,5 +1,4 @@
 import random
-import re
 
 import duckdb
 import pytest
@@ -8,6 +7,8 @@ from routelytics.llm import near_dedup as q
 from routelytics.llm.components import components
 from routelytics.llm.queries import ORACLE_SQL
 
+from llm_brute import components_by_all_pairs, shingles
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -16,24 +17,9 @@ def docs(spark, texts):
 
 
 def brute(texts, width=4, percent=80):
-    """Component of every id by comparing all pairs."""
-    sets = {}
-    for i, t in texts:
-        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
-        sets[i] = {tuple(w[k:k + width]) for k in range(max(1, len(w) - width + 1))} if w else set()
-    comp = {i: i for i in sets}
-    ids = sorted(sets)
-    links = [(a, b) for n, a in enumerate(ids) for b in ids[:n]
-             if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
-    moved = True
-    while moved:
-        moved = False
-        for a, b in links:
-            m = min(comp[a], comp[b])
-            if comp[a] != m or comp[b] != m:
-                comp[a] = comp[b] = m
-                moved = True
-    return {i: (len(sets[i]), comp[i]) for i in ids}
+    """Set size and component of every id by comparing all pairs."""
+    comp = components_by_all_pairs(texts, width, percent)
+    return {i: (len(shingles(t, width)), comp[i]) for i, t in texts}
 
 
 def near_copies(rng, n, words=60, edits=6):
