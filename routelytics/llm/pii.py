@@ -191,12 +191,14 @@ def _proposer(p: PiiParams):
         out = [(k, a, z, min(1.0, prior[k] + context(t, k, a, z)), True) for k, a, z in spans]
         extra = [(k, a, z, min(1.0, s + context(t, k, a, z)), False) for k, a, z, s in more(t, failed)]
         if extra:
-            taken = sorted((a, z) for _, a, z, _, _ in out)
+            taken = bytearray(len(t))  # 1 where a span lies
+            for _, a, z, _, _ in out:
+                taken[a:z] = b"\1" * (z - a)
             # the best first; a span may touch only free text
             for x in sorted(extra, key=lambda x: (-x[3], x[1], KINDS.index(x[0]))):
-                if x[3] >= p.least_score and not any(a < x[2] and x[1] < z for a, z in taken):
+                if x[3] >= p.least_score and 1 not in taken[x[1]:x[2]]:
                     out.append(x)
-                    taken.append((x[1], x[2]))
+                    taken[x[1]:x[2]] = b"\1" * (x[2] - x[1])
         return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
     return one
 
