@@ -12,9 +12,10 @@ Steps, all on representatives of equal sets (exact copies cost one row):
 
 1. A group hash that no other text has cannot take part in any table, so
    table keys are formed only from groups that collide.
-2. Each table's members are paired with its least member (a star).  In a few
-   rounds every component tries the star pair that shares most tables and
-   leads out of it; it is confirmed on the full sets and joins two components.
+2. Each table's members are paired with its least member (a star).  A text
+   tries the star that shares most tables with it, then its next ones where
+   they lie in another component; confirmed on the full sets, they join
+   components.
 3. Tables that still hold several components pair every member outside the
    largest one with the members of other components, each pair once (in the
    first table it shares), and these are confirmed as well.  So no
@@ -56,11 +57,8 @@ class NearDupParams:
     #: agreeing minhashes that a candidate needs before its sets are compared:
     #: at similarity 0.8, fewer than this share agree with probability 1e-6
     agree: float = 0.6
-    #: rounds in which every component tries its best star pair, before all
-    #: remaining pairs between components are compared
-    star_rounds: int = 3
-    #: star pairs of a text that these rounds may try
-    star_pairs: int = 4
+    #: stars a text tries before all remaining pairs between components are compared
+    star_pairs: int = 8
 
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -194,19 +192,13 @@ def _confirm(pairs: DataFrame, sets: DataFrame, p: NearDupParams) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _best(stars: DataFrame, joined: DataFrame | None, tried: DataFrame | None) -> DataFrame:
-    """For each component the untried star pair, out of it or into it, that shares most tables."""
-    pairs = stars.withColumn("ca", F.col("a")).withColumn("cb", F.col("b"))
-    if joined is not None:
-        for end in "ab":
-            of = joined.select(F.col("node").alias(end), F.col("component").alias("comp"))
-            pairs = pairs.join(of, end, "left").withColumn(f"c{end}", F.coalesce("comp", end)).drop("comp")
-        pairs = pairs.filter("ca <> cb").join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    best = F.max(F.struct("n", (-F.col("b")).alias("later"), "a", "b")).alias("m")
-    picked = pairs.groupBy("ca").agg(best).select("m.a", "m.b")
-    if joined is not None:
-        picked = picked.unionByName(pairs.groupBy("cb").agg(best).select("m.a", "m.b")).distinct()
-    return picked
+def _apart(stars: DataFrame, joined: DataFrame, tried: DataFrame) -> DataFrame:
+    """Untried star pairs whose ends are in different components."""
+    pairs = stars.select("a", "b").withColumn("ca", F.col("a")).withColumn("cb", F.col("b"))
+    for end in "ab":
+        of = joined.select(F.col("node").alias(end), F.col("component").alias("comp"))
+        pairs = pairs.join(of, end, "left").withColumn(f"c{end}", F.coalesce("comp", end)).drop("comp")
+    return pairs.filter("ca <> cb").select("a", "b").join(tried.select("a", "b"), ["a", "b"], "left_anti")
 
 
 def _across(full: DataFrame, p: NearDupParams, need) -> DataFrame:
@@ -243,8 +235,8 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams(), id_col: st
     # the stars that share most tables with a text, which has one in each table at most;
     # pairs left out here are compared at the end, if their ends are not connected by then
     nearest = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "b"))), 1, p.star_pairs)
-    stars = stars.groupBy("a").agg(nearest.alias("s")).select("a", F.explode("s").alias("s")).select(
-        "a", "s.b", (-F.col("s.n")).alias("n"))
+    stars = stars.groupBy("a").agg(nearest.alias("s")).select("a", F.posexplode("s").alias("turn", "s")).select(
+        "a", "s.b", "turn")
     stars, _ = tables.write(stars)
 
     # full sets of the texts that share a table with another one
@@ -254,16 +246,19 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams(), id_col: st
     sets = map_texts(texts, _full_sets(p), _FULL_SET, ["rep", "set_key"])
     sets, _ = tables.write(sets.filter("set_key = own_key").select("rep", "hashes"))
 
-    links = tried = joined = None
-    for _ in range(p.star_rounds):
-        pairs, picked = tables.write(_best(stars, joined, tried), n=F.count(F.lit(1)))
-        if not picked["n"]:
-            break
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found, new = tables.write(_confirm(pairs, sets, p), n=F.count(F.lit(1)))
-        if links is None or new["n"]:
-            links = found if links is None else links.unionByName(found)
-            joined, _ = tables.write(components(links))
+    # each text tries its nearest star, then its others that lead to another component
+    tried, picked = tables.write(stars.filter("turn = 0").select("a", "b"), n=F.count(F.lit(1)))
+    links = joined = None
+    if picked["n"]:
+        links, _ = tables.write(_confirm(tried, sets, p))
+        joined, _ = tables.write(components(links))
+        pairs, picked = tables.write(_apart(stars, joined, tried), n=F.count(F.lit(1)))
+        if picked["n"]:
+            tried = tried.unionByName(pairs)
+            found, new = tables.write(_confirm(pairs, sets, p), n=F.count(F.lit(1)))
+            if new["n"]:
+                links = links.unionByName(found)
+                joined, _ = tables.write(components(links))
     if links is not None:
         # tables that still hold several components
         need = F.lit(int(p.agree * 2 * p.groups * p.rows))
