@@ -54,9 +54,11 @@ class NearDupParams:
     groups: int = 14
     rows: int = 3
     seed: int = 20240607
-    #: agreeing minhashes that a candidate needs before its sets are compared:
-    #: at similarity 0.8, fewer than this share agree with probability 1e-6
-    agree: float = 0.6
+    #: further minhashes of texts that share a table, and the share of them that must
+    #: agree before the sets of a late candidate are compared: at similarity 0.8 a
+    #: smaller share agrees with probability 1e-4
+    sketch: int = 192
+    agree: float = 0.69
     #: stars a text tries before all remaining pairs between components are compared
     star_pairs: int = 8
 
@@ -102,6 +104,24 @@ def shingler(p: NearDupParams):
     return f
 
 
+def _minhashes(sets: list[np.ndarray], mult: np.ndarray) -> np.ndarray:
+    """(sets, hashes) least 32-bit hash of each set under each function; 0 for empty sets."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    full = np.flatnonzero(sizes)
+    out = np.zeros((len(sets), len(mult)), np.uint32)
+    if len(full):
+        flat = np.concatenate([sets[i] for i in full])
+        starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
+        for k, m in enumerate(mult):
+            out[full, k] = np.minimum.reduceat(flat * m, starts) >> np.uint64(32)
+    return out
+
+
+def _lists(a: np.ndarray, kind: pa.DataType, dtype) -> pa.Array:
+    offsets = np.arange(len(a) + 1, dtype=np.int32) * a.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(a).view(dtype).ravel(), kind))
+
+
 def _signatures(p: NearDupParams):
     def make():
         sets_of = shingler(p)
@@ -111,30 +131,19 @@ def _signatures(p: NearDupParams):
         def f(texts):
             sets = [sets_of(t) for t in texts]
             sizes = np.array([len(s) for s in sets], np.int64)
-            full = np.flatnonzero(sizes)
-            sig = np.zeros((len(texts), n_hash), np.uint32)
-            if len(full):
-                flat = np.concatenate([sets[i] for i in full])
-                starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-                for k in range(n_hash):
-                    sig[full, k] = np.minimum.reduceat(flat * mult[k], starts) >> np.uint64(32)
+            sig = _minhashes(sets, mult)
             grouped = sig.reshape(len(texts), 2 * p.groups, p.rows).astype(np.uint64)
             g = np.broadcast_to(np.arange(1, 2 * p.groups + 1, dtype=np.uint64), grouped.shape[:2]).copy()
             for r in range(p.rows):
                 g = _mix(g * np.uint64(0x9E3779B97F4A7C15) + grouped[:, :, r])
             keys = [_key(s) for s in sets]
-
-            def lists(a, kind, dtype):
-                offsets = np.arange(len(texts) + 1, dtype=np.int32) * a.shape[1]
-                return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(a).view(dtype).ravel(), kind))
-            # a byte of each minhash is enough to count agreements
-            return [pa.array(sizes), keys, lists(sig.astype(np.uint8), pa.int8(), np.int8), lists(g, pa.int64(), np.int64)]
+            return [pa.array(sizes), keys, _lists(g, pa.int64(), np.int64)]
         return f
     return make
 
 
 _SIGNATURE = StructType([StructField("n_shingles", LongType()), StructField("set_key", BinaryType()),
-                         StructField("sig", ArrayType(ByteType())), StructField("grp", ArrayType(LongType()))])
+                         StructField("grp", ArrayType(LongType()))])
 
 
 def _key(hashes: np.ndarray) -> bytes | None:
@@ -143,16 +152,19 @@ def _key(hashes: np.ndarray) -> bytes | None:
 
 def _full_sets(p: NearDupParams):
     def make():
-        sets_of = shingler(p)
+        sets_of, mult = shingler(p), _multipliers(p.sketch, p.seed + 2)
 
         def f(texts):
             sets = [sets_of(t) for t in texts]
-            return [[_key(s) for s in sets], [s.tobytes() for s in sets]]
+            # a byte of each minhash is enough to count agreements
+            sketch = _lists(_minhashes(sets, mult).astype(np.uint8), pa.int8(), np.int8)
+            return [[_key(s) for s in sets], [s.tobytes() for s in sets], sketch]
         return f
     return make
 
 
-_FULL_SET = StructType([StructField("own_key", BinaryType()), StructField("hashes", BinaryType())])
+_FULL_SET = StructType([StructField("own_key", BinaryType()), StructField("hashes", BinaryType()),
+                        StructField("sketch", ArrayType(ByteType()))])
 
 
 def _buckets(reps: DataFrame, p: NearDupParams) -> DataFrame:
@@ -203,7 +215,7 @@ def _apart(stars: DataFrame, joined: DataFrame, tried: DataFrame) -> DataFrame:
 
 def _across(full: DataFrame, p: NearDupParams, need) -> DataFrame:
     """Pairs (a, b), a > b, that share a table, are in different components and
-    whose signatures agree enough; each once, at the first table it shares."""
+    whose sketches agree enough; each once, at the first table it shares."""
     x, y = full.filter("comp <> main").alias("x"), full.alias("y")
 
     def first_shared(lo):
@@ -212,7 +224,7 @@ def _across(full: DataFrame, p: NearDupParams, need) -> DataFrame:
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp"))
                    & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.rep") > F.col("y.rep")))
                    & (first_shared(0) == F.col("x.ti")) & (first_shared(p.groups) == F.col("x.tj"))
-                   & (_agree(F.col("x.sig"), F.col("y.sig")) >= need))
+                   & (_agree(F.col("x.sketch"), F.col("y.sketch")) >= need))
     return pairs.select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")).distinct()
 
 
@@ -225,7 +237,7 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams(), id_col: st
     rep_of, _ = tables.write(some.groupBy("set_key").agg(F.min("doc_id").alias("rep")))
     # one row per distinct set: the row of its least id, with the signature
     reps = (some.join(rep_of, "set_key").filter("doc_id = rep")
-            .groupBy("set_key").agg(F.first("rep").alias("rep"), F.first("sig").alias("sig"), F.first("grp").alias("grp")))
+            .groupBy("set_key").agg(F.first("rep").alias("rep"), F.first("grp").alias("grp")))
     reps, _ = tables.write(reps)
 
     buckets, _ = tables.write(_buckets(reps, p))
@@ -244,7 +256,7 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams(), id_col: st
               .join(reps.select("rep", "set_key"), "rep"))
     texts = docs.select(F.col(f"`{id_col}`").alias("rep"), F.col("text")).join(wanted.hint("shuffle_hash"), "rep")
     sets = map_texts(texts, _full_sets(p), _FULL_SET, ["rep", "set_key"])
-    sets, _ = tables.write(sets.filter("set_key = own_key").select("rep", "hashes"))
+    sets, _ = tables.write(sets.filter("set_key = own_key").select("rep", "hashes", "sketch"))
 
     # each text tries its nearest star, then its others that lead to another component
     tried, picked = tables.write(stars.filter("turn = 0").select("a", "b"), n=F.count(F.lit(1)))
@@ -261,7 +273,7 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams(), id_col: st
                 joined, _ = tables.write(components(links))
     if links is not None:
         # tables that still hold several components
-        need = F.lit(int(p.agree * 2 * p.groups * p.rows))
+        need = F.lit(int(p.agree * p.sketch))
         of = (buckets.join(shared.select("key"), "key", "left_semi").join(joined, buckets.rep == joined.node, "left")
               .select("key", "ti", "tj", "rep", F.coalesce("component", "rep").alias("comp")))
         mixed = of.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
@@ -270,7 +282,8 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams(), id_col: st
             sizes = of.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
             main = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m")).select("key", F.col("m.comp").alias("main"))
             short = F.transform("grp", lambda g: (g % (1 << 31)).cast("int")).alias("grp")
-            full, _ = tables.write(of.join(main, "key").join(reps.select("rep", "sig", short), "rep"))
+            full, _ = tables.write(of.join(main, "key").join(reps.select("rep", short), "rep")
+                                   .join(sets.select("rep", "sketch"), "rep"))
             pairs = _across(full, p, need).join(tried.select("a", "b"), ["a", "b"], "left_anti")
             pairs, _ = tables.write(pairs)
             late, found = tables.write(_confirm(pairs, sets, p), n=F.count(F.lit(1)))
