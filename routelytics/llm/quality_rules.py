@@ -41,7 +41,7 @@ _COUNT_TYPE = StructType([StructField(c, LongType(), False) for c in COUNTS])
 @dataclass(frozen=True)
 class QualityParams:
     #: share of a group's rows in the concentrated subset
-    subset: float = 0.75
+    subset: float = 0.5
     #: concentration steps after the median start
     steps: int = 4
     #: rows a group needs for an estimate of its own

@@ -47,6 +47,16 @@ def test_symbol_texts_go_and_clean_ones_stay(spark):
     assert got[1000].n_symbols == 3 * 59 and got[0].n_words == 60
 
 
+@pytest.mark.parametrize("share", [0.3, 0.45])
+def test_a_source_with_much_junk_loses_all_of_it(spark, share):
+    rng = np.random.default_rng(5)
+    vocab = ["w%s" % ("x" * int(k % 7)) + str(k) for k in range(3000)]
+    n = int(1000 * share)
+    rows = [(i, ("### " if i < n else " ").join(rng.choice(vocab, 60)), "en", "hot", 1) for i in range(1000)]
+    got = {r.doc_id: r.kept for r in q.digest(docs(spark, rows)).collect()}
+    assert not any(got[i] for i in range(n)) and all(got[i] for i in range(n, 1000))
+
+
 def test_edge_rows(spark):
     rows = corpus() + [(None, "too short", None, None, None), (5000, None, "en", "hot", None), (5001, "", None, "hot", 0),
                        (5002, " \n\t ", "en", None, 0), (1, corpus()[1][1], "en", "hot", 1),
