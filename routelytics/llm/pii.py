@@ -11,7 +11,9 @@ digits).  Beyond them the operator proposes more spans:
 
 Each span has a score: its pattern's prior, more for a passed checksum, moved
 up or down by words nearby.  Base spans always stay; another span stays if
-it scores at least ``least_score`` and overlaps no span that stays.
+it scores at least ``least_score`` and overlaps no span that stays.  A secret
+of any length that follows its name is kept whole, or as its parts between the
+spans inside it.
 
 Every scan is linear in the text: mail addresses are found from their @ and
 digit runs from their first digit, never again from each of their characters.
@@ -68,7 +70,7 @@ _PATTERNS = {
     "national": r"(?<![\w+.)-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "assigned": r"(?i:password|passwd|secret|token|api[_-]?key)[\"']?\s?[=:]\s?[\"']?([^\s\"',;]{8,128})",
+    "assigned": r"(?i:password|passwd|secret|token|api[_-]?key)[\"']?\s?[=:]\s?[\"']?([^\s\"',;]{8,})",
     "words": r"[^\W\d_]+",
 }
 #: words that speak for a kind (a prefix of a nearby word is enough) or against it
@@ -86,6 +88,7 @@ _AGAINST = ("version", "isbn", "order", "invoice", "serial", "doi", "example", "
 def _proposer(p: PiiParams):
     rx = {k: re.compile(v) for k, v in _PATTERNS.items()}
     groups = re.compile(r"[0-9]+")
+    free = re.compile(rb"\0+")
 
     def digits(s: str) -> str:
         return "".join(c for c in s if "0" <= c <= "9")
@@ -195,10 +198,16 @@ def _proposer(p: PiiParams):
             for _, a, z, _, _ in out:
                 taken[a:z] = b"\1" * (z - a)
             # the best first; a span may touch only free text
-            for x in sorted(extra, key=lambda x: (-x[3], x[1], KINDS.index(x[0]))):
-                if x[3] >= p.least_score and 1 not in taken[x[1]:x[2]]:
-                    out.append(x)
-                    taken[x[1]:x[2]] = b"\1" * (x[2] - x[1])
+            for k, a, z, s, own in sorted(extra, key=lambda x: (-x[3], x[1], KINDS.index(x[0]))):
+                if s < p.least_score:
+                    continue
+                parts = [(a, z)]
+                if 1 in taken[a:z]:
+                    parts = [(a + m.start(), a + m.end()) for m in free.finditer(taken[a:z])] if k == "secret" else []
+                    parts = [(i, j) for i, j in parts if any(c.isalnum() for c in t[i:j])]
+                for i, j in parts:
+                    out.append((k, i, j, s, own))
+                    taken[i:j] = b"\1" * (j - i)
         return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
     return one
 

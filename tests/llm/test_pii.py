@@ -69,6 +69,18 @@ def test_context_decides_on_weak_patterns():
     assert kinds("order number 212 555-0187, phone it") == []
 
 
+def test_long_secrets_stay_whole(spark):
+    long = "eyJhbGciOi." + "aB3_x-" * 60 + ".Zk"
+    assert kinds(f"token={long} end") == [("secret", long, False)]
+    # a base span inside a secret leaves no part of it behind
+    assert kinds(f"token={long}/jo@site.org/{long}") == [
+        ("secret", f"{long}/", False), ("email", "jo@site.org", True), ("secret", f"/{long}", False)]
+    assert kinds("token=abc:jo@site.org)") == [("secret", "abc:", False), ("email", "jo@site.org", True)]
+    docs = spark.createDataFrame([(1, f"secret: '{long}' end", "en", None, 7)], SCHEMA)
+    assert q.redact(docs).first().text == "secret: '<SECRET>' end"
+    assert q.digest(docs).first().spans == f"secret:9:{9 + len(long)}"
+
+
 def test_query_and_redaction(spark):
     text = "ü write to jo@site.org or +49 30 1234 5678, 4111 1111 1111 1111 from 10.0.0.1"
     rows = [(1, text), (1, text), (None, "a@b.c"), (3, None), (4, ""), (5, "1" * 200_000 + "a" * 200_000), (6, "no data")]
