@@ -14,9 +14,9 @@ median and quartile range, so the result does not depend on a random draw.
 
 Defined results: null text counts as no words (base_failed); null language or
 source is a group of its own (""); repeated rows get the same verdict; groups
-below ``min_group`` rows are pooled by language, then over all, and pools
-still below it reject nothing beyond the base rules; an empty table gives an
-empty result; extra columns are ignored.
+below ``min_group`` rows of 10 or more words are pooled by language, then over
+all languages left over, and pools still below it reject nothing beyond the
+base rules; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ class QualityParams:
     subset: float = 0.5
     #: concentration steps after the median start
     steps: int = 4
-    #: rows a group needs for an estimate of its own
+    #: rows of 10 or more words a group needs for an estimate of its own
     min_group: int = 200
     #: words of prior added to every ratio, so that short texts do not look extreme
     prior_words: float = 40.0
@@ -125,10 +125,10 @@ def _fine():
 
 
 def group_names(counts: DataFrame, p: QualityParams) -> DataFrame:
-    """(fine, grp): a (lang, source) keeps its own group if large enough, else
-    joins its language's pool, else the pool of all."""
+    """(fine, grp): a (lang, source) keeps its own group if enough of its rows can
+    be fitted, else joins its language's pool, else the pool of the rest."""
     sizes = (counts.groupBy(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("g_lang"), _fine().alias("fine"))
-             .agg(F.count(F.lit(1)).alias("n")).withColumn("small", F.col("n") < p.min_group))
+             .agg(F.count_if(F.col("n_words") >= 10).alias("n")).withColumn("small", F.col("n") < p.min_group))
     pools = sizes.filter("small").groupBy("g_lang").agg(F.sum("n").alias("pool"))
     return (sizes.join(pools, "g_lang", "left")
             .select("fine", F.when(~F.col("small"), F.col("fine"))

@@ -57,6 +57,16 @@ def test_a_source_with_much_junk_loses_all_of_it(spark, share):
     assert not any(got[i] for i in range(n)) and all(got[i] for i in range(n, 1000))
 
 
+def test_short_texts_do_not_make_a_group_large(spark):
+    rng = np.random.default_rng(6)
+    vocab = ["w%s" % ("x" * int(k % 7)) + str(k) for k in range(3000)]
+    rows = [(i, " ".join(rng.choice(vocab, 60 if i < 350 else 5)), "en", "mixed" if i % 2 else "s", 1) for i in range(700)]
+    rows += [(1000 + i, "### " .join(rng.choice(vocab, 60)), "en", "mixed", 1) for i in range(20)]
+    got = {r.doc_id: r for r in q.digest(docs(spark, rows)).collect()}
+    assert len(got) == 720 and all(got[i].kept == (i < 350) for i in range(700))
+    assert not any(got[1000 + i].kept for i in range(20))
+
+
 def test_edge_rows(spark):
     rows = corpus() + [(None, "too short", None, None, None), (5000, None, "en", "hot", None), (5001, "", None, "hot", 0),
                        (5002, " \n\t ", "en", None, 0), (1, corpus()[1][1], "en", "hot", 1),
