@@ -91,20 +91,22 @@ class RoundTables:
         self.n = 0
         self._paths: dict[int, tuple[DataFrame, str]] = {}
 
-    def write(self, df: DataFrame, **metrics) -> tuple[DataFrame, dict]:
+    def write(self, df: DataFrame, by: list[str] | None = None, **metrics) -> tuple[DataFrame, dict]:
+        """Write ``df`` (in folders by the columns ``by``) and read it back."""
         self.n += 1
         path = f"{self.root}/round={self.n}"
         if metrics:
             obs = Observation(f"{self.root.rsplit('/', 1)[-1]}-{self.n}")
             df = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
-            df.write.mode("overwrite").parquet(path)
+            df.write.partitionBy(*by or []).mode("overwrite").parquet(path)
             got = obs.get
         else:
-            df.write.mode("overwrite").parquet(path)
+            df.write.partitionBy(*by or []).mode("overwrite").parquet(path)
             got = {}
         if self.keep and self.n > self.keep:
             delete_path(self.spark, f"{self.root}/round={self.n - self.keep}")
-        out = self.spark.read.parquet(path)
+        # an empty table in folders has no file to take the schema from
+        out = (self.spark.read.schema(df.schema) if by else self.spark.read).parquet(path)
         self._paths[id(out)] = out, path
         return out, got
 
