@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from routelytics.llm import (byte_bpe, decontaminate, lm_scores, near_dedup, pii, quality_classifier, quality_rules,
-                             token_counts, toxicity, warc)
+from routelytics.llm import (byte_bpe, decontaminate, importance, line_dedup, lm_scores, near_dedup, pii,
+                             quality_classifier, quality_rules, token_counts, toxicity, warc, whitening)
 from routelytics.session import checkpoint_dir
 
 
@@ -65,6 +65,18 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores.score(_table(spark, sf_dir, "documents"), lm_scores.good_ids(_table(spark, sf_dir, "labels")))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_token_counts": op2_token_counts,
@@ -76,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_near_dedup": op9_near_dedup,
     "op10_lm_scores": op10_lm_scores,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_whitening": op13_whitening,
 }
 
 _OP9_SQL = r"""
@@ -112,4 +127,16 @@ select page_id, payload_bytes,
 from d
 """
 
-ORACLE_SQL: dict[str, str] = {"op8_warc": _OP8_SQL, "op9_near_dedup": _OP9_SQL}
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_OP12_SQL = f"""
+with parts as (select doc_id, string_split(coalesce(text, ''), chr(10)) v from documents),
+lines as (select doc_id, unnest(v) line, generate_subscripts(v, 1) pos from parts),
+keyed as (select *, translate(trim(line, {_BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') k from lines),
+frequent as (select k, max(doc_id) last from keyed where length(k) >= 40 group by k having count(distinct doc_id) >= 5),
+marked as (select x.*, coalesce(doc_id <> last, false) gone from keyed x left join frequent using (k))
+select doc_id, count(*) n_lines, cast(count_if(gone) as bigint) n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) kept_sha256
+from marked group by doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op8_warc": _OP8_SQL, "op9_near_dedup": _OP9_SQL, "op12_line_dedup": _OP12_SQL}
