@@ -116,7 +116,7 @@ class LineRuns:
     def _merged(self, names: list[str]) -> DataFrame:
         # read as plain files: Spark 4.1 takes a union of bucketed tables for bucketed
         # itself, though its partitions only follow each other, and sums keys apart
-        rows = self.spark.read.parquet(*[self._path(name) for name in names])
+        rows = self.spark.read.schema("hi long, lo long, docs long").parquet(*[self._path(name) for name in names])
         return rows.groupBy(*KEY).agg(F.sum("docs").alias("docs"))
 
     def totals(self) -> DataFrame:
