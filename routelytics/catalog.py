@@ -27,7 +27,7 @@ from routelytics.sources.flights import flights_to_lines, parse_flights, read_fl
 from routelytics.sources.schema import FLIGHT_COLUMNS
 from routelytics.streaming.commands import command_stream
 from routelytics.session import checkpoint_dir, cut_lineage
-from routelytics.sources.synthetic import synthetic_flights
+from routelytics.sources.synthetic import node_name, synthetic_flights
 
 # Parameters of the registered queries (fixed values shared with the oracles).
 DIRECT_SOURCE = 0          # J2: source node of the direct-weight lookup
@@ -53,6 +53,11 @@ def q_parse_flights(spark, sf):
     return parse_flights(flights_to_lines(_flights(spark, sf)), mode="lenient")
 
 
+def q_parse_flights_strict(spark, sf):
+    """Strict parsing: a malformed line would fail the job; all lines are good."""
+    return parse_flights(flights_to_lines(_flights(spark, sf)), mode="strict")
+
+
 def q_flights_per_airport(spark, sf):
     return A.flights_per_airport(_flights(spark, sf))
 
@@ -96,7 +101,7 @@ def q_incoming_adjacency(spark, sf):
 
 
 def q_adjacency_lookup(spark, sf):
-    edges = E.route_edges(_flights(spark, sf))
+    edges = E.edges_from_sums(_sums(spark, sf))
     adj = E.incoming_adjacency(edges, BLOCK)
     pairs = edges.select("src", "dst", F.col("weight").alias("forward"))
     # reverse route of each edge: dst -> src, read from the adjacency rows
@@ -142,7 +147,10 @@ def q_sssp_predecessors(spark, sf):
 
 
 def q_distance_lookup(spark, sf):
-    st, _ = _hub_labels(spark, sf)
+    """One distance: the search ends when the wanted node is settled."""
+    sums = _sums(spark, sf)
+    hub = cut_lineage(busiest_airport(sums))
+    st = shortest_paths(E.edges_from_sums(sums), hub, targets=hub.withColumn("node", F.lit(LOOKUP_NODE)))
     return distance_to(st, LOOKUP_NODE).select("source", _r6(F.col("dist")).alias("dist"))
 
 
@@ -272,6 +280,12 @@ def _supplier_nodes(spark, sf):
                       (F.floor(F.col("s_acctbal")) + 1000).alias("x"), (F.col("s_nationkey") * 100).alias("y"))
 
 
+def q_synthetic_nodes(spark, sf):
+    """Labels and places of the generator's airports, one per supplier."""
+    ranked = AP.dense_index(_supplier_nodes(spark, sf), "id", "i")
+    return ranked.select(F.col("i").alias("node"), node_name("i").alias("label"), "x", "y")
+
+
 def q_synthetic_flights(spark, sf):
     return synthetic_flights(_supplier_nodes(spark, sf), SYNTH_PCT, SYNTH_SEED)
 
@@ -283,6 +297,7 @@ def q_synthetic_route_edges(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_flights": q_parse_flights,
+    "parse_flights_strict": q_parse_flights_strict,
     "flights_per_airport": q_flights_per_airport,
     "flights_per_route": q_flights_per_route,
     "busiest_route": q_busiest_route,
@@ -315,6 +330,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count_space": q_word_count_space,
     "top_words": q_top_words,
     "top_words_ws": q_top_words_ws,
+    "synthetic_nodes": q_synthetic_nodes,
     "synthetic_flights": q_synthetic_flights,
     "synthetic_route_edges": q_synthetic_route_edges,
 }
@@ -452,6 +468,7 @@ def oracle_sql() -> dict[str, str]:
     wd_round = "round(avg(wd), 6)"
     q = {
         "parse_flights": _with(f"select {cols} from flights"),
+        "parse_flights_strict": _with(f"select {cols} from flights"),
         "flights_per_airport": _with("select origin, count(*) as count from flights group by origin"),
         "flights_per_route": _with("select origin, dest, count(*) as count from flights group by origin, dest"),
         "busiest_route": _with("select origin, dest, count(*) as count from flights group by origin, dest "
@@ -525,6 +542,9 @@ def oracle_sql() -> dict[str, str]:
                       f"from wc order by count desc, word limit {TOP_WORDS}"),
         "top_words_ws": (f"with {_WC_WS} select row_number() over (order by count desc, word) rank, word, count "
                          f"from wc order by count desc, word limit {TOP_WORDS}"),
+        "synthetic_nodes": """select row_number() over (order by s_suppkey) - 1 node,
+            'Node' || (row_number() over (order by s_suppkey) - 1) label,
+            cast(floor(s_acctbal) as bigint) + 1000 x, s_nationkey::bigint * 100 y from supplier""",
         "synthetic_flights": _synth_sql() + f"\nselect {cols} from sflights",
         "synthetic_route_edges": _synth_sql() + """,
 sw as (select *, case when arr_time - dep_time < 0 then arr_time - dep_time + 2400

@@ -3,37 +3,35 @@
 Java's ``String.split`` drops trailing empty tokens, keeps a leading one,
 turns an empty line into one empty token and a separator-only line into no
 token.  Spark's ``split`` keeps trailing empties, so trailing separators are
-stripped first (anchored at the absolute end of the line, ``\\z``) and lines
-made only of separators yield nothing.  The blank-line test is evaluated
-once per line, never per token.
+trimmed first (linear in the line, however long the run of blanks) and lines
+made only of separators yield nothing.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: what ``\s`` matches
+BLANKS = " \t\n\x0b\x0c\r"
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _empty() -> Column:
-    return F.array().cast("array<string>")
+def _tokens(line, blanks: str, pattern: str) -> Column:
+    v = _c(line)
+    bare = F.rtrim(F.lower(v), F.lit(blanks))
+    return F.when((bare != "") | (v == ""), F.split(bare, pattern, -1)).otherwise(F.array().cast("array<string>"))
 
 
 def tokens_whitespace(line="value") -> Column:
     """Lower-cased tokens split on runs of whitespace: array<string>."""
-    v = _c(line)
-    parts = F.split(F.regexp_replace(F.lower(v), r"\s+\z", ""), r"\s+", -1)
-    has_text = (v == "") | (F.regexp_replace(v, r"\s", "") != "")
-    return F.when(has_text, parts).otherwise(_empty())
+    return _tokens(line, BLANKS, r"\s+")
 
 
 def tokens_space(line="value") -> Column:
     """Lower-cased tokens split on each single space: array<string>."""
-    v = _c(line)
-    parts = F.split(F.regexp_replace(F.lower(v), r" +\z", ""), " ", -1)
-    has_text = (v == "") | (F.replace(v, F.lit(" "), F.lit("")) != "")
-    return F.when(has_text, parts).otherwise(_empty())
+    return _tokens(line, " ", " ")
 
 
 TOKENIZERS = {"whitespace": tokens_whitespace, "space": tokens_space}

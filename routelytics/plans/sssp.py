@@ -4,47 +4,58 @@ Distances are whole numbers inside the loop: weights are scaled by
 ``SCALE`` and rounded once, so sums are exact, equal paths compare equal
 and the labels do not depend on the order in which edges are relaxed.
 
-State: one row per (source, node) reached, with the label
-``l = struct(dist, hops, pred)``.  Labels compare lexicographically, so the
-kept label is the cheapest path, then the one with fewest hops, then the
-smallest predecessor id (Decision D5d); a zero-weight cycle can never
-improve a label because it adds hops.
-
-Each round relaxes the frontier (labels improved in the round before):
-
-1. frontier x out-edges (equi-join on node = src) gives candidates;
-2. candidates and current labels are reduced together per (source, node)
-   by one ``min`` aggregation (map-side partials, one shuffle of state and
-   candidates), which keeps the better label and flags the rows that
-   improved: they are the next frontier.
-
-The edge table is written once as a bucketed table, so no round shuffles or
-sorts it.  Its bucket key is (src, salt) with ``salts`` salts from a hash of
-the destination, and a frontier row is sent once per salt: a hub's edges lie in
-``salts`` buckets, whatever its degree, without counting degrees.
-
-With ``targets`` a source's candidates beyond its farthest wanted
-destination are dropped as soon as all of them have a label.  This is exact:
-weights are not negative, so such a candidate is on no better path to them.
-
-The loop stops when no label improved.  The state is written as a Parquet
-table under the session's checkpoint folder every round, so plans stay flat
-and a lost executor re-reads files; tables older than the previous round are
-deleted.
+A label is ``l = struct(dist, hops, pred)`` per (source, node) reached.  Labels
+compare lexicographically, so the kept label is the cheapest path, then the
+one with fewest hops, then the smallest predecessor id (Decision D5d); a
+zero-weight cycle can never improve a label because it adds hops.
+
+**Edges in blocks** (:class:`EdgeBlocks`).  Edges are sorted by (src, weight)
+over range partitions, numbered, and cut into blocks of ``block`` edges keyed
+(src, block), written once as a bucketed table.  A node has one row of *fences*,
+the least weight of each of its blocks.  A frontier row meets its node's fences and
+visits only the blocks that hold weights it needs, so a hub's edges are many
+small keys dealt evenly over the tasks, and heavy edges are not read.
+
+**Distance windows.**  The loop settles distances up to a limit, then up to
+``GROWTH`` times that limit, and so on (delta-stepping with growing buckets).
+The first limit is a quantile of the weights: about ``EDGES_A_NODE`` edges of an
+average node are lighter.  Within a window only edges with dist + weight in the
+window are relaxed, rounds repeat until no label changes, and then all labels
+up to the limit are final.  Edges of settled labels that lead beyond the limit
+wait for the next window.  A source is done when all its targets are settled,
+or when it has labels for all nodes that have in-edges; the loop ends when all
+sources are done or no edge is left.  No size or budget changes a result.
+
+**Labels as runs** (:class:`LabelRuns`).  A round writes the labels that it changed,
+and nothing else, as a run: a table bucketed by (source, node).  Candidates are
+shuffled and reduced once per round and meet the runs in place; runs are merged
+at the end of a window or when there are more than ``RUNS`` of them.
+
+All tables lie under the session's checkpoint folder, so a lost executor re-reads
+files; they are deleted when nothing reads them any more.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from routelytics.session import RoundTables, checkpoint_dir, trace
+from routelytics.operators.airports import dense_index
+from routelytics.session import RoundTables, checkpoint_dir, delete_path, trace
 
 #: Units of the loop's whole-number distances per unit of weight.
 SCALE = 1_000_000
-DEFAULT_SALTS = 8
+#: Out-edges per block.
+BLOCK = 64
+#: The first limit lets an average node relax about so many edges.
+EDGES_A_NODE = 16
+#: Each limit is so many times the one before.
+GROWTH = 4
+#: Runs that a window may add before they are merged.
+RUNS = 6
+KEY = ["source", "node"]
 
 
 def scaled(weight):
@@ -52,80 +63,180 @@ def scaled(weight):
     return F.round(weight.cast("double") * SCALE).cast("long")
 
 
-def _label(dist, hops, pred):
+def _label(dist, hops, pred) -> Column:
     return F.struct(dist.cast("long").alias("dist"), hops.cast("long").alias("hops"), pred.cast("long").alias("pred"))
 
 
-def _keyed(dist, hops, pred, rank: int):
-    # rank 0 = label already in the state, 1 = candidate: on equal labels the
-    # old one wins, so only a strictly better candidate counts as a change
-    return F.struct(dist.cast("long").alias("dist"), hops.cast("long").alias("hops"),
-                    pred.cast("long").alias("pred"), F.lit(rank).alias("rank"))
+class BucketedTables:
+    """Tables of the session's catalog whose files lie under the checkpoint folder."""
 
+    def __init__(self, spark: SparkSession, prefix: str):
+        self.spark, self.name = spark, f"{prefix}_{uuid.uuid4().hex}"
+        self.root = f"{checkpoint_dir(spark).rstrip('/')}/{self.name}"
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.made = 0
 
-class EdgeTable:
-    """Edges as a bucketed, sorted table of the session's warehouse; ``drop`` removes it.
+    def write(self, df: DataFrame, *key: str, **metrics) -> tuple[str, dict]:
+        """Write ``df`` bucketed by ``key``; its name and the metrics observed."""
+        self.made += 1
+        name, obs = f"{self.name}_{self.made}", None
+        df = df.repartition(self.buckets, *key)
+        if metrics:
+            obs = Observation(name)
+            df = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
+        df.write.bucketBy(self.buckets, *key).sortBy(*key).option("path", self.path(name)).saveAsTable(name)
+        return name, obs.get if obs else {}
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name.rsplit('_', 1)[1]}"
+
+    def drop(self, name: str, files: bool = True) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if files:
+            delete_path(self.spark, self.path(name))
+
+
+class EdgeBlocks:
+    """Out-edges in blocks keyed (e_src, e_block), lightest first; ``drop`` removes them.
 
     ``since`` and ``until`` columns, where present, say for which moments an
     edge holds (see ``shortest_paths``).
     """
 
-    def __init__(self, edges: DataFrame, salts: int = DEFAULT_SALTS):
+    def __init__(self, edges: DataFrame, block: int = BLOCK):
         spark = edges.sparkSession
-        self.spark, self.salts = spark, salts
-        self.name = f"routelytics_edges_{uuid.uuid4().hex}"
+        self.spark = spark
         self.timed = "since" in edges.columns
-        when = [F.col("since").cast("long"), F.col("until").cast("long")] if self.timed else []
+        when = [F.col("since").cast("long").alias("since"), F.col("until").cast("long").alias("until")] if self.timed else []
         weight = F.when(F.col("weight") < 0, F.raise_error(F.lit("shortest_paths needs non-negative edge weights")).cast("long"))
         e = edges.where(F.col("weight").isNotNull()).select(
-            F.col("src").cast("long").alias("e_src"), F.pmod(F.xxhash64("dst"), F.lit(salts)).cast("int").alias("e_salt"),
-            F.col("dst").cast("long").alias("e_dst"), weight.otherwise(scaled(F.col("weight"))).alias("e_w"), *when)
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            F.struct(F.col("src").cast("long").alias("src"), weight.otherwise(scaled(F.col("weight"))).alias("w"),
+                     F.col("dst").cast("long").alias("dst"), *when).alias("e"))
+        self.tables, self.plain = BucketedTables(spark, "routelytics_edges"), RoundTables(spark, "routelytics-fences")
         try:
-            (e.repartition(buckets, "e_src", "e_salt").write.bucketBy(buckets, "e_src", "e_salt")
-             .sortBy("e_src", "e_salt").saveAsTable(self.name))
+            ranked = dense_index(e, "e", "at")
         except Exception as err:
-            self.drop()
             if "non-negative" in str(err):
                 raise ValueError("shortest_paths needs non-negative edge weights") from err
             raise
+        one = F.struct(*[f"e.{c}" for c in ["w", "dst"] + ["since", "until"] * self.timed])
+        blocks = ranked.groupBy(F.col("e.src").alias("e_src"), F.floor(F.col("at") / block).alias("e_block")).agg(
+            F.collect_list(one).alias("edges"), F.min("e.w").alias("fence"))  # ``block`` edges at most
+        self.blocks, got = self.tables.write(blocks, "e_src", "e_block", blocks=F.count(F.lit(1)))
+        fences = self.df.groupBy(F.col("e_src").alias("node")).agg(
+            F.sort_array(F.collect_list(F.struct("e_block", "fence"))).alias("fences"))
+        self.fences, nodes = self.plain.write(fences, n=F.count(F.lit(1)))
+        self._heads = ranked.select(F.col("e.dst").alias("node")).distinct()
+        shares = [2.0 ** -k for k in range(20)]
+        m = ranked.agg(F.count(F.lit(1)).alias("n"), F.max("e.w").alias("most"),
+                       F.percentile_approx("e.w", shares).alias("q")).first()
+        self.heaviest = m["most"] or 0
+        wanted = EDGES_A_NODE * max(nodes["n"], 1) / max(m["n"], 1)  # share of the edges
+        light = [q for q, s in zip(m["q"] or [1], shares) if s <= wanted or s == shares[-1]]
+        self.width = max(light[0], self.heaviest >> 20, 1)
+        trace(f"sssp: {m['n']} edges of {nodes['n']} nodes in {got['blocks']} blocks, first limit {self.width / SCALE}")
 
     @property
     def df(self) -> DataFrame:
-        return self.spark.table(self.name)
+        return self.spark.table(self.blocks)
+
+    def heads(self) -> tuple[DataFrame, int]:
+        """Nodes with in-edges, and how many."""
+        heads, m = self.plain.write(self._heads, n=F.count(F.lit(1)))
+        return heads, m["n"]
 
     def drop(self) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        self.tables.drop(self.blocks)
+        self.plain.clear()
+
 
+def relaxed(frontier: DataFrame, blocks: EdgeBlocks, before: int, limit: int) -> DataFrame:
+    """Candidates ``(source, node, l, asof)`` that the frontier's edges give with a distance in the window.
 
-def relax(state: DataFrame, edges: EdgeTable, bound: DataFrame | None = None) -> DataFrame:
-    """One round: the next state ``(source, node, l, asof, changed)``."""
-    f = state.where("changed").select("source", "node", "l", "asof",
-                                      F.explode(F.sequence(F.lit(0), F.lit(edges.salts - 1))).alias("salt"))
-    on = (F.col("node") == F.col("e_src")) & (F.col("salt") == F.col("e_salt"))
-    if edges.timed:
+    Labels up to ``before`` have relaxed what leads up to ``before`` already.
+    """
+    d = F.col("l.dist")
+    low = F.when(d <= before, F.lit(before) - d).otherwise(F.lit(-1))
+    f = frontier.select("source", "node", "l", "asof", (F.lit(limit) - d).alias("high"), low.alias("low"))
+    # blocks whose lightest edge is not too heavy and which end above ``low``
+    f = f.join(blocks.fences, "node").withColumn("light", F.filter("fences", lambda x: x["fence"] <= F.col("high")))
+    reach = F.greatest(F.size(F.filter("light", lambda x: x["fence"] <= F.col("low"))), F.lit(1))
+    f = f.where(F.size("light") > 0).select("source", "node", "l", "asof", "high", "low", F.explode(
+        F.slice("light", reach, F.size("light"))["e_block"]).alias("block"))
+    got = f.join(blocks.df, (F.col("node") == F.col("e_src")) & (F.col("block") == F.col("e_block")))
+    got = got.select("source", "e_src", "l", "asof", "high", "low", F.inline("edges"))
+    on = (F.col("w") <= F.col("high")) & (F.col("w") > F.col("low"))
+    if blocks.timed:
         on = on & (F.col("since") <= F.col("asof")) & (F.col("asof") < F.col("until"))
-    cand = f.join(edges.df, on).select(
-        "source", F.col("e_dst").alias("node"),
-        _keyed(F.col("l.dist") + F.col("e_w"), F.col("l.hops") + 1, F.col("e_src"), 1).alias("k"), "asof")
-    if bound is not None:
-        cand = (cand.join(bound, "source", "left")
-                .where(F.col("bound").isNull() | (F.col("k.dist") <= F.col("bound"))).drop("bound"))
-    old = state.select("source", "node", _keyed(F.col("l.dist"), F.col("l.hops"), F.col("l.pred"), 0).alias("k"), "asof")
-    best = old.unionByName(cand).groupBy("source", "node").agg(F.min("k").alias("k"), F.max("asof").alias("asof"))
-    return best.select("source", "node", _label(F.col("k.dist"), F.col("k.hops"), F.col("k.pred")).alias("l"), "asof",
-                       (F.col("k.rank") == 1).alias("changed"))
-
-
-def target_bound(state: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source, bound): the farthest label of a source's wanted nodes; null until all have one."""
-    wanted = targets.join(state.select("source", "node", F.col("l.dist").alias("dist")), ["source", "node"], "left")
-    done = F.count("dist") == F.count(F.lit(1))
-    return wanted.groupBy("source").agg(F.when(done, F.max("dist")).alias("bound"))
-
-
-def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "source", salts: int = DEFAULT_SALTS,
-                   targets: DataFrame | None = None, max_rounds: int | None = None) -> DataFrame:
+    return got.where(on).select("source", F.col("dst").alias("node"),
+                                _label(F.col("l.dist") + F.col("w"), F.col("l.hops") + 1, F.col("e_src")).alias("l"), "asof")
+
+
+class LabelRuns:
+    """Labels as runs ``(source, node, l, asof, moved)``, the least label of a key counts."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.tables, self.runs = spark, BucketedTables(spark, "routelytics_labels"), []
+
+    def better(self, cand: DataFrame) -> DataFrame:
+        """Candidates reduced to one per key, if better than all runs: ``(source, node, l, asof, moved)``.
+
+        ``moved`` marks labels with a new distance or number of hops; a new
+        predecessor alone changes nothing for the nodes behind.
+        """
+        best = cand.groupBy(*KEY).agg(F.min("l").alias("l"), F.max("asof").alias("asof"))
+        olds = []
+        for i, name in enumerate(self.runs):
+            olds.append(f"old{i}")
+            best = best.join(self.spark.table(name).select(*KEY, F.col("l").alias(olds[-1])), KEY, "left")
+        old = F.least(*olds) if len(olds) > 1 else F.col(olds[0]) if olds else F.lit(None)
+        new = old.isNull() if olds else F.lit(True)
+        if olds:
+            best = best.withColumn("old", old).where(F.col("old").isNull() | (F.col("l") < F.col("old")))
+            new = F.col("old").isNull() | (F.col("l.dist") < F.col("old.dist")) | (F.col("l.hops") < F.col("old.hops"))
+        return best.select(*KEY, "l", "asof", new.alias("moved"))
+
+    def add(self, cand: DataFrame) -> tuple[DataFrame, dict]:
+        """Write the better ones of the candidates as a run: the run and how many there are."""
+        name, m = self.tables.write(self.better(cand), *KEY, n=F.count(F.lit(1)))
+        self.runs.append(name)
+        return self.spark.table(name), m
+
+    def merge(self) -> tuple[DataFrame, dict]:
+        """All runs as one: its rows, how many, and the largest distance."""
+        # read as plain files: Spark 4.1 takes a union of bucketed tables for bucketed
+        # itself, though its partitions only follow each other
+        schema = self.spark.table(self.runs[0]).schema
+        rows = self.spark.read.schema(schema).parquet(*[self.tables.path(r) for r in self.runs])
+        rows = rows.groupBy(*KEY).agg(F.min("l").alias("l"), F.max("asof").alias("asof")).withColumn("moved", F.lit(True))
+        name, m = self.tables.write(rows, *KEY, n=F.count(F.lit(1)), far=F.max("l.dist"))
+        for run in self.runs:
+            self.tables.drop(run)
+        self.runs = [name]
+        return self.spark.table(name), m
+
+    def close(self) -> DataFrame:
+        """The files of the one run that is left; the catalog forgets it."""
+        schema, path = self.spark.table(self.runs[0]).schema, self.tables.path(self.runs[0])
+        self.tables.drop(self.runs[0], files=False)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def drop(self) -> None:
+        for run in self.runs:
+            self.tables.drop(run)
+
+
+def _open_sources(labels: DataFrame, rooms: DataFrame | None, targets: DataFrame | None) -> DataFrame:
+    """Sources that still have a target without label, or without targets a node."""
+    if targets is not None:
+        return targets.join(labels.select(*KEY), KEY, "left_anti").select("source").distinct()
+    found = labels.groupBy("source").agg(F.count(F.lit(1)).alias("found"))
+    return found.join(rooms, "source").where("found < room").select("source")
+
+
+def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "source", block: int = BLOCK,
+                   targets: DataFrame | None = None, max_rounds: int | None = None, width: float | None = None,
+                   stats: list | None = None) -> DataFrame:
     """Labels ``(source, node, dist, hops, pred)`` for every node reachable from each source.
 
     ``edges``: ``(src, dst, weight)`` with weight >= 0; ``sources``: a column
@@ -138,33 +249,68 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
     and sources ``start`` (the node) and ``asof``; a source then names a query,
     and walks from ``start`` over the edges with since <= asof < until.
 
-    The loop runs eagerly; the returned DataFrame reads the last round's files.
+    ``width`` is the first limit, by default taken from the weights (any gives
+    the same labels).  ``stats`` gets a dict per round: limit, candidates
+    relaxed, labels changed.
+
+    The loop runs eagerly; the returned DataFrame reads the last table's files.
     """
     spark = edges.sparkSession
-    checkpoint_dir(spark)
     start = F.col("start") if "start" in sources.columns else F.col(source_col)
     asof = F.col("asof") if "asof" in sources.columns else F.lit(0)
-    seed = sources.select(F.col(source_col).cast("long").alias("source"), start.cast("long").alias("node"),
-                          _label(F.lit(0), F.lit(0), F.lit(None)).alias("l"), asof.cast("long").alias("asof"),
-                          F.lit(True).alias("changed")).distinct()
-    table = EdgeTable(edges, salts)
+    plain = RoundTables(spark, "routelytics-sssp")
+    seeds, _ = plain.write(sources.select(F.col(source_col).cast("long").alias("source"), start.cast("long").alias("node"),
+                                          asof.cast("long").alias("asof")).distinct())
+    blocks = EdgeBlocks(edges, block)
+    labels = LabelRuns(spark)
     try:
-        counts = {"changed": F.count_if(F.col("changed"))}
-        rounds_out = RoundTables(spark, "routelytics-sssp", keep=2)
         if targets is not None:
-            targets, _ = RoundTables(spark, "routelytics-targets").write(
-                targets.select(F.col("source").cast("long"), F.col("node").cast("long")).distinct())
-        state, m = rounds_out.write(seed, **counts)
-        rounds = 0
-        while m["changed"]:
-            rounds += 1
-            if max_rounds is not None and rounds > max_rounds:
-                raise RuntimeError(f"shortest_paths did not settle in {max_rounds} rounds")
-            bound = target_bound(state, targets) if targets is not None else None
-            state, m = rounds_out.write(relax(state, table, bound), **counts)
-            trace(f"sssp: round {rounds}: {m['changed']} labels improved")
+            targets, _ = plain.write(targets.select(F.col("source").cast("long"), F.col("node").cast("long")).distinct())
+            rooms, most = None, None
+        else:
+            # a source has labels for itself and all nodes with in-edges at most
+            heads, n_heads = blocks.heads()
+            room = F.lit(n_heads + 1) - F.coalesce("head", F.lit(0))
+            rooms, most = plain.write(seeds.join(heads.withColumn("head", F.lit(1)), "node", "left")
+                                      .select("source", room.alias("room")), n=F.sum("room"))
+        zero = _label(F.lit(0), F.lit(0), F.lit(None))
+        frontier, _ = labels.add(seeds.select("source", "node", zero.alias("l"), "asof"))
+        limit = max(1, round(width * SCALE)) if width is not None else blocks.width
+        before, rounds = -1, 0
+        while True:
+            while True:  # rounds of a window
+                rounds += 1
+                if max_rounds is not None and rounds > max_rounds:
+                    raise RuntimeError(f"shortest_paths did not settle in {max_rounds} rounds")
+                cand = relaxed(frontier, blocks, before, limit)
+                if stats is not None:
+                    seen = Observation(f"relaxed-{uuid.uuid4().hex}")
+                    cand = cand.observe(seen, F.count(F.lit(1)).alias("n"))
+                run, m = labels.add(cand)
+                if stats is not None:
+                    stats.append({"limit": limit / SCALE, "relaxed": seen.get["n"], "changed": m["n"]})
+                trace(f"sssp: round {rounds} up to {limit / SCALE}: {m['n']} labels changed")
+                if not m["n"]:
+                    break
+                frontier = run.where("moved")
+                if len(labels.runs) > RUNS:
+                    frontier, _ = plain.write(frontier)  # its run is merged away
+                    labels.merge()
+            merged, m = labels.merge()
+            if limit >= (m["far"] or 0) + blocks.heaviest or (targets is None and m["n"] >= (most["n"] or 0)):
+                break
+            active, left = plain.write(_open_sources(merged, rooms, targets), n=F.count(F.lit(1)))
+            if not left["n"]:
+                break
+            frontier = merged.join(active, "source", "left_semi")
+            before, limit = limit, limit * GROWTH
+        state = labels.close()
+    except BaseException:
+        labels.drop()
+        raise
     finally:
-        table.drop()
+        blocks.drop()
+        plain.clear()
     return state.select("source", "node", (F.col("l.dist") / F.lit(float(SCALE))).alias("dist"),
                         F.col("l.hops").alias("hops"), F.col("l.pred").alias("pred"))
 

@@ -114,3 +114,8 @@ class RoundTables:
         """Delete tables of this set that nothing reads any more."""
         for t in tables:
             delete_path(self.spark, self._paths.pop(id(t))[1])
+
+    def clear(self) -> None:
+        """Delete all tables of this set."""
+        self._paths.clear()
+        delete_path(self.spark, self.root)

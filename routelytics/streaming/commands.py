@@ -20,7 +20,8 @@ share their labels.
 
 Overrides, answers and rejects are written with ``overwrite`` into a
 ``batch_id=<n>`` folder each, so a batch that Spark replays after a failure
-rewrites the same files instead of appending twice.  The caller names the
+rewrites the same files instead of appending twice.  A snapshot of all overrides
+every few batches bounds what a later batch reads (:class:`OverrideLog`).  The caller names the
 folders of input, output, state and stream checkpoint; a later run with the
 same folders goes on with the overrides of the earlier one.
 """
@@ -54,15 +55,29 @@ def parse_commands(lines: DataFrame, airport_dim: DataFrame) -> DataFrame:
     return c.select("line", "seq", "cmd", "a", "b", "src", "dst", "weight", reason.alias("reason"))
 
 
+def _ordered(df: DataFrame, *order: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` dealt in order over range partitions (``_p``), and one row per partition: its least row ``head``."""
+    rows = cut_lineage(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
+    return rows, rows.groupBy("_p").agg(F.min(F.struct(*order)).alias("head"))
+
+
 def timed_edges(edges: DataFrame, overrides: DataFrame) -> DataFrame:
     """``(src, dst, weight, since, until)``: when each weight of a route holds.
 
     A base edge holds until the first override of its route, an override from
-    its own number until the next one.
+    its own number until the next one.  Overrides are scanned in order of route
+    and number, and a partition's last one is followed by the first of the
+    next, so many overrides of one route are spread over tasks.
     """
     last = overrides.groupBy("src", "dst", "seq").agg(F.max("weight").alias("weight"))
-    nxt = F.lead("seq").over(Window.partitionBy("src", "dst").orderBy("seq"))
-    ov = last.select("src", "dst", "weight", F.col("seq").alias("since"), F.coalesce(nxt, F.lit(_LAST)).alias("until"))
+    rows, heads = _ordered(last, "src", "dst", "seq")
+    after = heads.select("_p", F.lead("head").over(Window.orderBy("_p")).alias("after"))
+    here = F.lead(F.struct("src", "dst", "seq")).over(Window.partitionBy("_p").orderBy("src", "dst", "seq"))
+    nxt = F.coalesce("here", "after")
+    same = (nxt["src"] == F.col("src")) & (nxt["dst"] == F.col("dst"))
+    ov = (rows.withColumn("here", here).join(F.broadcast(after), "_p")  # one row per partition
+          .select("src", "dst", "weight", F.col("seq").alias("since"),
+                  F.coalesce(F.when(same, nxt["seq"]), F.lit(_LAST)).alias("until")))
     first = overrides.groupBy("src", "dst").agg(F.min("seq").alias("first"))
     base = edges.select("src", "dst", F.col("weight").cast("double").alias("weight")).join(first, ["src", "dst"], "left")
     return base.select("src", "dst", "weight", F.lit(_FIRST).alias("since"),
@@ -72,18 +87,55 @@ def timed_edges(edges: DataFrame, overrides: DataFrame) -> DataFrame:
 def last_before(asked: DataFrame, overrides: DataFrame) -> DataFrame:
     """``asked`` (with seq) and ``asof``: the largest override number up to its own.
 
-    The numbers are range-partitioned and scanned in order; one row per
-    partition carries the largest number on to the next, so no task sees all.
+    The distinct numbers, of queries and overrides, are range-partitioned and scanned
+    in order; one row per partition carries the largest override number on to the
+    next, so neither one task nor a number that many queries share sees all.
     """
-    both = asked.withColumn("mark", F.lit(None).cast("long")).unionByName(
-        overrides.select("seq", F.col("seq").alias("mark")).distinct(), allowMissingColumns=True)
-    rows = cut_lineage(both.repartitionByRange("seq").withColumn("_p", F.spark_partition_id()))
+    numbers = asked.select("seq", F.lit(None).cast("long").alias("mark")).unionByName(
+        overrides.select("seq", F.col("seq").alias("mark")))
+    numbers = numbers.groupBy("seq").agg(F.max("mark").alias("mark"))
+    rows, _ = _ordered(numbers, "seq")
     ends = rows.groupBy("_p").agg(F.max("mark").alias("end"))
     before = ends.select("_p", F.max("end").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)).alias("old"))
-    here = F.max("mark").over(Window.partitionBy("_p").orderBy("seq"))  # rows of one number count together
-    return (rows.join(F.broadcast(before), "_p")  # one row per partition
-            .withColumn("asof", F.coalesce(here, "old", F.lit(_FIRST)))
-            .where("cmd is not null").drop("_p", "mark", "old"))
+    here = F.max("mark").over(Window.partitionBy("_p").orderBy("seq"))
+    found = (rows.join(F.broadcast(before), "_p")  # one row per partition
+             .select("seq", F.coalesce(here, "old", F.lit(_FIRST)).alias("asof")))
+    return asked.join(found, "seq")
+
+
+class OverrideLog:
+    """The overrides of all batches: one delta per batch, and a snapshot after every ``every`` batches.
+
+    ``read`` names the folders it needs by batch number: the last snapshot and at
+    most ``every`` deltas, however many batches there were.  A replayed batch
+    rewrites its own delta and snapshot.  Batch numbers of a stream follow each other.
+    """
+
+    SCHEMA = "seq long, src long, dst long, weight double"
+
+    def __init__(self, spark: SparkSession, root: str, every: int = 8):
+        self.spark, self.root, self.every = spark, root, every
+
+    def _delta(self, batch_id: int) -> str:
+        return os.path.join(self.root, "overrides", f"batch_id={batch_id}")
+
+    def _snapshot(self, batch_id: int) -> str:
+        return os.path.join(self.root, "snapshots", f"up_to={batch_id}")
+
+    def write(self, batch_id: int, rows: DataFrame) -> None:
+        rows.select("seq", "src", "dst", "weight").write.mode("overwrite").parquet(self._delta(batch_id))
+        if (batch_id + 1) % self.every == 0:
+            all_ = self.read(batch_id).groupBy("src", "dst", "seq").agg(F.max("weight").alias("weight"))
+            all_.select("seq", "src", "dst", "weight").write.mode("overwrite").parquet(self._snapshot(batch_id))
+
+    def folders(self, batch_id: int) -> list[str]:
+        """What holds the overrides up to a batch."""
+        done = batch_id // self.every * self.every - 1
+        old = [self._snapshot(done)] if done >= 0 else []
+        return old + [self._delta(b) for b in range(done + 1, batch_id + 1)]
+
+    def read(self, batch_id: int) -> DataFrame:
+        return self.spark.read.schema(self.SCHEMA).parquet(*self.folders(batch_id))
 
 
 def answer(edges: DataFrame, infos: DataFrame, overrides: DataFrame, airport_dim: DataFrame) -> DataFrame:
@@ -99,39 +151,44 @@ def answer(edges: DataFrame, infos: DataFrame, overrides: DataFrame, airport_dim
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, base_edges: DataFrame,
-                  airport_dim: DataFrame, output_path: str, state_path: str) -> None:
+                  airport_dim: DataFrame, output_path: str, log: OverrideLog) -> None:
     """Apply one micro-batch of commands (see module docstring)."""
     part = f"batch_id={batch_id}"
     cmds = cut_lineage(parse_commands(batch, airport_dim))
     (cmds.where("reason is not null").select("line", "reason")
      .write.mode("overwrite").parquet(os.path.join(output_path, "rejected", part)))
     good = cmds.where("reason is null")
-    (good.where("cmd = 'time'").select("seq", "src", "dst", "weight")
-     .write.mode("overwrite").parquet(os.path.join(state_path, "overrides", part)))
+    log.write(batch_id, good.where("cmd = 'time'"))
     infos = good.where("cmd = 'info'")
     if infos.isEmpty():
         return
-    log = spark.read.parquet(os.path.join(state_path, "overrides")).where(F.col("batch_id") <= batch_id).drop("batch_id")
-    (answer(base_edges, infos, log, airport_dim)
+    (answer(base_edges, infos, log.read(batch_id), airport_dim)
      .write.mode("overwrite").parquet(os.path.join(output_path, "answers", part)))
 
 
 def command_stream(spark: SparkSession, commands_path: str, base_edges: DataFrame, airport_dim: DataFrame,
-                   output_path: str, state_path: str, checkpoint_location: str, available_now: bool = True):
+                   output_path: str, state_path: str, checkpoint_location: str, available_now: bool = True,
+                   files_per_batch: int | None = None, snapshot_every: int = 8):
     """Start the command stream; returns the ``StreamingQuery``.
 
     ``base_edges``: ``(src, dst, weight)`` route graph; ``airport_dim``:
     ``(airport_id, name)``.  Answers go to ``output_path``/answers, refused
     lines to ``output_path``/rejected.  With ``available_now`` the query
-    processes what is in ``commands_path`` and stops (``awaitTermination`` to wait).
+    processes what is in ``commands_path`` and stops (``awaitTermination`` to wait),
+    in batches of ``files_per_batch`` files where given.
     """
     edges = cut_lineage(base_edges.select("src", "dst", "weight"))
     dim = cut_lineage(airport_dim.select("airport_id", "name"))
 
+    log = OverrideLog(spark, state_path, snapshot_every)
+
     def run(batch, batch_id):
-        process_batch(spark, batch, batch_id, edges, dim, output_path, state_path)
+        process_batch(spark, batch, batch_id, edges, dim, output_path, log)
 
-    writer = (spark.readStream.text(commands_path).writeStream
+    lines = spark.readStream
+    if files_per_batch:
+        lines = lines.option("maxFilesPerTrigger", files_per_batch)
+    writer = (lines.text(commands_path).writeStream
               .foreachBatch(run).option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
     return writer.start()

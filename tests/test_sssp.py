@@ -1,11 +1,13 @@
 """Shortest paths: hand-made graphs, brute force on generated graphs, invariants."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from routelytics.operators.edges import route_edges
 from routelytics.plans.paths import reconstruct, route_queries
-from routelytics.plans.sssp import SCALE, EdgeTable, relax, shortest_paths
+from routelytics.plans.sssp import SCALE, EdgeBlocks, LabelRuns, relaxed, shortest_paths
 from routelytics.sources.synthetic import grid_nodes, synthetic_flights
 
 
@@ -87,11 +89,11 @@ def test_against_brute_force(spark, n, pct, seed):
         assert got[k][1:] == want[k][1:] and got[k][0] == pytest.approx(want[k][0], rel=1e-12), k
 
 
-def test_salted_hubs_give_same_labels(spark):
-    """Splitting every node's out-edges into many salted buckets must not change a label."""
+def test_blocks_and_widths_give_same_labels(spark):
+    """How edges are cut and how far a window reaches must not change a label."""
     triples = synth_edges(spark, 20, 30, 9)
     plain = labels(spark, triples, [0, 1])
-    assert plain == labels(spark, triples, [0, 1], salts=1) == labels(spark, triples, [0, 1], salts=13)
+    assert plain == labels(spark, triples, [0, 1], block=1, width=1.0) == labels(spark, triples, [0, 1], block=5, width=1e9)
 
 
 def test_relaxation_invariants(spark):
@@ -146,32 +148,85 @@ def test_edges_hold_for_their_time(spark):
     assert got == {100: (4.0, ["0", "2", "1"]), 101: (1.0, ["0", "1"])}
 
 
-def test_no_round_shuffles_the_edges(spark):
-    """Only the state and its candidates move; the bucketed edge table is read in place."""
-    triples = synth_edges(spark, 60, 40, 2)
-    table = EdgeTable(edges_df(spark, triples))
+SEED = "source long, node long, l struct<dist:long,hops:long,pred:long>, asof long"
+
+
+def no_broadcast(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    return lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_no_round_shuffles_the_edges_or_old_labels(spark):
+    """Only the frontier and its candidates move; edge blocks and label runs are read in place."""
+    blocks, runs = EdgeBlocks(edges_df(spark, synth_edges(spark, 60, 40, 2))), LabelRuns(spark)
+    undo = no_broadcast(spark)
     try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        state = spark.createDataFrame([(0, i, (0, 0, None), 0, True) for i in range(60)],
-                                      "source long, node long, l struct<dist:long,hops:long,pred:long>, asof long, changed boolean")
-        plan = relax(state, table)._jdf.queryExecution().executedPlan().toString()
-        assert "Bucketed: true" in plan
+        run, _ = runs.add(spark.createDataFrame([(0, i, (0, 0, None), 0) for i in range(60)], SEED))
+        cand = relaxed(run, blocks, -1, 10 ** 12)
+        best = runs.better(cand)
+        plan = best._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Bucketed: true") >= 2
         moved = [x for x in plan.splitlines() if "Exchange" in x]
-        assert len(moved) == 2 and not any("e_src" in x for x in moved), plan
+        assert len(moved) == 4 and not any("e_src" in x for x in moved), plan  # frontier by node, fences, frontier by block, candidates
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        table.drop()
+        undo()
+        runs.drop()
+        blocks.drop()
 
 
-def test_hub_edges_spread_over_buckets(spark):
-    """A hub's out-edges lie under several keys, none with much more than its share."""
-    table = EdgeTable(edges_df(spark, [(0, i, 1) for i in range(4000)]), salts=8)
+def test_hub_is_dealt_evenly(spark):
+    """A hub of 20,000 edges asked by 200 sources: the join by block gives no task twice the median."""
+    blocks = EdgeBlocks(edges_df(spark, [(0, i, 1 + i % 7) for i in range(20_000)]))
+    undo = no_broadcast(spark)
     try:
-        sizes = [r["count"] for r in table.df.groupBy("e_src", "e_salt").count().collect()]
-        assert len(sizes) == 8 and max(sizes) < 700
+        assert blocks.df.agg(F.max(F.size("edges"))).first()[0] == 64
+        frontier = spark.createDataFrame([(s, 0, (0, 0, None), 0) for s in range(200)], SEED)
+        cand = relaxed(frontier, blocks, -1, 10 ** 12)
+        sizes = sorted(r["count"] for r in cand.groupBy(F.spark_partition_id()).count().collect())
+        assert sum(sizes) == 4_000_000 and len(sizes) == 8
+        assert sizes[-1] <= 2 * sizes[4] and sizes[0] >= sizes[4] / 2
+        few = relaxed(frontier, blocks, 2 * SCALE, 4 * SCALE)  # only weights 3 and 4, and only their blocks
+        assert few.count() == 200 * sum(1 for i in range(20_000) if 1 + i % 7 in (3, 4))
     finally:
-        table.drop()
+        undo()
+        blocks.drop()
+
+
+def test_rounds_write_what_they_change(spark):
+    """A long path from one source: a round writes its new labels, not all labels."""
+    n = 9
+    stats = []
+    triples = [(i, i + 1, 1.0) for i in range(n)] + [(0, 100 + i, 5.0 + i) for i in range(300)]
+    got = labels(spark, triples, [0], stats=stats, width=1000.0)
+    assert len(got) == n + 301
+    assert stats[0]["changed"] == 301 and all(s["changed"] == 1 for s in stats[1:n]) and stats[-1]["changed"] == 0
+    runs = LabelRuns(spark)
+    big = spark.range(20_000).selectExpr("0L AS source", "id AS node", "struct(id AS dist, 1L AS hops, 0L AS pred) AS l", "0L AS asof")
+    runs.add(big)
+    better = big.where("node < 10").selectExpr("source", "node", "struct(l.dist - 1 AS dist, l.hops, l.pred) AS l", "asof")
+    run, m = runs.add(better.unionByName(big))
+    size = lambda r: spark.read.parquet(runs.tables.path(r)).count()
+    assert m["n"] == 10 and [size(r) for r in runs.runs] == [20_000, 10]
+    merged, m = runs.merge()
+    assert m["n"] == 20_000 and merged.where("l.dist = node - 1").count() == 10
+    runs.drop()
+
+
+def test_windows_relax_few_edges(spark):
+    """Dense random graph: a fifth of the relaxations of one window without a limit, at most; same labels."""
+    rng = random.Random(4)
+    triples = [(a, b, rng.randrange(1, 2400)) for a in range(100) for b in range(100) if a != b]
+    few, all_ = [], []
+    assert labels(spark, triples, [0], stats=few) == labels(spark, triples, [0], stats=all_, width=1e9)
+    assert 5 * sum(s["relaxed"] for s in few) <= sum(s["relaxed"] for s in all_)
+
+
+def test_unreachable_part_and_no_sources(spark):
+    triples = [(0, 1, 1.0), (1, 2, 900.0), (5, 6, 0.001), (6, 5, 0.001)]
+    assert labels(spark, triples, [0, 5, 9]) == {(0, 0): (0.0, 0, -1), (0, 1): (1.0, 1, 0), (0, 2): (901.0, 2, 1),
+                                                  (5, 5): (0.0, 0, -1), (5, 6): (0.001, 1, 5), (9, 9): (0.0, 0, -1)}
+    assert labels(spark, triples, []) == {} and labels(spark, [], [3]) == {(3, 3): (0.0, 0, -1)}
 
 
 def test_long_chain_needs_no_long_plan(spark):

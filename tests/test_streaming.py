@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from routelytics.streaming.commands import command_stream
+from routelytics.streaming.commands import OverrideLog, command_stream, last_before, timed_edges
 
 
 @pytest.fixture
@@ -12,11 +12,13 @@ def shell(spark, tmp_path):
     root = str(tmp_path)
     os.makedirs(f"{root}/in")
 
-    def run(**files):
-        for name, text in files.items():
+    def run(every=8, per_batch=None, **files):
+        for at, (name, text) in enumerate(files.items()):
             with open(f"{root}/in/{name}.txt", "w") as f:
                 f.write(text)
-        q = command_stream(spark, f"{root}/in", base, dim, f"{root}/out", f"{root}/state", f"{root}/ckpt")
+            os.utime(f.name, (1_700_000_000 + at, 1_700_000_000 + at))  # batches follow the files' times
+        q = command_stream(spark, f"{root}/in", base, dim, f"{root}/out", f"{root}/state", f"{root}/ckpt",
+                           files_per_batch=per_batch, snapshot_every=every)
         q.awaitTermination(300)
         answers = {(r.seq, r.origin, r.dest): (r.weight, r.path_text) for r in spark.read.parquet(f"{root}/out/answers").collect()}
         rejected = {(r.line, r.reason) for r in spark.read.parquet(f"{root}/out/rejected").collect()}
@@ -44,3 +46,27 @@ def test_a_later_run_keeps_the_overrides(shell):
     shell(a="1 time A C 5\n2 info A C\n")
     answers, _ = shell(b="9 info A C\n")
     assert answers == {(2, "A", "C"): (5.0, "A -> C"), (9, "A", "C"): (5.0, "A -> C")}
+
+
+def test_many_batches_read_few_folders(spark, shell, tmp_path):
+    """Every batch holds one override; the last one's answers see all, from a snapshot and a few deltas."""
+    files = {f"f{i:02}": f"{i} time A C {100 - i}\n" for i in range(1, 13)}
+    answers, _ = shell(every=4, per_batch=1, **files, f90="5 info A C\n99 info A C\n", f91="98 time A C 3\n", f92="100 info A C\n")
+    assert answers[(99, "A", "C")] == (20.0, "A -> B -> C") and answers[(100, "A", "C")] == (3.0, "A -> C")
+    log = OverrideLog(spark, f"{tmp_path}/state", 4)
+    assert log.read(14).count() == 13 and log.read(5).count() == 6
+    assert max(len(log.folders(b)) for b in range(1000)) == 5 and len(log.folders(14)) == 4
+    assert sorted(os.listdir(f"{tmp_path}/state/snapshots")) == ["up_to=11", "up_to=3", "up_to=7"]
+
+
+def test_intervals_of_one_hot_route(spark):
+    """2,000 overrides of one route, in many partitions, and one of another."""
+    ov = spark.range(2000).selectExpr("id * 3 AS seq", "1L AS src", "2L AS dst", "double(id) AS weight").unionByName(
+        spark.createDataFrame([(7, 2, 2, 9.0)], "seq long, src long, dst long, weight double"))
+    edges = spark.createDataFrame([(1, 2, 0.5), (5, 6, 1.5)], "src long, dst long, weight double")
+    got = {(r.src, r.dst, r.since): (r.weight, r.until) for r in timed_edges(edges, ov).collect()}
+    assert len(got) == 2003 and got[(2, 2, 7)] == (9.0, 1 << 62) and got[(1, 2, -(1 << 62))] == (0.5, 0)
+    assert all(got[(1, 2, 3 * i)] == (float(i), 3 * i + 3 if i < 1999 else 1 << 62) for i in range(2000))
+    asked = spark.createDataFrame([(4, "x")] * 500 + [(-1, "y"), (9999, "z"), (3, "w")], "seq long, cmd string")
+    seen = last_before(asked, ov).groupBy("cmd").agg({"asof": "min", "*": "count"}).collect()
+    assert {r.cmd: (r["min(asof)"], r["count(1)"]) for r in seen} == {"x": (3, 500), "y": (-(1 << 62), 1), "z": (5997, 1), "w": (3, 1)}

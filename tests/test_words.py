@@ -1,5 +1,8 @@
 import itertools
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from routelytics.functions.tokens import tokens_space, tokens_whitespace
 from routelytics.operators.words import top_words, word_count
@@ -42,3 +45,15 @@ def test_word_count_and_top(spark):
     assert sp == {"the": 2, "cat": 2, "": 2, "dog": 1}
     top = top_words(lines, 2, mode="whitespace").collect()
     assert [(r["rank"], r.word, r["count"]) for r in top] == [(1, "cat", 2), (2, "the", 2)]
+
+
+def test_long_runs_of_blanks_take_linear_time(spark):
+    """A million blanks between two letters, and at the end of a line."""
+    n = 1_000_000
+    df = spark.createDataFrame([("a" + " " * n + "b",), ("c" + "\t " * (n // 2),)], "value string")
+    df.select(tokens_whitespace("value")).collect()
+    # the second line ends with a space, and each tab stands between two of them
+    for f, sizes in ((tokens_whitespace, [2, 1]), (tokens_space, [n + 1, n // 2])):
+        t = time.perf_counter()
+        assert [r.n for r in df.select(F.size(f("value")).alias("n")).collect()] == sizes
+        assert time.perf_counter() - t < 4  # both lines; quadratic code takes minutes
