@@ -16,19 +16,22 @@ Steps, all on representatives of equal sets (exact copies cost one row):
    tries the star that shares most tables with it, then its next ones where
    they lie in another component; confirmed on the full sets, they join
    components.
-3. Tables that still hold several components pair every member outside the
-   largest one with the members of other components, each pair once (in the
-   first table it shares), and these are confirmed as well.  So no
-   candidate is skipped unless its ends are already connected, and dense
-   groups do not expand into all pairs.
-
-Joins are on table keys or ids with the shuffle on both sides, so the skew join
-splits a hot one; nothing is gathered per key, collected or broadcast by hand.
+3. Texts of tables that still hold several components are compared by an exact
+   prefix filter: a text's shingles are ordered by their frequency among these
+   texts, rarest first.  For two sets of sizes m >= n to reach the similarity, their
+   overlap must be at least ``need`` = percent * (m + n) / (100 + percent), so their
+   first common shingle lies among the first m - need + 1 and n - need + 1.  Texts of
+   different components that share such a shingle are confirmed; all others
+   cannot reach the similarity.  In a family of texts that are each a bit too far
+   apart, the rarest shingles are each text's own, so no pairs come up.
+
+Joins are on table keys, shingles or ids with the shuffle on both sides, so the skew
+join splits a hot one; nothing is gathered per key, collected or broadcast by hand.
 
 Defined results: null or blank texts have n_shingles 0 and stand alone; rows
-that repeat an id are each classed by their text; a null id takes no part
-(component_id null, kept); extra columns are ignored; empty tables give empty
-results.
+that repeat an id are each classed by their text, and a component's id is the
+least id among its rows; a null id takes no part (component_id null, kept);
+extra columns are ignored; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, BinaryType, ByteType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from routelytics.llm.blocks import map_texts
 from routelytics.llm.components import components
@@ -54,12 +57,7 @@ class NearDupParams:
     groups: int = 14
     rows: int = 3
     seed: int = 20240607
-    #: further minhashes of texts that share a table, and the share of them that must
-    #: agree before the sets of a late candidate are compared: at similarity 0.8 a
-    #: smaller share agrees with probability 1e-4
-    sketch: int = 192
-    agree: float = 0.69
-    #: stars a text tries before all remaining pairs between components are compared
+    #: stars a text tries before the prefix filter covers the rest
     star_pairs: int = 8
 
 
@@ -152,19 +150,12 @@ def _key(hashes: np.ndarray) -> bytes | None:
 
 def _full_sets(p: NearDupParams):
     def make():
-        sets_of, mult = shingler(p), _multipliers(p.sketch, p.seed + 2)
-
-        def f(texts):
-            sets = [sets_of(t) for t in texts]
-            # a byte of each minhash is enough to count agreements
-            sketch = _lists(_minhashes(sets, mult).astype(np.uint8), pa.int8(), np.int8)
-            return [[_key(s) for s in sets], [s.tobytes() for s in sets], sketch]
-        return f
+        sets_of = shingler(p)
+        return lambda texts: [[x.tobytes() for x in map(sets_of, texts)]]
     return make
 
 
-_FULL_SET = StructType([StructField("own_key", BinaryType()), StructField("hashes", BinaryType()),
-                        StructField("sketch", ArrayType(ByteType()))])
+_FULL_SET = StructType([StructField("hashes", BinaryType())])
 
 
 def _buckets(reps: DataFrame, p: NearDupParams) -> DataFrame:
@@ -179,10 +170,6 @@ def _buckets(reps: DataFrame, p: NearDupParams) -> DataFrame:
     return live.select("rep", F.explode(pairs).alias("t")).select("t.key", "t.ti", "t.tj", "rep")
 
 
-def _agree(x, y) -> F.Column:
-    return F.size(F.filter(F.zip_with(x, y, lambda a, b: a == b), lambda z: z))
-
-
 def _confirm(pairs: DataFrame, sets: DataFrame, p: NearDupParams) -> DataFrame:
     """Pairs (a, b) whose full sets reach the similarity."""
     both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("hashes").alias("x")), "a")
@@ -213,32 +200,92 @@ def _apart(stars: DataFrame, joined: DataFrame, tried: DataFrame) -> DataFrame:
     return pairs.filter("ca <> cb").select("a", "b").join(tried.select("a", "b"), ["a", "b"], "left_anti")
 
 
-def _across(full: DataFrame, p: NearDupParams, need) -> DataFrame:
-    """Pairs (a, b), a > b, that share a table, are in different components and
-    whose sketches agree enough; each once, at the first table it shares."""
-    x, y = full.filter("comp <> main").alias("x"), full.alias("y")
+def _shingles(sets: DataFrame) -> DataFrame:
+    """(rep, comp, n, h): one row per shingle of each set."""
+    def run(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                sets = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(2)]
+                at = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+                sizes = np.array([len(x) for x in sets], np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(at)), part.column(1).take(pa.array(at)), pa.array(sizes[at]),
+                     pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64))], names=["rep", "comp", "n", "h"])
+    return sets.select("rep", "comp", "hashes").mapInArrow(run, "rep long, comp long, n long, h long")
+
+
+def _need(m, n, percent: int):
+    """Least overlap of sets of these sizes at the similarity."""
+    return F.ceil(F.lit(percent) * (m + n) / F.lit(100 + percent))
+
+
+def _prefixes(sets: DataFrame, p: NearDupParams) -> DataFrame:
+    """(h, rep, comp, n, pos): shingles of each set, rarest first, that may be its first
+    common one with a set of another component."""
+    rows = _shingles(sets)
+    freq = rows.groupBy("h").agg(F.count(F.lit(1)).alias("f"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    # shingles of one component alone count as positions, but join with nothing
+    freq = freq.select("h", "f", (F.col("lo") < F.col("hi")).alias("live"))
+    ordered = rows.join(freq, "h").groupBy("rep", "comp", "n").agg(
+        F.sort_array(F.collect_list(F.struct("f", "h", "live"))).alias("hs"))  # one text's set
+    # the partner is smaller by ``percent`` at most
+    most = F.col("n") - _need(F.col("n"), F.ceil(F.col("n") * p.percent / 100), p.percent) + 1
+    first = ordered.select("rep", "comp", "n", F.posexplode(F.slice("hs", F.lit(1), most.cast("int"))).alias("pos", "s"))
+    return first.filter("s.live").select("s.h", "rep", "comp", "n", "pos")
+
+
+def _apart_pairs(prefixes: DataFrame, p: NearDupParams) -> DataFrame:
+    """Pairs (a, b), a > b, of different components that the prefix filter leaves; each once.
+
+    The smaller set of a pair has its first common shingle among its first n - need(n, n) + 1.
+    Per shingle, the component with most rows is compared with the others only.
+    """
+    n = F.col("n")
+    rows = prefixes.withColumn("short", F.col("pos") <= n - _need(n, n, p.percent))
+    sizes = rows.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"))
+    main = sizes.groupBy("h").agg(F.max(F.struct("k", "comp")).alias("m"), F.count(F.lit(1)).alias("comps"))
+    rows = rows.join(main.filter("comps > 1").select("h", F.col("m.comp").alias("main")), "h")
+    x, y = rows.filter("comp <> main").alias("x"), rows.alias("y")
 
-    def first_shared(lo):
-        half = [F.slice(F.col(f"{s}.grp"), lo + 1, p.groups) for s in "xy"]
-        return F.array_position(F.zip_with(*half, lambda a, b: a == b), True) - 1
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp"))
-                   & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.rep") > F.col("y.rep")))
-                   & (first_shared(0) == F.col("x.ti")) & (first_shared(p.groups) == F.col("x.tj"))
-                   & (_agree(F.col("x.sketch"), F.col("y.sketch")) >= need))
-    return pairs.select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")).distinct()
+    def meet(small, large, once):
+        s, g = (lambda c: F.col(f"{small}.{c}")), (lambda c: F.col(f"{large}.{c}"))
+        need = _need(s("n"), g("n"), p.percent)
+        on = ((F.col("x.h") == F.col("y.h")) & (F.col("x.comp") != F.col("y.comp")) & once
+              & ((g("n") > s("n")) | ((g("n") == s("n")) & (g("rep") > s("rep"))))
+              & (100 * s("n") >= p.percent * g("n")) & (s("n") - s("pos") >= need) & (g("n") - g("pos") >= need))
+        left, right = (x.filter("short"), y) if small == "x" else (x, y.filter("short"))
+        return left.join(right, on).select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b"))
 
+    # two rows outside the main component meet in the first join
+    return meet("x", "y", F.lit(True)).unionByName(meet("y", "x", F.col("y.comp") == F.col("y.main"))).distinct()
 
-def classes(docs: DataFrame, params: NearDupParams = NearDupParams(), id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
-    p = params
+
+def _text_hash(text_col: str = "text"):
+    return F.xxhash64(F.col(f"`{text_col}`").cast("string"))
+
+
+def _classed(docs: DataFrame, p: NearDupParams, id_col: str) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, class, component_id) of every row; no class without words or id."""
     tables = RoundTables(docs.sparkSession, "near-dedup")
-    rows, _ = tables.write(map_texts(docs, _signatures(p), _SIGNATURE, [id_col]).withColumnRenamed(id_col, "doc_id"))
+    hashed = docs.select(F.col(f"`{id_col}`").alias("doc_id"), _text_hash().alias("text_hash"), F.col("text"))
+    rows, _ = tables.write(map_texts(hashed, _signatures(p), _SIGNATURE, ["doc_id", "text_hash"]))
     some = rows.filter("set_key is not null and doc_id is not null")
-    rep_of, _ = tables.write(some.groupBy("set_key").agg(F.min("doc_id").alias("rep")))
-    # one row per distinct set: the row of its least id, with the signature
-    reps = (some.join(rep_of, "set_key").filter("doc_id = rep")
-            .groupBy("set_key").agg(F.first("rep").alias("rep"), F.first("grp").alias("grp")))
-    reps, _ = tables.write(reps)
+    # one row per distinct set: its least id, with the signature
+    own = some.groupBy("set_key").agg(F.min(F.struct("doc_id", "text_hash")).alias("own"))
+    sets_of, _ = tables.write(own.select("set_key", "own.*"))
+    # a set is known by its least id; where texts of one id are least in several sets, the others get a number of their own
+    clash, several = tables.write(sets_of.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("set_key").alias("first"))
+                                  .filter("n > 1").select("doc_id", "first"), n=F.count(F.lit(1)))
+    if several["n"]:
+        other = -1 - F.xxhash64("set_key").bitwiseAND(F.lit((1 << 62) - 1))
+        named = sets_of.join(clash, "doc_id", "left").withColumn(
+            "rep", F.when(F.coalesce(F.col("first") != F.col("set_key"), F.lit(False)), other).otherwise(F.col("doc_id"))).drop("first")
+    else:
+        named = sets_of.withColumn("rep", F.col("doc_id"))
+    grp = some.join(named, ["set_key", "doc_id", "text_hash"]).groupBy("rep", "set_key", "doc_id", "text_hash").agg(
+        F.first("grp").alias("grp"), F.count(F.lit(1)).alias("copies"))
+    reps, same = tables.write(grp, copies=F.max("copies"))
 
     buckets, _ = tables.write(_buckets(reps, p))
     shared = buckets.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).filter("pivot < last")
@@ -251,16 +298,18 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams(), id_col: st
         "a", "s.b", "turn")
     stars, _ = tables.write(stars)
 
-    # full sets of the texts that share a table with another one
+    # full sets of the texts that share a table with another one, one row per set
     wanted = (buckets.join(shared.select("key"), "key", "left_semi").select("rep").distinct()
-              .join(reps.select("rep", "set_key"), "rep"))
-    texts = docs.select(F.col(f"`{id_col}`").alias("rep"), F.col("text")).join(wanted.hint("shuffle_hash"), "rep")
-    sets = map_texts(texts, _full_sets(p), _FULL_SET, ["rep", "set_key"])
-    sets, _ = tables.write(sets.filter("set_key = own_key").select("rep", "hashes", "sketch"))
+              .join(reps.select("rep", "doc_id", "text_hash"), "rep"))
+    texts = hashed.join(wanted.hint("shuffle_hash"), ["doc_id", "text_hash"]).select("rep", "text")
+    if (same["copies"] or 0) > 1:  # repeated rows: one of them
+        turn = F.row_number().over(Window.partitionBy("rep").orderBy("rep"))
+        texts = texts.withColumn("turn", turn).filter("turn = 1").select("rep", "text")
+    sets, _ = tables.write(map_texts(texts, _full_sets(p), _FULL_SET, ["rep"]))
 
     # each text tries its nearest star, then its others that lead to another component
     tried, picked = tables.write(stars.filter("turn = 0").select("a", "b"), n=F.count(F.lit(1)))
-    links = joined = None
+    joined = docs.sparkSession.createDataFrame([], "node long, component long")
     if picked["n"]:
         links, _ = tables.write(_confirm(tried, sets, p))
         joined, _ = tables.write(components(links))
@@ -271,48 +320,53 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams(), id_col: st
             if new["n"]:
                 links = links.unionByName(found)
                 joined, _ = tables.write(components(links))
-    if links is not None:
-        # tables that still hold several components
-        need = F.lit(int(p.agree * p.sketch))
+        # texts of tables that still hold several components
         of = (buckets.join(shared.select("key"), "key", "left_semi").join(joined, buckets.rep == joined.node, "left")
-              .select("key", "ti", "tj", "rep", F.coalesce("component", "rep").alias("comp")))
+              .select("key", "rep", F.coalesce("component", "rep").alias("comp")))
         mixed = of.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-        of, more = tables.write(of.join(mixed, "key"), n=F.count(F.lit(1)))
+        open_, more = tables.write(of.join(mixed, "key", "left_semi").select("rep", "comp").distinct(), n=F.count(F.lit(1)))
         if more["n"]:
-            sizes = of.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-            main = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m")).select("key", F.col("m.comp").alias("main"))
-            short = F.transform("grp", lambda g: (g % (1 << 31)).cast("int")).alias("grp")
-            full, _ = tables.write(of.join(main, "key").join(reps.select("rep", short), "rep")
-                                   .join(sets.select("rep", "sketch"), "rep"))
-            pairs = _across(full, p, need).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-            pairs, _ = tables.write(pairs)
+            prefixes, _ = tables.write(_prefixes(open_.join(sets, "rep"), p))
+            pairs, _ = tables.write(_apart_pairs(prefixes, p).join(tried.select("a", "b"), ["a", "b"], "left_anti"))
             late, found = tables.write(_confirm(pairs, sets, p), n=F.count(F.lit(1)))
             if found["n"]:
-                joined = components(links.unionByName(late))
-            tables.drop(full, pairs, late)
-        tables.drop(of)
-    else:
-        joined = docs.sparkSession.createDataFrame([], "node long, component long")
+                joined, _ = tables.write(components(links.unionByName(late)))
+            tables.drop(prefixes, pairs)
     tables.drop(reps, buckets, stars, sets)
-    out = (rows.join(rep_of, "set_key", "left").join(joined, F.col("rep") == joined.node, "left")
-           .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id")))
-    out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    by_set = (named.join(joined, named.rep == joined.node, "left")
+              .select("set_key", F.col("doc_id").alias("least"), F.coalesce("component", "rep").alias("class")))
+    if several["n"]:
+        by_set = by_set.join(by_set.groupBy("class").agg(F.min("least").alias("component_id")), "class")
+    else:
+        by_set = by_set.withColumn("component_id", F.col("class"))
+    out = rows.join(by_set.select("set_key", "class", "component_id"), "set_key", "left")
+    none = F.col("doc_id").isNull()
+    return out.select("doc_id", "text_hash", "n_shingles", F.when(~none, F.col("class")).alias("class"),
+                      F.when(~none, F.coalesce("component_id", "doc_id")).alias("component_id"))
+
+
+def classes(docs: DataFrame, params: NearDupParams = NearDupParams(), id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+    return _classed(docs, params, id_col).select(
+        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFrame:
     """One row of ``docs`` per class, with its own columns: the least id's.
 
-    Of rows that repeat an id the one with the least text hash stays; rows
-    with a null id all stay.
+    Texts without words are a class of their own for each id.  Of rows of one
+    class and id, the one with the least text hash stays; rows with a null id all stay.
     """
-    verdict = (classes(docs, params).filter("doc_id is not null").groupBy("doc_id")
-               .agg(F.min("component_id").alias("component_id")).filter("doc_id = component_id")
-               .select(F.col("doc_id").alias("__id")))
+    rows = _classed(docs, params, "doc_id").filter("doc_id is not null")
+    least = F.min(F.struct("doc_id", "text_hash")).alias("k")
+    verdict = (rows.filter("class is not null").groupBy("class").agg(least).select("k.*")
+               .unionByName(rows.filter("class is null").select("doc_id", "text_hash").distinct())
+               .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__h")))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__h"), row)
-    turn = F.row_number().over(Window.partitionBy("__id").orderBy("__h"))
-    once = rows.join(verdict, "__id").withColumn("__n", turn).filter("__n = 1").select("row.*")
+    rows = docs.select(F.col("doc_id").alias("__id"), _text_hash().alias("__h"), row)
+    # a repeated row is dropped before the shuffle already (window group limit)
+    turn = F.row_number().over(Window.partitionBy("__id", "__h").orderBy("__h"))
+    once = rows.join(verdict, ["__id", "__h"]).withColumn("__n", turn).filter("__n = 1").select("row.*")
     return once.unionByName(rows.filter("__id is null").select("row.*"))
 
 

@@ -60,6 +60,46 @@ def test_five_word_stage_keeps_one_row_of_each_group(spark):
     assert sorted(i for i in ids if i is not None) == sorted(want) and ids.count(None) == 2
 
 
+def test_texts_that_share_an_id_are_classed_each(spark):
+    a = " ".join(f"a{i}" for i in range(30))
+    b = " ".join(f"b{i}" for i in range(30))
+    c = " ".join(f"c{i}" for i in range(30))
+    rows = [(1, a), (5, a + " x"), (5, b), (5, b), (1, c), (2, c + " y"), (3, a + " z"), (9, ""), (9, None), (None, a)]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in q.digest(docs(spark, rows)).collect() if r.doc_id)
+    assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (5, 1, False), (5, 5, True), (5, 5, True),
+                   (9, 9, True), (9, 9, True)]
+    kept = sorted((r.doc_id, r.text) for r in q.keep_one(docs(spark, rows)).collect() if r.doc_id and r.text)
+    assert kept == [(1, a), (1, c), (5, b)]
+
+
+def test_repeated_rows_make_one_set(spark, monkeypatch):
+    """One link between two texts that are repeated 100 times each is one pair."""
+    sizes = []
+    confirm = q._confirm
+    monkeypatch.setattr(q, "_confirm", lambda pairs, sets, p: sizes.append((pairs.count(), sets.count())) or confirm(pairs, sets, p))
+    a = " ".join(f"a{i}" for i in range(40))
+    got = q.digest(docs(spark, [(1, a)] * 100 + [(2, a + " b")] * 100 + [(3, a)] * 50)).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1)} and sizes[0] == (1, 2)
+
+
+@pytest.mark.parametrize("edits", [0.035, 0.05, 0.065])
+def test_few_late_pairs_in_a_family(spark, monkeypatch, edits):
+    """Texts that are each a bit too far apart: similarity 0.6 to 0.8 between most pairs."""
+    rng = random.Random(7)
+    base = [f"w{rng.randrange(9000)}" for _ in range(300)]
+
+    def family(n):
+        return [(i, " ".join(w if rng.random() > edits else f"z{rng.randrange(10 ** 9)}" for w in base)) for i in range(n)]
+    late = []
+    pairs = q._apart_pairs
+    monkeypatch.setattr(q, "_apart_pairs", lambda *a: late.append(pairs(*a).count()) or pairs(*a))
+    for n in (60, 120):
+        texts = family(n)
+        got = {r.doc_id: r.component_id for r in q.digest(docs(spark, texts)).collect()}
+        assert got == {i: c for i, (_, c) in brute(texts).items()}
+    assert not late or late[-1] <= 120 * 119 / 2 / 10  # a tenth of all pairs at most
+
+
 def test_empty_table_and_long_text(spark):
     assert q.digest(docs(spark, [])).collect() == []
     long = " ".join(f"w{i}" for i in range(120_000))
