@@ -21,11 +21,13 @@ from routelytics.operators import edges as E
 from routelytics.operators import overrides as O
 from routelytics.operators import words as W
 from routelytics.plans.paths import reconstruct, route_queries
+from routelytics.plans.repair import repair_paths
 from routelytics.plans.sssp import SCALE, distance_to, shortest_paths
 from routelytics.sources import derived as D
 from routelytics.sources.flights import flights_to_lines, parse_flights, read_flights, rejected_flights, write_table
 from routelytics.sources.schema import FLIGHT_COLUMNS
 from routelytics.streaming.commands import command_stream
+from routelytics.streaming.edges import current_edges, edge_log, edge_stream
 from routelytics.session import checkpoint_dir, cut_lineage
 from routelytics.sources.synthetic import node_name, synthetic_flights
 
@@ -35,6 +37,8 @@ TOP_WORDS = 20             # S7: the original prints the first 20 words
 SYNTH_PCT = 25             # S5: connections per airport in percent of n
 SYNTH_SEED = 7             # S5: seed of the integer mixing
 BLOCK = E.DEFAULT_BLOCK    # M3: source ids per adjacency block
+FIRST_LOAD = "1992-01-10"  # G10: flights shipped before it are the first load
+STREAM_FILES = 5           # A3-A5: files that the stream of flights takes one by one
 LOOKUP_NODE = 1            # F2: node whose distance is looked up
 OVERRIDE_ROWS = [(0, 1, 5.0), (2, 2, 0.0), (0, 1, 7.0)]  # S4: overrides from driver values, in order
 
@@ -85,6 +89,25 @@ def q_airports(spark, sf):
     return AP.airports(_flights(spark, sf))
 
 
+def q_durable_airport_ids(spark, sf):
+    """Airports numbered in two loads, the flights of the first days and then all: old ids stay."""
+    ids = AP.IdTable(spark, _new_folder(spark, "routelytics-ids"))
+    ids.add(0, AP.airport_names(D.derived_flights(spark, sf, shipped_before=FIRST_LOAD)))
+    return ids.add(1, AP.airport_names(_flights(spark, sf)))
+
+
+def q_streamed_route_edges(spark, sf):
+    """The route graph kept by a stream that takes the flights file by file."""
+    root = _new_folder(spark, "routelytics-edge-stream")
+    fl = _flights(spark, sf).select("org_id", "dest_id", "dep_time", "arr_time")
+    fl.repartition(STREAM_FILES).write.parquet(f"{root}/flights")
+    log = edge_log(spark, f"{root}/log", every=2)
+    q = edge_stream(spark, f"{root}/flights", fl.schema, log, f"{root}/stream", files_per_batch=1)
+    q.awaitTermination()
+    e = current_edges(log, q.lastProgress["batchId"])
+    return e.select("src", "dst", _r6(F.col("weight")).alias("weight"), "n_flights")
+
+
 def q_airport_count(spark, sf):
     return AP.airport_count(_flights(spark, sf))
 
@@ -111,7 +134,7 @@ def q_adjacency_lookup(spark, sf):
 
 
 def q_direct_weights(spark, sf):
-    fl = _flights(spark, sf)
+    fl = cut_lineage(_flights(spark, sf).select("org_id", "dest_id", "dep_time", "arr_time"))  # one scan for both uses
     d = E.direct_weights(fl, E.route_edges(fl), DIRECT_SOURCE)
     return d.select("dst", _r6(F.col("weight")).alias("weight"))
 
@@ -255,6 +278,14 @@ def q_sssp_with_overrides(spark, sf):
     return st.select("source", "node", _r6(F.col("dist")).alias("dist"), "hops", "pred")
 
 
+def q_sssp_repaired(spark, sf):
+    """Labels of the graph without overrides, repaired after them: as a full solve with them."""
+    st, sums = _hub_labels(spark, sf)
+    overrides = D.derived_override_events(spark, sf)
+    st = repair_paths(st, O.apply_overrides(E.edges_from_sums(sums), overrides), overrides.select("src", "dst"))
+    return st.select("source", "node", _r6(F.col("dist")).alias("dist"), "hops", "pred")
+
+
 def q_word_count_ws(spark, sf):
     return W.word_count(D.derived_lines(spark, sf), mode="whitespace")
 
@@ -304,6 +335,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_durations": q_route_durations,
     "route_durations_raw": q_route_durations_raw,
     "airports": q_airports,
+    "durable_airport_ids": q_durable_airport_ids,
+    "streamed_route_edges": q_streamed_route_edges,
     "airport_count": q_airport_count,
     "route_edges": q_route_edges,
     "incoming_adjacency": q_incoming_adjacency,
@@ -326,6 +359,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "override_commands": q_override_commands,
     "edges_with_overrides": q_edges_with_overrides,
     "sssp_with_overrides": q_sssp_with_overrides,
+    "sssp_repaired": q_sssp_repaired,
     "word_count_ws": q_word_count_ws,
     "word_count_space": q_word_count_space,
     "top_words": q_top_words,
@@ -479,6 +513,12 @@ def oracle_sql() -> dict[str, str]:
                                      "from flights group by 1, 2"),
         "airports": _with("select airport_id, name, row_number() over (order by airport_id) - 1 node_id "
                           "from names"),
+        "durable_airport_ids": _with(
+            """select airport_id, name, row_number() over (order by airport_id not in (select id from early), airport_id) - 1 node_id
+               from names""",
+            f"""early as (select l_suppkey id from lineitem where l_shipdate < timestamp '{FIRST_LOAD}'
+               union select l_partkey % {_N} from lineitem where l_shipdate < timestamp '{FIRST_LOAD}')"""),
+        "streamed_route_edges": _with("select src, dst, round(weight, 6) weight, n_flights from edges"),
         "airport_count": _with("select count(*) n_airports from names"),
         "route_edges": _with("select src, dst, round(weight, 6) weight, n_flights from edges"),
         "incoming_adjacency": _with(f"select dst, cast(floor(src / {BLOCK}) as bigint) block, src, "
@@ -536,6 +576,8 @@ def oracle_sql() -> dict[str, str]:
             "union all select src, dst, round(weight, 6) weight, true overridden from lo"),
         "sssp_with_overrides": _with("select source, node, round(dist, 6) dist, hops, pred from st",
                                      _HUB + "," + _labels_sql("oedges", "hub"), recursive=True),
+        "sssp_repaired": _with("select source, node, round(dist, 6) dist, hops, pred from st",
+                               _HUB + "," + _labels_sql("oedges", "hub"), recursive=True),
         "word_count_ws": f"with {_WC_WS} select word, count from wc",
         "word_count_space": f"with {_WC_SP} select word, count from wc",
         "top_words": (f"with {_WC_SP} select row_number() over (order by count desc, word) rank, word, count "

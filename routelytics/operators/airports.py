@@ -10,7 +10,7 @@ offsets.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from routelytics.session import cut_lineage
@@ -62,6 +62,39 @@ def airports(flights: DataFrame) -> DataFrame:
     return dense_index(airport_names(flights).drop("n_names"), "airport_id", "node_id")
 
 
+class IdTable:
+    """Append-only ids of airports: an airport keeps the id of the load that brought it.
+
+    A load's new airports (anti-join) are numbered in order of ``airport_id`` from the
+    number of airports so far, and appended as a folder; ids are dense over all loads.
+    A load that is repeated after a failure rewrites its own folder.
+    """
+
+    SCHEMA = "airport_id long, name string, node_id long"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def _folder(self, load: int) -> str:
+        return f"{self.path.rstrip('/')}/load={load}"
+
+    def read(self, load: int) -> DataFrame:
+        """``(airport_id, name, node_id)`` after the loads 0 to ``load``."""
+        return self.spark.read.schema(self.SCHEMA).parquet(*[self._folder(i) for i in range(load + 1)])
+
+    def add(self, load: int, names: DataFrame) -> DataFrame:
+        """Number the airports of ``names`` (airport_id, name) that no earlier load holds; the table after it."""
+        new, first = names.select("airport_id", "name"), 0
+        if load:
+            old = self.read(load - 1)
+            first = old.count()
+            new = new.join(old.select("airport_id"), "airport_id", "left_anti")
+        numbered = dense_index(new, "airport_id", "at")
+        numbered.select(F.col("airport_id").cast("long").alias("airport_id"), "name", (F.col("at") + first).alias("node_id")
+                        ).write.mode("overwrite").parquet(self._folder(load))
+        return self.read(load)
+
+
 def airport_count(flights: DataFrame) -> DataFrame:
     """Number of distinct airports (origins and destinations): ``(n_airports)``."""
     return _endpoints(flights).select("airport_id").distinct().agg(

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from routelytics.functions.durations import raw_duration, wrapped_duration
+from routelytics.operators.skew import salted_join
 
 DEFAULT_BLOCK = 1024
 
@@ -96,7 +97,8 @@ def direct_weights(flights: DataFrame, edges: DataFrame, source: int) -> DataFra
     """For every flight, the weight of the direct edge ``source -> flight destination``.
 
     ``(dst, weight)`` per flight, weight null when ``source`` has no such edge.
-    Only the source's out-edges take part in the join.
+    Only the source's out-edges take part in the join; destinations that hold a
+    large part of the flights are salted.
     """
     out = edges.where(F.col("src") == F.lit(source)).select("dst", "weight")
-    return flights.select(F.col("dest_id").alias("dst")).join(out, "dst", "left")
+    return salted_join(flights.select(F.col("dest_id").alias("dst")), out, "dst")

@@ -234,6 +234,30 @@ def _open_sources(labels: DataFrame, rooms: DataFrame | None, targets: DataFrame
     return found.join(rooms, "source").where("found < room").select("source")
 
 
+def settle(labels: LabelRuns, frontier: DataFrame, blocks: EdgeBlocks, before: int, limit: int, plain: RoundTables,
+           stats: list | None = None, most: int | None = None) -> int:
+    """Relax from ``frontier`` until no label in the window changes; the number of rounds."""
+    rounds = 0
+    while True:
+        rounds += 1
+        if most is not None and rounds > most:
+            raise RuntimeError("shortest_paths did not settle in max_rounds rounds")
+        cand = relaxed(frontier, blocks, before, limit)
+        if stats is not None:
+            seen = Observation(f"relaxed-{uuid.uuid4().hex}")
+            cand = cand.observe(seen, F.count(F.lit(1)).alias("n"))
+        run, m = labels.add(cand)
+        if stats is not None:
+            stats.append({"limit": limit / SCALE, "relaxed": seen.get["n"], "changed": m["n"]})
+        trace(f"sssp: round {rounds} up to {limit / SCALE}: {m['n']} labels changed")
+        if not m["n"]:
+            return rounds
+        frontier = run.where("moved")
+        if len(labels.runs) > RUNS:
+            frontier, _ = plain.write(frontier)  # its run is merged away
+            labels.merge()
+
+
 def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "source", block: int = BLOCK,
                    targets: DataFrame | None = None, max_rounds: int | None = None, width: float | None = None,
                    stats: list | None = None) -> DataFrame:
@@ -278,24 +302,8 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
         limit = max(1, round(width * SCALE)) if width is not None else blocks.width
         before, rounds = -1, 0
         while True:
-            while True:  # rounds of a window
-                rounds += 1
-                if max_rounds is not None and rounds > max_rounds:
-                    raise RuntimeError(f"shortest_paths did not settle in {max_rounds} rounds")
-                cand = relaxed(frontier, blocks, before, limit)
-                if stats is not None:
-                    seen = Observation(f"relaxed-{uuid.uuid4().hex}")
-                    cand = cand.observe(seen, F.count(F.lit(1)).alias("n"))
-                run, m = labels.add(cand)
-                if stats is not None:
-                    stats.append({"limit": limit / SCALE, "relaxed": seen.get["n"], "changed": m["n"]})
-                trace(f"sssp: round {rounds} up to {limit / SCALE}: {m['n']} labels changed")
-                if not m["n"]:
-                    break
-                frontier = run.where("moved")
-                if len(labels.runs) > RUNS:
-                    frontier, _ = plain.write(frontier)  # its run is merged away
-                    labels.merge()
+            rounds += settle(labels, frontier, blocks, before, limit, plain, stats,
+                             None if max_rounds is None else max_rounds - rounds)
             merged, m = labels.merge()
             if limit >= (m["far"] or 0) + blocks.heaviest or (targets is None and m["n"] >= (most["n"] or 0)):
                 break

@@ -21,7 +21,7 @@ share their labels.
 Overrides, answers and rejects are written with ``overwrite`` into a
 ``batch_id=<n>`` folder each, so a batch that Spark replays after a failure
 rewrites the same files instead of appending twice.  A snapshot of all overrides
-every few batches bounds what a later batch reads (:class:`OverrideLog`).  The caller names the
+every few batches bounds what a later batch reads.  The caller names the
 folders of input, output, state and stream checkpoint; a later run with the
 same folders goes on with the overrides of the earlier one.
 """
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from routelytics.operators.airports import dense_index, names_to_ids
 from routelytics.plans.paths import route_queries
 from routelytics.session import cut_lineage
+from routelytics.streaming.log import DeltaLog
 
 _FIRST, _LAST = -(1 << 62), 1 << 62
 
@@ -103,39 +104,11 @@ def last_before(asked: DataFrame, overrides: DataFrame) -> DataFrame:
     return asked.join(found, "seq")
 
 
-class OverrideLog:
-    """The overrides of all batches: one delta per batch, and a snapshot after every ``every`` batches.
-
-    ``read`` names the folders it needs by batch number: the last snapshot and at
-    most ``every`` deltas, however many batches there were.  A replayed batch
-    rewrites its own delta and snapshot.  Batch numbers of a stream follow each other.
-    """
-
-    SCHEMA = "seq long, src long, dst long, weight double"
-
-    def __init__(self, spark: SparkSession, root: str, every: int = 8):
-        self.spark, self.root, self.every = spark, root, every
-
-    def _delta(self, batch_id: int) -> str:
-        return os.path.join(self.root, "overrides", f"batch_id={batch_id}")
-
-    def _snapshot(self, batch_id: int) -> str:
-        return os.path.join(self.root, "snapshots", f"up_to={batch_id}")
-
-    def write(self, batch_id: int, rows: DataFrame) -> None:
-        rows.select("seq", "src", "dst", "weight").write.mode("overwrite").parquet(self._delta(batch_id))
-        if (batch_id + 1) % self.every == 0:
-            all_ = self.read(batch_id).groupBy("src", "dst", "seq").agg(F.max("weight").alias("weight"))
-            all_.select("seq", "src", "dst", "weight").write.mode("overwrite").parquet(self._snapshot(batch_id))
-
-    def folders(self, batch_id: int) -> list[str]:
-        """What holds the overrides up to a batch."""
-        done = batch_id // self.every * self.every - 1
-        old = [self._snapshot(done)] if done >= 0 else []
-        return old + [self._delta(b) for b in range(done + 1, batch_id + 1)]
-
-    def read(self, batch_id: int) -> DataFrame:
-        return self.spark.read.schema(self.SCHEMA).parquet(*self.folders(batch_id))
+def override_log(spark: SparkSession, root: str, every: int = 8) -> DeltaLog:
+    """The overrides of all batches, one row per route and number."""
+    def merged(rows):
+        return rows.groupBy("src", "dst", "seq").agg(F.max("weight").alias("weight")).select("seq", "src", "dst", "weight")
+    return DeltaLog(spark, root, "seq long, src long, dst long, weight double", merged, every)
 
 
 def answer(edges: DataFrame, infos: DataFrame, overrides: DataFrame, airport_dim: DataFrame) -> DataFrame:
@@ -151,14 +124,14 @@ def answer(edges: DataFrame, infos: DataFrame, overrides: DataFrame, airport_dim
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, base_edges: DataFrame,
-                  airport_dim: DataFrame, output_path: str, log: OverrideLog) -> None:
+                  airport_dim: DataFrame, output_path: str, log: DeltaLog) -> None:
     """Apply one micro-batch of commands (see module docstring)."""
     part = f"batch_id={batch_id}"
     cmds = cut_lineage(parse_commands(batch, airport_dim))
     (cmds.where("reason is not null").select("line", "reason")
      .write.mode("overwrite").parquet(os.path.join(output_path, "rejected", part)))
     good = cmds.where("reason is null")
-    log.write(batch_id, good.where("cmd = 'time'"))
+    log.write(batch_id, good.where("cmd = 'time'").select("seq", "src", "dst", "weight"))
     infos = good.where("cmd = 'info'")
     if infos.isEmpty():
         return
@@ -180,7 +153,7 @@ def command_stream(spark: SparkSession, commands_path: str, base_edges: DataFram
     edges = cut_lineage(base_edges.select("src", "dst", "weight"))
     dim = cut_lineage(airport_dim.select("airport_id", "name"))
 
-    log = OverrideLog(spark, state_path, snapshot_every)
+    log = override_log(spark, state_path, snapshot_every)
 
     def run(batch, batch_id):
         process_batch(spark, batch, batch_id, edges, dim, output_path, log)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from routelytics.operators.edges import route_edges
 from routelytics.plans.paths import reconstruct, route_queries
+from routelytics.plans.repair import repair_paths
 from routelytics.plans.sssp import SCALE, EdgeBlocks, LabelRuns, relaxed, shortest_paths
 from routelytics.sources.synthetic import grid_nodes, synthetic_flights
 
@@ -148,6 +149,28 @@ def test_edges_hold_for_their_time(spark):
     assert got == {100: (4.0, ["0", "2", "1"]), 101: (1.0, ["0", "1"])}
 
 
+def test_repair_equals_a_full_solve_and_touches_less(spark):
+    rng = random.Random(11)
+    n = 90
+    triples = [(a, rng.randrange(n), rng.randrange(1, 60)) for a in range(n) for _ in range(5)]
+    triples = [(a, b, float(w)) for (a, b), w in {(a, b): w for a, b, w in triples}.items()]
+    src = spark.createDataFrame([(0,), (7,)], "source long")
+    before = shortest_paths(edges_df(spark, triples), src)
+    routes = [t[:2] for t in triples]
+    # one route up, one down, one gone, one new
+    new = {(a, b): w for a, b, w in triples}
+    new[routes[3]], new[routes[50]] = 500.0, 0.0
+    del new[routes[200]]
+    new[(88, 3)] = 1.5
+    changed = [routes[3], routes[50], routes[200], (88, 3)]
+    after = [(a, b, w) for (a, b), w in new.items()]
+    stats: dict = {}
+    got = repair_paths(before, edges_df(spark, after), spark.createDataFrame(changed, "src long, dst long"), stats).collect()
+    want = {(s, v): lab for s in (0, 7) for v, lab in brute_labels(after, s).items()}
+    assert {(r.source, r.node): (r.dist, r.hops, -1 if r.pred is None else r.pred) for r in got} == want
+    assert stats["reset"] + stats["changed"] < len(want) / 2
+
+
 SEED = "source long, node long, l struct<dist:long,hops:long,pred:long>, asof long"
 
 

@@ -2,7 +2,9 @@ import os
 
 import pytest
 
-from routelytics.streaming.commands import OverrideLog, command_stream, last_before, timed_edges
+from routelytics.operators.edges import route_edges
+from routelytics.streaming.commands import command_stream, last_before, override_log, timed_edges
+from routelytics.streaming.edges import current_edges, edge_log, edge_stream
 
 
 @pytest.fixture
@@ -53,7 +55,7 @@ def test_many_batches_read_few_folders(spark, shell, tmp_path):
     files = {f"f{i:02}": f"{i} time A C {100 - i}\n" for i in range(1, 13)}
     answers, _ = shell(every=4, per_batch=1, **files, f90="5 info A C\n99 info A C\n", f91="98 time A C 3\n", f92="100 info A C\n")
     assert answers[(99, "A", "C")] == (20.0, "A -> B -> C") and answers[(100, "A", "C")] == (3.0, "A -> C")
-    log = OverrideLog(spark, f"{tmp_path}/state", 4)
+    log = override_log(spark, f"{tmp_path}/state", 4)
     assert log.read(14).count() == 13 and log.read(5).count() == 6
     assert max(len(log.folders(b)) for b in range(1000)) == 5 and len(log.folders(14)) == 4
     assert sorted(os.listdir(f"{tmp_path}/state/snapshots")) == ["up_to=11", "up_to=3", "up_to=7"]
@@ -70,3 +72,20 @@ def test_intervals_of_one_hot_route(spark):
     asked = spark.createDataFrame([(4, "x")] * 500 + [(-1, "y"), (9999, "z"), (3, "w")], "seq long, cmd string")
     seen = last_before(asked, ov).groupBy("cmd").agg({"asof": "min", "*": "count"}).collect()
     assert {r.cmd: (r["min(asof)"], r["count(1)"]) for r in seen} == {"x": (3, 500), "y": (-(1 << 62), 1), "z": (5997, 1), "w": (3, 1)}
+
+
+def test_edges_follow_the_flight_files(spark, tmp_path):
+    """After each batch the streamed graph is that of all files so far; a second run goes on."""
+    rows = [(i % 3, i % 4, 100.0 * (i % 7), 100.0 * (i % 5)) for i in range(60)]
+    schema = "org_id long, dest_id long, dep_time double, arr_time double"
+    flights = spark.createDataFrame(rows, schema)
+    key = lambda r: (r.src, r.dst)
+    log = edge_log(spark, f"{tmp_path}/log", every=2)
+    for run, part in enumerate((flights.limit(20), flights.offset(20))):
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        q = edge_stream(spark, f"{tmp_path}/in", flights.schema, log, f"{tmp_path}/ckpt", files_per_batch=1)
+        q.awaitTermination(200)
+        want = sorted(route_edges(flights.limit(20) if run == 0 else flights).collect(), key=key)
+        got = sorted(current_edges(log, run).collect(), key=key)
+        assert [(r.src, r.dst, r.n_flights) for r in got] == [(r.src, r.dst, r.n_flights) for r in want]
+        assert all(abs(a.weight - b.weight) < 1e-9 for a, b in zip(got, want))
