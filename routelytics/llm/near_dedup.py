@@ -227,12 +227,11 @@ def _prefixes(sets: DataFrame, p: NearDupParams) -> DataFrame:
     freq = rows.groupBy("h").agg(F.count(F.lit(1)).alias("f"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     # shingles of one component alone count as positions, but join with nothing
     freq = freq.select("h", "f", (F.col("lo") < F.col("hi")).alias("live"))
-    ordered = rows.join(freq, "h").groupBy("rep", "comp", "n").agg(
-        F.sort_array(F.collect_list(F.struct("f", "h", "live"))).alias("hs"))  # one text's set
+    rank = F.row_number().over(Window.partitionBy("rep").orderBy("f", "h")) - 1  # one text's set
+    ordered = rows.join(freq, "h").withColumn("pos", rank)
     # the partner is smaller by ``percent`` at most
     most = F.col("n") - _need(F.col("n"), F.ceil(F.col("n") * p.percent / 100), p.percent) + 1
-    first = ordered.select("rep", "comp", "n", F.posexplode(F.slice("hs", F.lit(1), most.cast("int"))).alias("pos", "s"))
-    return first.filter("s.live").select("s.h", "rep", "comp", "n", "pos")
+    return ordered.filter(F.col("live") & (F.col("pos") < most)).select("h", "rep", "comp", "n", "pos")
 
 
 def _apart_pairs(prefixes: DataFrame, p: NearDupParams) -> DataFrame:
