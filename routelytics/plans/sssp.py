@@ -38,7 +38,9 @@ files; they are deleted when nothing reads them any more.
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,6 +98,25 @@ class BucketedTables:
             delete_path(self.spark, self.path(name))
 
 
+@dataclass(frozen=True)
+class Packing:
+    """A label as one whole number in the order of labels: a minimum of numbers needs no sort."""
+
+    lo: int
+    preds: int
+    hops: int
+
+    @property
+    def pack(self) -> str:
+        return f"(l.dist * {self.hops}L + l.hops) * {self.preds}L + (l.pred - ({self.lo}L))"
+
+    @property
+    def unpack(self) -> str:
+        rest = f"(k div {self.preds}L)"
+        return (f"named_struct('dist', {rest} div {self.hops}L, 'hops', {rest} % {self.hops}L, "
+                f"'pred', k % {self.preds}L + ({self.lo}L))")
+
+
 class EdgeBlocks:
     """Out-edges in blocks keyed (e_src, e_block), lightest first; ``drop`` removes them.
 
@@ -123,84 +144,91 @@ class EdgeBlocks:
         blocks = ranked.groupBy(F.col("e.src").alias("e_src"), F.floor(F.col("at") / block).alias("e_block")).agg(
             F.collect_list(one).alias("edges"), F.min("e.w").alias("fence"))  # ``block`` edges at most
         self.blocks, got = self.tables.write(blocks, "e_src", "e_block", blocks=F.count(F.lit(1)))
+        self.df = spark.table(self.blocks)
         fences = self.df.groupBy(F.col("e_src").alias("node")).agg(
             F.sort_array(F.collect_list(F.struct("e_block", "fence"))).alias("fences"))
         self.fences, nodes = self.plain.write(fences, n=F.count(F.lit(1)))
-        self._heads = ranked.select(F.col("e.dst").alias("node")).distinct()
         shares = [2.0 ** -k for k in range(20)]
-        m = ranked.agg(F.count(F.lit(1)).alias("n"), F.max("e.w").alias("most"),
-                       F.percentile_approx("e.w", shares).alias("q")).first()
-        self.heaviest = m["most"] or 0
+        m = self.df.select("e_src", F.explode("edges.w").alias("w")).agg(
+            F.count(F.lit(1)).alias("n"), F.max("w").alias("most"), F.min("e_src").alias("lo"), F.max("e_src").alias("hi"),
+            F.percentile_approx("w", shares).alias("q")).first()
+        self.heaviest, self.ids, self.hops = m["most"] or 0, (m["lo"] or 0, m["hi"] or 0), nodes["n"] + 1
         wanted = EDGES_A_NODE * max(nodes["n"], 1) / max(m["n"], 1)  # share of the edges
         light = [q for q, s in zip(m["q"] or [1], shares) if s <= wanted or s == shares[-1]]
         self.width = max(light[0], self.heaviest >> 20, 1)
         trace(f"sssp: {m['n']} edges of {nodes['n']} nodes in {got['blocks']} blocks, first limit {self.width / SCALE}")
 
-    @property
-    def df(self) -> DataFrame:
-        return self.spark.table(self.blocks)
+    def packing(self, limit: int) -> "Packing | None":
+        """Labels up to ``limit`` as one number, if they fit: a path leaves each node once."""
+        lo, hi = self.ids
+        return Packing(lo, hi - lo + 1, self.hops) if (limit + 1) * self.hops * (hi - lo + 1) < 1 << 63 else None
 
-    def heads(self) -> tuple[DataFrame, int]:
-        """Nodes with in-edges, and how many."""
-        heads, m = self.plain.write(self._heads, n=F.count(F.lit(1)))
-        return heads, m["n"]
+    def heads(self) -> DataFrame:
+        """Nodes with in-edges."""
+        return self.df.select(F.explode("edges.dst").alias("node")).distinct()
 
     def drop(self) -> None:
         self.tables.drop(self.blocks)
         self.plain.clear()
 
 
+_PART = ["node", "source", "l", "asof", "high", "low"]
+
+
 def relaxed(frontier: DataFrame, blocks: EdgeBlocks, before: int, limit: int) -> DataFrame:
     """Candidates ``(source, node, l, asof)`` that the frontier's edges give with a distance in the window.
 
     Labels up to ``before`` have relaxed what leads up to ``before`` already.
     """
-    d = F.col("l.dist")
-    low = F.when(d <= before, F.lit(before) - d).otherwise(F.lit(-1))
-    f = frontier.select("source", "node", "l", "asof", (F.lit(limit) - d).alias("high"), low.alias("low"))
+    # expressions as text: a round is small work for the cluster, so the driver's part counts
+    f = frontier.selectExpr("source", "node", "l", "asof", f"{limit}L - l.dist AS high",
+                            f"CASE WHEN l.dist <= {before}L THEN {before}L - l.dist ELSE -1L END AS low")
     # blocks whose lightest edge is not too heavy and which end above ``low``
-    f = f.join(blocks.fences, "node").withColumn("light", F.filter("fences", lambda x: x["fence"] <= F.col("high")))
-    reach = F.greatest(F.size(F.filter("light", lambda x: x["fence"] <= F.col("low"))), F.lit(1))
-    f = f.where(F.size("light") > 0).select("source", "node", "l", "asof", "high", "low", F.explode(
-        F.slice("light", reach, F.size("light"))["e_block"]).alias("block"))
-    got = f.join(blocks.df, (F.col("node") == F.col("e_src")) & (F.col("block") == F.col("e_block")))
-    got = got.select("source", "e_src", "l", "asof", "high", "low", F.inline("edges"))
-    on = (F.col("w") <= F.col("high")) & (F.col("w") > F.col("low"))
-    if blocks.timed:
-        on = on & (F.col("since") <= F.col("asof")) & (F.col("asof") < F.col("until"))
-    return got.where(on).select("source", F.col("dst").alias("node"),
-                                _label(F.col("l.dist") + F.col("w"), F.col("l.hops") + 1, F.col("e_src")).alias("l"), "asof")
+    f = f.join(blocks.fences, "node").selectExpr(*_PART, "filter(fences, x -> x.fence <= high) AS light")
+    f = f.selectExpr(*_PART, "explode(slice(light, greatest(size(filter(light, x -> x.fence <= low)), 1), size(light)).e_block) AS block")
+    got = f.join(blocks.df, F.expr("node = e_src AND block = e_block")).selectExpr(*_PART[1:], "e_src", "inline(edges)")
+    on = "w <= high AND w > low" + " AND since <= asof AND asof < until" * blocks.timed
+    return got.where(on).selectExpr("source", "dst AS node", "named_struct('dist', l.dist + w, 'hops', l.hops + 1, 'pred', e_src) AS l", "asof")
 
 
 class LabelRuns:
     """Labels as runs ``(source, node, l, asof, moved)``, the least label of a key counts."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.tables, self.runs = spark, BucketedTables(spark, "routelytics_labels"), []
+        self.spark, self.tables = spark, BucketedTables(spark, "routelytics_labels")
+        self.runs: list[str] = []
+        self._olds: dict[str, DataFrame] = {}  # runs as the joins see them
 
-    def better(self, cand: DataFrame) -> DataFrame:
+    def better(self, cand: DataFrame, packing: Packing | None = None) -> DataFrame:
         """Candidates reduced to one per key, if better than all runs: ``(source, node, l, asof, moved)``.
 
         ``moved`` marks labels with a new distance or number of hops; a new
         predecessor alone changes nothing for the nodes behind.
         """
-        best = cand.groupBy(*KEY).agg(F.min("l").alias("l"), F.max("asof").alias("asof"))
-        olds = []
-        for i, name in enumerate(self.runs):
-            olds.append(f"old{i}")
-            best = best.join(self.spark.table(name).select(*KEY, F.col("l").alias(olds[-1])), KEY, "left")
-        old = F.least(*olds) if len(olds) > 1 else F.col(olds[0]) if olds else F.lit(None)
-        new = old.isNull() if olds else F.lit(True)
-        if olds:
-            best = best.withColumn("old", old).where(F.col("old").isNull() | (F.col("l") < F.col("old")))
-            new = F.col("old").isNull() | (F.col("l.dist") < F.col("old.dist")) | (F.col("l.hops") < F.col("old.hops"))
-        return best.select(*KEY, "l", "asof", new.alias("moved"))
-
-    def add(self, cand: DataFrame) -> tuple[DataFrame, dict]:
+        if packing:
+            best = (cand.groupBy(*KEY).agg(F.expr(f"min({packing.pack}) AS k"), F.expr("max(asof) AS asof"))
+                    .selectExpr(*KEY, f"{packing.unpack} AS l", "asof"))
+        else:
+            best = cand.groupBy(*KEY).agg(F.expr("min(l) AS l"), F.expr("max(asof) AS asof"))
+        if not self.runs:
+            return best.selectExpr(*KEY, "l", "asof", "true AS moved")
+        for name in self.runs:
+            best = best.join(self._olds[name], KEY, "left")
+        olds = ", ".join(f"old_{name}" for name in self.runs)
+        best = best.selectExpr(*KEY, "l", "asof", f"{f'least({olds})' if len(self.runs) > 1 else olds} AS old")
+        return best.where("old IS NULL OR l < old").selectExpr(
+            *KEY, "l", "asof", "old IS NULL OR l.dist < old.dist OR l.hops < old.hops AS moved")
+
+    def add(self, cand: DataFrame, packing: Packing | None = None) -> tuple[DataFrame, dict]:
         """Write the better ones of the candidates as a run: the run and how many there are."""
-        name, m = self.tables.write(self.better(cand), *KEY, n=F.count(F.lit(1)))
+        name, m = self.tables.write(self.better(cand, packing), *KEY, n=F.count(F.lit(1)), moved=F.count_if("moved"))
+        return self._opened(name), m
+
+    def _opened(self, name: str) -> DataFrame:
         self.runs.append(name)
-        return self.spark.table(name), m
+        run = self.spark.table(name)
+        self._olds[name] = run.select(*KEY, F.col("l").alias(f"old_{name}"))
+        return run
 
     def merge(self) -> tuple[DataFrame, dict]:
         """All runs as one: its rows, how many, and the largest distance."""
@@ -212,8 +240,8 @@ class LabelRuns:
         name, m = self.tables.write(rows, *KEY, n=F.count(F.lit(1)), far=F.max("l.dist"))
         for run in self.runs:
             self.tables.drop(run)
-        self.runs = [name]
-        return self.spark.table(name), m
+        self.runs = []
+        return self._opened(name), m
 
     def close(self) -> DataFrame:
         """The files of the one run that is left; the catalog forgets it."""
@@ -226,12 +254,24 @@ class LabelRuns:
             self.tables.drop(run)
 
 
-def _open_sources(labels: DataFrame, rooms: DataFrame | None, targets: DataFrame | None) -> DataFrame:
-    """Sources that still have a target without label, or without targets a node."""
+def _open_sources(labels: DataFrame, blocks: EdgeBlocks, targets: DataFrame | None) -> DataFrame:
+    """Sources that still have a target without label, or without targets a node with in-edges."""
     if targets is not None:
         return targets.join(labels.select(*KEY), KEY, "left_anti").select("source").distinct()
+    # a source has labels for itself and all nodes with in-edges at most
+    heads = blocks.heads()
     found = labels.groupBy("source").agg(F.count(F.lit(1)).alias("found"))
-    return found.join(rooms, "source").where("found < room").select("source")
+    room = labels.where("l.pred IS NULL").join(heads.withColumn("head", F.lit(1)), "node", "left").select(
+        "source", F.coalesce("head", F.lit(0)).alias("head"))
+    n_heads = heads.agg(F.count(F.lit(1))).scalar()
+    return found.join(room, "source").where(F.col("found") < n_heads + 1 - F.col("head")).select("source")
+
+
+def _observed(seen: Observation, name: str) -> int:
+    try:
+        return seen.get[name]
+    except Py4JJavaError:  # a join that turns out empty at run time drops what it would observe
+        return 0
 
 
 def settle(labels: LabelRuns, frontier: DataFrame, blocks: EdgeBlocks, before: int, limit: int, plain: RoundTables,
@@ -246,11 +286,11 @@ def settle(labels: LabelRuns, frontier: DataFrame, blocks: EdgeBlocks, before: i
         if stats is not None:
             seen = Observation(f"relaxed-{uuid.uuid4().hex}")
             cand = cand.observe(seen, F.count(F.lit(1)).alias("n"))
-        run, m = labels.add(cand)
+        run, m = labels.add(cand, blocks.packing(limit))
         if stats is not None:
-            stats.append({"limit": limit / SCALE, "relaxed": seen.get["n"], "changed": m["n"]})
+            stats.append({"limit": limit / SCALE, "relaxed": _observed(seen, "n"), "changed": m["n"]})
         trace(f"sssp: round {rounds} up to {limit / SCALE}: {m['n']} labels changed")
-        if not m["n"]:
+        if not m["moved"]:
             return rounds
         frontier = run.where("moved")
         if len(labels.runs) > RUNS:
@@ -283,20 +323,13 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
     start = F.col("start") if "start" in sources.columns else F.col(source_col)
     asof = F.col("asof") if "asof" in sources.columns else F.lit(0)
     plain = RoundTables(spark, "routelytics-sssp")
-    seeds, _ = plain.write(sources.select(F.col(source_col).cast("long").alias("source"), start.cast("long").alias("node"),
-                                          asof.cast("long").alias("asof")).distinct())
+    seeds = sources.select(F.col(source_col).cast("long").alias("source"), start.cast("long").alias("node"),
+                           asof.cast("long").alias("asof")).distinct()
     blocks = EdgeBlocks(edges, block)
     labels = LabelRuns(spark)
     try:
         if targets is not None:
             targets, _ = plain.write(targets.select(F.col("source").cast("long"), F.col("node").cast("long")).distinct())
-            rooms, most = None, None
-        else:
-            # a source has labels for itself and all nodes with in-edges at most
-            heads, n_heads = blocks.heads()
-            room = F.lit(n_heads + 1) - F.coalesce("head", F.lit(0))
-            rooms, most = plain.write(seeds.join(heads.withColumn("head", F.lit(1)), "node", "left")
-                                      .select("source", room.alias("room")), n=F.sum("room"))
         zero = _label(F.lit(0), F.lit(0), F.lit(None))
         frontier, _ = labels.add(seeds.select("source", "node", zero.alias("l"), "asof"))
         limit = max(1, round(width * SCALE)) if width is not None else blocks.width
@@ -305,9 +338,9 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
             rounds += settle(labels, frontier, blocks, before, limit, plain, stats,
                              None if max_rounds is None else max_rounds - rounds)
             merged, m = labels.merge()
-            if limit >= (m["far"] or 0) + blocks.heaviest or (targets is None and m["n"] >= (most["n"] or 0)):
+            if limit >= (m["far"] or 0) + blocks.heaviest:
                 break
-            active, left = plain.write(_open_sources(merged, rooms, targets), n=F.count(F.lit(1)))
+            active, left = plain.write(_open_sources(merged, blocks, targets), n=F.count(F.lit(1)))
             if not left["n"]:
                 break
             frontier = merged.join(active, "source", "left_semi")
