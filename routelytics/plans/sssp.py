@@ -29,7 +29,9 @@ sources are done or no edge is left.  No size or budget changes a result.
 **Labels as runs** (:class:`LabelRuns`).  A round writes the labels that it changed,
 and nothing else, as a run: a table bucketed by (source, node).  Candidates are
 shuffled and reduced once per round and meet the runs in place; runs are merged
-at the end of a window or when there are more than ``RUNS`` of them.
+at the end of a window or when there are more than ``RUNS`` of them.  Where a label
+up to the limit fits into one number (:class:`Packing`), candidates are reduced by
+a hash aggregation of numbers instead of a sorted one of structs.
 
 All tables lie under the session's checkpoint folder, so a lost executor re-reads
 files; they are deleted when nothing reads them any more.
