@@ -137,9 +137,9 @@ def score(docs: DataFrame, labels: DataFrame, params: ClassifierParams = Classif
         return docs.select("doc_id", held_out, F.lit(base).alias("score"), F.lit(int(base >= p.threshold)).alias("predicted"),
                            F.lit(base).alias("raw"))
     table, _ = tables.write(map_texts(docs, _statistics, _X, ["doc_id"]))
-    # the sample is bounded: it is broadcast, and its rows fit a few partitions
+    # the sample is bounded: it is broadcast, and its rows, once found, fit a few partitions
     train, _ = tables.write(table.join(F.broadcast(sample), "doc_id").select(
-        "x", F.col("y").cast("double").alias("y"), F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(2)).cast("int").alias("fold")).coalesce(8))
+        "x", F.col("y").cast("double").alias("y"), F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(2)).cast("int").alias("fold")).repartition(8))
 
     def moments(b):
         x = vectors(b.column(0))

@@ -123,7 +123,9 @@ select page_id, payload_bytes,
         || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (n // 32) % 32 + 1, 1)
         || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', n % 32 + 1, 1)), 'string_agg', '') payload_digest,
        case when page_id = last then 'response' else 'revisit' end record_type,
-       case when page_id <> last then last end refers_to
+       case when page_id <> last then last end refers_to,
+       case when page_id = last then payload_bytes end stored_bytes,
+       case when page_id = last then payload_digest end stored_digest
 from d
 """
 

@@ -3,7 +3,8 @@
 1. Lexicon.  In a bounded sample of the labelled training rows, words and word
    beginnings (``stem*``, so that inflected forms are met) are counted by
    label; the strongest become lexicon voters, beside pattern voters
-   (several hits, dense hits, hits close together, shouting, exclamations).
+   (several hits, dense hits, hits close together, shouting, exclamations),
+   which vote alone where no term is strong enough.
 2. Votes.  One pass over all whole texts counts the hits of every voter.
 3. Label model.  A two-class generative model gives each voter a rate of
    voting in toxic and in clean documents (its accuracy), and pairs of voters
@@ -19,7 +20,8 @@ Labels of other rows, language, source and id never enter a score.
 Defined results: null and empty texts are scored like a text without words;
 null ids are scored and count as not held out; repeated rows get equal scores;
 of several labels of an id the larger counts; without any training row of
-label 1, every score is 0; extra columns are ignored.
+label 1, every score is 0; where no document has one, every score is the
+share of label 1 among the training rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,9 +44,8 @@ from routelytics.session import RoundTables
 class ToxicityParams:
     #: labelled training rows that the lexicon and the held labels come from
     most_labelled: int = 40_000
-    #: toxic documents a term needs, and terms that are counted in clean ones
+    #: toxic documents a term needs
     least_toxic: int = 4
-    most_terms: int = 50_000
     voters: int = 96
     #: least ratio of a term's shares among toxic and clean documents
     least_ratio: float = 8.0
@@ -73,58 +74,63 @@ def _terms(word: str, stems: tuple) -> list[str]:
     return [w, *(w[:k] + "*" for k in stems if len(w) > k)] if len(w) > 2 else []
 
 
-def _count_terms(sample: DataFrame, stems: tuple, wanted: frozenset | None) -> DataFrame:
-    """(term, n): documents of ``sample`` that have each term."""
+def _count_terms(sample: DataFrame, stems: tuple) -> DataFrame:
+    """(term, n1, n0): documents of ``sample`` (text, y) with label 1 and 0 that have each term."""
+    def table(total):
+        return pa.RecordBatch.from_arrays([pa.array([*total[1], *total[0]], pa.string()),
+                                           pa.array([*total[1].values(), *[0] * len(total[0])], pa.int64()),
+                                           pa.array([*[0] * len(total[1]), *total[0].values()], pa.int64())],
+                                          names=["term", "n1", "n0"])
+
     def run(batches):
-        total: Counter = Counter()
+        total = {1: Counter(), 0: Counter()}
         cache: dict[str, list[str]] = {}
         for b in batches:
-            for t in b.column(0).to_pylist():
+            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 found = set()
                 for w in set((t or "").lower().split()):
                     terms = cache.get(w)
                     if terms is None:
                         terms = _terms(w, stems)
-                        if wanted is not None:
-                            terms = [x for x in terms if x in wanted]
                         if len(cache) > 100_000:
                             cache.clear()
                         cache[w] = terms
                     found.update(terms)
-                total.update(found)
-            if len(total) > 300_000:
-                yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array(list(total.values()), pa.int64())], names=["term", "n"])
-                total = Counter()
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())],
-                                         names=["term", "n"])
-    return sample.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+                total[int(y == 1)].update(found)
+                if len(total[0]) + len(total[1]) > 300_000:
+                    yield table(total)
+                    total = {1: Counter(), 0: Counter()}
+        yield table(total)
+    rows = sample.select("text", "y").mapInArrow(run, "term string, n1 long, n0 long")
+    return rows.groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
 def lexicon(docs: DataFrame, sample: DataFrame, p: ToxicityParams) -> list[str]:
     """Terms that speak for label 1, strongest first, none a longer form of another.
 
     ``sample`` (doc_id, y) has about ``most_labelled`` rows at most, so it is broadcast.
+    Every term is counted under both labels and scored on Spark; the driver takes
+    scored terms in falling order until ``voters`` are chosen.
     """
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
-    toxic = (_count_terms(rows.filter("y = 1"), p.stems, None).filter(F.col("n") >= p.least_toxic)
-             .orderBy(F.desc("n"), "term").limit(p.most_terms).collect())
     n1, n0 = [sample.filter(F.col("y") == y).count() for y in (1, 0)]
-    if not toxic or not n1:
+    if not n1:
         return []
-    clean = {r.term: r.n for r in _count_terms(rows.filter("y = 0"), p.stems, frozenset(r.term for r in toxic)).collect()}
-    scored = []
-    for r in toxic:
-        ratio = (r.n / n1) / ((clean.get(r.term, 0) + 0.5) / (n0 + 1))
-        if ratio >= p.least_ratio and r.n * np.log(ratio) >= p.least_evidence:
-            scored.append((r.n * np.log(ratio), len(r.term), r.term))
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
+    ratio = (F.col("n1") / F.lit(float(n1))) / ((F.col("n0") + 0.5) / F.lit(n0 + 1.0))
+    tables = RoundTables(docs.sparkSession, "toxicity-terms")
+    scored, _ = tables.write(_count_terms(rows, p.stems).filter(F.col("n1") >= p.least_toxic).filter(ratio >= p.least_ratio)
+                             .select("term", (F.col("n1") * F.log(ratio)).alias("evidence"))
+                             .filter(F.col("evidence") >= p.least_evidence))
     chosen: list[str] = []
-    for _, _, term in sorted(scored, reverse=True):
+    for r in scored.orderBy(F.desc("evidence"), F.desc(F.length("term")), F.desc("term")).toLocalIterator():
+        term = r.term
         stem = term.rstrip("*")
         if not any(stem.startswith(c[:-1]) if c.endswith("*") else (term.endswith("*") and c.startswith(stem)) or c == term
                    for c in chosen):
             chosen.append(term)
             if len(chosen) == p.voters:
                 break
+    tables.clear()
     return chosen
 
 
@@ -248,11 +254,14 @@ def score(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
     sample, _ = tables.write(bounded_labels(labels, "toxic", by_crc32("doc_id", 4) != 2, p.most_labelled))
     shares = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("n1")).first()
     held_out = F.coalesce(by_crc32("doc_id", 4) == 2, F.lit(False)).alias("held_out")
-    terms = lexicon(docs, sample, p) if shares.n1 else []
-    if not terms:
+
+    def constant():
         base = float(shares.n1 or 0) / max(shares.n, 1)
         return docs.select("doc_id", held_out, F.lit(base).alias("score"), F.lit(int(base >= p.threshold)).alias("predicted"),
                            F.lit(base).alias("posterior"), F.lit(0).cast("long").alias("n_hits"))
+    if not shares.n1:
+        return constant()
+    terms = lexicon(docs, sample, p)
     m = len(terms) + len(_PATTERNS)
     votes = map_texts(docs, _voter(terms, p), _VOTES, ["doc_id"])
     table, _ = tables.write(votes)
@@ -267,6 +276,8 @@ def score(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
         y = b.column(1).to_numpy(zero_copy_only=False).astype(float)
         return np.concatenate([[n[y == c].sum(), *(n[y == c] @ v[y == c])] for c in (0, 1)])
     s = summed(patterns.filter("y is not null").select("votes", "y", "n"), 2 * (m + 1), counted).reshape(2, m + 1)
+    if not s[1, 0]:
+        return constant()
     rate = (s[:, 1:] + np.array([[0.02], [0.5]])) / (s[:, :1] + 1)
     start = LabelModel(float(np.clip(shares.n1 / shares.n, 1e-4, 1 - 1e-4)), np.clip(rate, 1e-6, 1 - 1e-6), np.full(m, 0.5))
     model = fit_label_model(patterns, m, start, p.em_steps)

@@ -15,7 +15,8 @@ attempts leave no stray records.  Files are opened through
 
 Columns (``RECORD``): record_id, record_type, target_uri, date, content_type,
 payload_digest (bare upper-case base32 SHA-1), payload_bytes, refers_to,
-payload.  A revisit has no payload but keeps the size and digest of it.
+payload.  A revisit has no payload but keeps the size and digest of it.  An HTTP
+block without a blank line has no headers: all of it is payload.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
                                     Not, StringContains, StringEndsWith, StringStartsWith, WriterCommitMessage)
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from routelytics.session import RoundTables, delete_path
+
 RECORD = ("record_id string, record_type string, target_uri string, date string, content_type string, "
           "payload_digest string, payload_bytes long, refers_to string, payload binary")
 _MANIFEST = "_manifest.json"
@@ -159,15 +162,18 @@ class _Source:
         self.at, self.buf, self.pos = self.at + self.pos, self.buf[self.pos:] + got, 0
         return bool(got)
 
-    def until(self, mark: bytes) -> bytes | None:
-        """Bytes before ``mark``, which is passed; None at the end of the file."""
+    def until(self, mark: bytes, most: int | None = None) -> bytes | None:
+        """Bytes before ``mark``, which is passed; None where the file, or the
+        stretch of ``most`` bytes it is looked for in, ends without it."""
         seen = self.pos
         while True:
-            k = self.buf.find(mark, seen)
+            k = self.buf.find(mark, seen, len(self.buf) if most is None else self.pos + most)
             if k >= 0:
                 out = self.buf[self.pos:k]
                 self.pos = k + len(mark)
                 return out
+            if most is not None and len(self.buf) - self.pos >= most:
+                return None
             seen = max(0, len(self.buf) - self.pos - len(mark) + 1)
             if not self._fill():
                 return None
@@ -192,18 +198,22 @@ class _Source:
 
 
 class _Members(_Source):
-    """The same over gzip members: bytes are inflated, and skipped ones dropped at once."""
+    """The same over gzip members, up to the offset ``end`` of the compressed file:
+    bytes are inflated, and skipped ones dropped at once."""
 
-    def __init__(self, f, at: int):
+    def __init__(self, f, at: int, end: int | None = None):
         super().__init__(f, at)
-        self.z, self.rest = zlib.decompressobj(31), b""
+        self.z, self.rest, self.left = zlib.decompressobj(31), b"", (self.size if end is None else end) - at
 
     def _fill(self, more: int = _CHUNK) -> bool:
         got = b""
         while not got:
             if self.z.eof:
                 self.rest, self.z = self.z.unused_data, zlib.decompressobj(31)
-            raw = self.rest or self.f.read(_CHUNK)
+            raw = self.rest
+            if not raw:
+                raw = self.f.read(min(_CHUNK, self.left))
+                self.left -= len(raw)
             self.rest = b""
             if not raw:
                 return False
@@ -262,9 +272,9 @@ def read_records(src: _Source, end: int | None, tests, want_size: bool, want_pay
             continue
         left = length
         if (want_size or want_payload) and "application/http" in (h.get("content-type") or ""):
-            http = src.until(b"\r\n\r\n")
-            left -= len(http) + 4
-            size = _fields(http).get("content-length")
+            http = src.until(b"\r\n\r\n", length)
+            left -= len(http) + 4 if http is not None else 0
+            size = _fields(http).get("content-length") if http is not None else None
             row["payload_bytes"] = int(size) if size and size.isdigit() else left
         elif kind != "revisit":
             row["payload_bytes"] = length
@@ -332,10 +342,7 @@ class WarcReader(DataSourceReader):
                 files = json.loads(f.read())["files"]
             out = []
             for name, size, starts in files:
-                if name.endswith(".gz"):
-                    out.append(Stretch(f"{root}/{name}", 0, None))
-                else:
-                    out += [Stretch(f"{root}/{name}", a, z) for a, z in zip(starts, [*starts[1:], size])]
+                out += [Stretch(f"{root}/{name}", a, z) for a, z in zip(starts, [*starts[1:], size])]
             return out or [Stretch("", 0, 0)]
         found = store.get_file_info(fs.FileSelector(root, recursive=True))
         names = sorted(x.path for x in found if x.type == fs.FileType.File and x.path.endswith((".warc", ".warc.gz")))
@@ -349,9 +356,14 @@ class WarcReader(DataSourceReader):
         arrow = to_arrow_schema(self.schema)
         tests = [header_test(f) for f in self.filters]
         with store.open_input_file(partition.name) as f:
-            src = (_Members if partition.name.endswith(".gz") else _Source)(f, partition.start)
+            end = partition.end
+            if partition.name.endswith(".gz"):
+                # records are members of their own, so a stretch ends with the bytes it may inflate
+                src, end = _Members(f, partition.start, end), None
+            else:
+                src = _Source(f, partition.start)
             rows, held = [], 0
-            for row in read_records(src, partition.end, tests, "payload_bytes" in names, "payload" in names):
+            for row in read_records(src, end, tests, "payload_bytes" in names, "payload" in names):
                 rows.append(row)
                 held += 200 + len(row["payload"] or b"")
                 if held > 8 << 20:
@@ -433,18 +445,31 @@ def write_pages(pages: DataFrame, path: str, least_bytes: int = 0, **options) ->
 
 
 def page_records(spark: SparkSession, path: str) -> DataFrame:
-    """Columns of the op8 contract, from the headers alone."""
-    got = read_warc(spark, path, "record_id string, record_type string, payload_digest string, payload_bytes long, refers_to string")
-    got = got.filter(F.col("record_type").isin("response", "revisit"))
+    """Columns of the op8 contract, from the headers, and beside them ``stored_bytes`` and
+    ``stored_digest``: size and digest of the payloads that the archives hold (null for
+    revisits), by which a damaged payload shows.
+
+    Each kind of record is a scan of its own with its kind pushed down, so that
+    only responses have payloads read.
+    """
+    heads = "record_id string, record_type string, payload_digest string, payload_bytes long, refers_to string"
+    stored = read_warc(spark, path, f"{heads}, payload binary").filter(F.col("record_type") == "response")
+    stored = stored.select("*", F.octet_length("payload").cast("long").alias("stored_bytes"),
+                           base32(F.sha1("payload")).alias("stored_digest")).drop("payload")
+    revisits = read_warc(spark, path, heads).filter(F.col("record_type") == "revisit")
+    got = stored.unionByName(revisits, allowMissingColumns=True)
 
     def page(c):
         return F.nullif(F.regexp_extract(c, f"^{_ID}(-?[0-9]+)$", 1), F.lit("")).cast("long")
     return got.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
-                      page("refers_to").alias("refers_to"))
+                      page("refers_to").alias("refers_to"), "stored_bytes", "stored_digest")
 
 
 def digest(pages: DataFrame, folder: str) -> DataFrame:
-    """Writes the pages to a new folder under ``folder`` and reads their records back."""
-    path = os.path.join(folder, f"warc-{uuid.uuid4().hex}")
+    """Writes the pages to a new folder under ``folder`` and reads their records back;
+    the archives go when the table of records is written."""
+    spark, path = pages.sparkSession, os.path.join(folder, f"warc-{uuid.uuid4().hex}")
     write_pages(pages, path)
-    return page_records(pages.sparkSession, path)
+    out, _ = RoundTables(spark, "warc-records").write(page_records(spark, path))
+    delete_path(spark, path)
+    return out

@@ -76,6 +76,95 @@ def test_inflected_words_are_met_by_their_stem(spark):
     assert all((rows[i].predicted == 1) == (i % 4 == 0) for i in range(400)) and rows[9999].n_hits == 1
 
 
+def test_lexicon_scores_every_term(spark):
+    """Counts, ratio and evidence of every term, written down with a dictionary."""
+    docs, labels = corpus(5)
+    y = {i: t for i, _, t in labels}
+    counts = {}
+    for i, t, *_ in docs:
+        for term in {x for w in t.lower().split() for x in tx._terms(w, (4, 5, 6, 7))}:
+            counts.setdefault(term, [0, 0])[y[i]] += 1
+    n0, n1 = sum(v == 0 for v in y.values()), sum(y.values())
+    p, strong = tx.ToxicityParams(least_ratio=1.05, least_evidence=0.5, voters=10_000), []
+    for term, (c, t) in counts.items():
+        ratio = (t / n1) / ((c + 0.5) / (n0 + 1))
+        if t >= p.least_toxic and ratio >= p.least_ratio and t * np.log(ratio) >= p.least_evidence:
+            strong.append((t * np.log(ratio), len(term), term))
+    want = []
+    for _, _, term in sorted(strong, reverse=True):
+        stem = term.rstrip("*")
+        longer = any(c.endswith("*") and stem.startswith(c[:-1]) for c in want)
+        if not longer and not (term.endswith("*") and any(c.startswith(stem) for c in want if not c.endswith("*"))):
+            want.append(term)
+    d = spark.createDataFrame(docs, SCHEMA).repartition(7)
+    sample = spark.createDataFrame(labels, LABELS).selectExpr("doc_id", "toxic AS y")
+    assert tx.lexicon(d, sample, p) == want and len(want) > 20
+    assert tx.lexicon(d, sample, tx.ToxicityParams(least_ratio=1.05, least_evidence=0.5, voters=5)) == want[:5]
+
+
+def test_patterns_vote_alone_without_a_lexicon(spark):
+    rng = random.Random(3)
+    docs, labels = [], []
+    for i in range(300):
+        t = " ".join("".join(rng.choices("abcdefghijklmnopqrst", k=9)) for _ in range(30))  # no word twice
+        docs.append((i, t.upper() + "!!!" * 20 if i % 3 == 0 else t, None, None, None))
+        labels.append((i, 1, int(i % 3 == 0)))
+    rows = tx.score(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, LABELS)).collect()
+    assert {r.n_hits for r in rows} == {0} and all(r.predicted == (r.doc_id % 3 == 0) for r in rows)
+
+
+def test_toxic_labels_without_a_document(spark):
+    docs, _ = corpus()
+    got = tx.score(spark.createDataFrame(docs[:9], SCHEMA), spark.createDataFrame([(90001, 1, 1), (90003, 1, 1), (1, 1, 0)], LABELS))
+    assert len({r.score for r in got.collect()}) == 1
+
+
+def test_small_training_table_is_spread(spark):
+    """The documents are scanned by their own partitions, not by as few tasks as the training rows need."""
+    docs, labels = corpus()
+    d = spark.createDataFrame(docs, SCHEMA).repartition(24)
+    a = {r.doc_id: r.score for r in qc.score(d, spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(400)], LABELS)).collect()}
+    assert len(a) == 400 and len(set(a.values())) > 50
+
+
+def test_classifier_matches_plain_numpy(spark):
+    docs, _ = corpus(8)
+    docs = [(i, t.upper() if i % 3 == 0 and i % 7 else t + " !" * (i % 5), *r) for i, t, *r in docs]
+    labels = [(i, int(i % 3 > 0), 0) for i in range(400)]
+    p = qc.ClassifierParams(features=40, bins=50)
+    d = spark.createDataFrame(docs, SCHEMA)
+    got = {r.doc_id: r for r in qc.score(d, spark.createDataFrame(labels, LABELS), p).collect()}
+    fold = {r.doc_id: r.f for r in d.selectExpr("doc_id", "cast(pmod(xxhash64(doc_id, 5), 2) AS int) AS f").collect()}
+    train = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    x = np.array([qc.statistics(t) for _, t, *_ in docs])
+    mean, sd = x[train].mean(0), x[train].std(0) + 1e-3
+    rng = np.random.default_rng(p.seed)
+    freq, phase = rng.normal(0, 1 / p.width, (x.shape[1], 40)), rng.uniform(0, 2 * np.pi, 40)
+    z = np.hstack([np.sqrt(2 / 40) * np.cos(np.clip((x - mean) / sd, -6, 6) @ freq + phase), np.ones((400, 1))])
+    y, f = np.array([q for _, q, _ in labels], float), np.array([fold[i] for i in range(400)])
+    ridge = np.diag([1.0] * 40 + [1e-6])
+
+    def fit(rows):
+        return np.linalg.solve(z[rows].T @ z[rows] + ridge, z[rows].T @ y[rows])
+    t = np.array(train)
+    w, other = fit(t), [fit(t[f[t] == 1]), fit(t[f[t] == 0])]
+
+    def cell(v):
+        return np.clip(((v + 0.5) / 2 * 50).astype(int), 0, 49)
+    at = cell(np.array([z[i] @ other[f[i]] for i in t]))
+    sums, sizes = np.bincount(at, y[t], 50), np.bincount(at, minlength=50)
+    # least squares under order: the least over ends of the greatest over starts of block means
+    full = [k for k in range(50) if sizes[k]]
+    level = np.full(50, np.nan)
+    for k in full:
+        level[k] = min(max(sums[a:b + 1].sum() / sizes[a:b + 1].sum() for a in full if a <= k) for b in full if b >= k)
+    known = np.where(np.isnan(level), -1, np.arange(50))
+    level = level[np.maximum(np.maximum.accumulate(known), full[0])]
+    raw = z @ w
+    want = 0.998 * level[cell(raw)] + 0.002 * np.clip((raw + 0.5) / 2, 0, 1)
+    assert max(abs(got[i].score - want[i]) for i in range(400)) < 1e-6
+
+
 def test_repeated_evidence_counts_less():
     """Two voters that always agree weigh about as much as one."""
     rng = np.random.default_rng(0)

@@ -30,9 +30,8 @@ def want(table):
     out = []
     for i, _, h in table:
         b, top = (h or "").encode(), last.get(h or "")
-        first = top is None or i == top
-        out.append((i, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "response" if first else "revisit",
-                    None if first else top))
+        first, sha1 = top is None or i == top, base64.b32encode(hashlib.sha1(b).digest()).decode()
+        out.append((i, len(b), sha1, *(("response", None, len(b), sha1) if first else ("revisit", top, None, None))))
     return out
 
 
@@ -127,6 +126,41 @@ def test_empty_table(spark, tmp_path):
     assert q.digest(spark.createDataFrame([], PAGES), f"file://{tmp_path}").collect() == []
 
 
+def test_query_leaves_no_archive(spark, tmp_path):
+    got = q.digest(spark.createDataFrame(rows(), PAGES), f"file://{tmp_path}").collect()
+    assert sorted(map(tuple, got), key=key) == sorted(want(rows()), key=key)
+    assert not list(tmp_path.iterdir())
+
+
+def test_damaged_payloads_show(spark, tmp_path):
+    path = f"file://{tmp_path}/w"
+    q.write_pages(spark.createDataFrame([(1, "u", "<p>sound</p>"), (2, "u", "<p>damaged</p>")], PAGES).coalesce(1), path)
+    [name] = (tmp_path / "w").glob("*.warc")
+    name.write_bytes(name.read_bytes().replace(b"<p>damaged", b"<p>dXmaged"))
+    got = {r.page_id: r for r in q.page_records(spark, path).collect()}
+    assert got[1].stored_digest == got[1].payload_digest
+    assert got[2].stored_digest != got[2].payload_digest and got[2].stored_bytes == got[2].payload_bytes
+
+
+def test_gzip_files_are_planned_in_stretches(spark, tmp_path):
+    path = f"file://{tmp_path}/w"
+    table = [(i, "u", f"<p>page {i}</p>" * 50) for i in range(60)]
+    q.write_pages(spark.createDataFrame(table, PAGES).coalesce(1), path, compression="gzip", stretch_bytes=1000)
+    found = q.read_warc(spark, path, "record_id string, payload binary")
+    assert found.rdd.getNumPartitions() > 5
+    assert sorted((r.record_id, bytes(r.payload).decode()) for r in found.collect()) == sorted(
+        (f"urn:x-page:{i}", h) for i, _, h in table)
+
+
+def test_http_block_without_a_blank_line():
+    head = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:{}>\r\nContent-Type: application/http\r\nContent-Length: {}\r\n\r\n{}\r\n\r\n"
+    raw = "".join(head.format(i, len(b), b) for i, b in enumerate(["HTTP/1.1 200 OK\r\nno end", "", "HTTP/1.1 200 OK\r\n\r\nbody"]))
+    for payload in (True, False):
+        got = list(q.read_records(q._Source(io.BytesIO(raw.encode()), 0), None, [], True, payload))
+        assert [r["payload_bytes"] for r in got] == [23, 0, 4]
+        assert [r["payload"] for r in got] == ([b"HTTP/1.1 200 OK\r\nno end", b"", b"body"] if payload else [None] * 3)
+
+
 def test_sql_twin():
     con = duckdb.connect()
     con.execute("create table pages (page_id bigint, url varchar, html varchar)")
