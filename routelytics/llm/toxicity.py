@@ -236,7 +236,7 @@ def fit_logistic(rows: DataFrame, d: int, steps: int, ridge: float) -> np.ndarra
         penalty = np.full(d + 1, ridge)
         penalty[-1] = 1e-6
         step = np.linalg.solve(s[d + 1:].reshape(d + 1, d + 1) + np.diag(penalty), s[:d + 1] - penalty * w)
-        w = w + np.clip(step, -4, 4)
+        w = w + step * min(1.0, 4 / max(np.abs(step).max(), 1e-9))  # shortened as a whole: its direction descends
         if np.abs(step).max() < 1e-3:
             break
     return w
