@@ -35,8 +35,6 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
                                     Not, StringContains, StringEndsWith, StringStartsWith, WriterCommitMessage)
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from routelytics.session import RoundTables, delete_path
-
 RECORD = ("record_id string, record_type string, target_uri string, date string, content_type string, "
           "payload_digest string, payload_bytes long, refers_to string, payload binary")
 _MANIFEST = "_manifest.json"
@@ -466,10 +464,8 @@ def page_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def digest(pages: DataFrame, folder: str) -> DataFrame:
-    """Writes the pages to a new folder under ``folder`` and reads their records back;
-    the archives go when the table of records is written."""
-    spark, path = pages.sparkSession, os.path.join(folder, f"warc-{uuid.uuid4().hex}")
+    """Writes the pages to a new folder under ``folder`` and reads their records back.
+    The result is a scan of the archives, so they stay."""
+    path = os.path.join(folder, f"warc-{uuid.uuid4().hex}")
     write_pages(pages, path)
-    out, _ = RoundTables(spark, "warc-records").write(page_records(spark, path))
-    delete_path(spark, path)
-    return out
+    return page_records(pages.sparkSession, path)
