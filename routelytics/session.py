@@ -110,6 +110,10 @@ class RoundTables:
         self._paths[id(out)] = out, path
         return out, got
 
+    def path(self, table: DataFrame) -> str:
+        """Folder of a table of this set."""
+        return self._paths[id(table)][1]
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables of this set that nothing reads any more."""
         for t in tables:
