@@ -13,10 +13,16 @@ time so that the bands overlap; regions below the bound are dropped, first
 for whole items, then for single windows, and the rest is verified by a banded
 alignment.
 
-The benchmark is the stated query set.  It is indexed in blocks of bounded
-size (``block_chars``), each sent to the tasks as one broadcast, and the
-documents pass the blocks one after another: no shuffle, one row per
-document throughout.
+The benchmark is the stated query set.  Spark reduces it to distinct texts with
+their ids and writes them in blocks of bounded size (``block_chars``) under the
+checkpoint folder; the driver sees none of them.  Tasks index a block when they
+need it and hold one index at a time; the documents pass all blocks in one
+narrow pass: no shuffle, one row per document.
+
+Hits are held in bounded stretches (``most_hits``): the text is cut where its
+stretches overlap by the reach of a match, and where one such stretch already has
+more hits, the benchmark's q-grams are cut in ranges that overlap by a
+window.  Every window lies whole in one of them, so that no size changes a result.
 
 Defined results: null or empty texts have no hits; null ids and repeated rows
 are judged each by their text; null items, and items of fewer than q
@@ -30,10 +36,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow.dataset as ds
+from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from routelytics.llm.blocks import map_texts
+from routelytics.session import RoundTables
 
 
 @dataclass(frozen=True)
@@ -44,14 +53,17 @@ class LeakParams:
     step: int = 16
     #: edits per character of a window
     edit_rate: float = 0.095
-    #: benchmark characters that one broadcast holds
+    #: benchmark characters that one index holds
     block_chars: int = 4 << 20
     #: shared q-grams held at a time in a task
     most_hits: int = 2_000_000
 
 
 #: Characters of text a task compares at a time; arrays take about 60 bytes for each.
-BLOCK_CHARS = 1 << 20
+STRING_CHARS = 1 << 20
+#: Characters that pass all blocks of a benchmark of several, whose indexes are built anew for each such
+#: stretch of texts; they take 8 bytes each.
+PASS_CHARS = 16 << 20
 _SEPARATOR = np.uint32(0x110000)
 
 
@@ -109,19 +121,24 @@ def _grams(codes: np.ndarray, q: int) -> np.ndarray:
 
 
 class Index:
-    """q-gram index of a block of items."""
+    """q-gram index of a block of items, (ids, text) each; texts that are equal once
+    they are normalised share an entry."""
 
-    def __init__(self, items: list[tuple[int, str]], p: LeakParams):
+    def __init__(self, items: list[tuple[list[int], str]], p: LeakParams):
         norm = Normaliser()
         self.p = p
         self.ids, codes, self.windows = [], [], []
-        for item, text in items:
+        entry: dict[bytes, int] = {}
+        for ids, text in items:
             c = norm(text or "")[0]
             if len(c) < p.q:
                 continue
+            if entry.setdefault(c.tobytes(), len(codes)) < len(codes):
+                self.ids[entry[c.tobytes()]] += ids
+                continue
             n = min(p.window, len(c))
             offs = sorted({*range(0, len(c) - n + 1, p.step), len(c) - n})
-            self.ids.append(item)
+            self.ids.append(list(ids))
             codes.append(c)
             self.windows.append((n, np.array(offs)))
         self.codes = codes
@@ -140,6 +157,9 @@ class Index:
         order = np.argsort(flat, kind="stable")
         self.hash, self.first, self.count = np.unique(flat[order], return_index=True, return_counts=True)
         self.item, self.off = item[order].astype(np.int64), off[order].astype(np.int64)
+        # q-grams by (hash, place among all q-grams of the block): a range of places is a range of each hash
+        self.places = len(flat)
+        self.key = np.repeat(np.arange(len(self.hash)), self.count) * self.places + order
         self.bits = max(16, min(24, int(np.ceil(np.log2(max(1, len(self.hash)))) + 5)))
         self.maybe = np.zeros(1 << self.bits, bool)
         self.maybe[self.hash & np.uint64((1 << self.bits) - 1)] = True
@@ -214,21 +234,38 @@ def search(codes: np.ndarray, index: Index) -> list[tuple[int, int, int, int]]:
     reach = 2 * (p.window + 4 * band)
     while lo < len(at):
         base = load[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(load, base + p.most_hits)))
-        out.update(_search_part(codes, index, at[lo:hi], entry[lo:hi]))
+        # two reaches at least, so that the next stretch begins later and overlaps by one
+        hi = max(int(np.searchsorted(load, base + p.most_hits)), int(np.searchsorted(at, at[lo] + 2 * reach, side="right")))
+        ranges = [(0, index.places)]
+        while ranges:
+            a, z = ranges.pop()
+            first, n = _places(index, entry[lo:hi], a, z)
+            if n.sum() > p.most_hits and z - a > 4 * p.window:
+                mid = (a + z) // 2
+                ranges += [(a, mid + p.window), (mid, z)]
+            else:
+                out.update(_search_part(codes, index, at[lo:hi], first, n))
         if hi >= len(at):
             break
-        back = int(np.searchsorted(at, at[hi - 1] - reach))
-        lo = hi if back <= lo else back
+        lo = int(np.searchsorted(at, at[hi] - reach))
     return sorted(out)
 
 
-def _search_part(codes, index: Index, at: np.ndarray, entry: np.ndarray):
+def _places(index: Index, entry: np.ndarray, a: int, z: int) -> tuple[np.ndarray, np.ndarray]:
+    """First of the q-grams of each entry that lie in places a .. z - 1, and how many do."""
+    if a <= 0 and z >= index.places:
+        return index.first[entry], index.count[entry]
+    first = np.searchsorted(index.key, entry * index.places + a)
+    return first, np.searchsorted(index.key, entry * index.places + min(z, index.places)) - first
+
+
+def _search_part(codes, index: Index, at: np.ndarray, first: np.ndarray, n: np.ndarray):
     p, band = index.p, index.band
-    n = index.count[entry]
     total = int(n.sum())
+    if not total:
+        return []
     pos = np.repeat(at, n)
-    k = np.repeat(index.first[entry] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(total)
+    k = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(total)
     item, off = index.item[k], index.off[k]
     bin_ = (pos - off + index.longest) // band + 1
     stride = (len(codes) + index.longest) // band + 4
@@ -274,68 +311,99 @@ _HITS = StructType([StructField("hits", ArrayType(StructType([
     StructField("edits", IntegerType())])))])
 
 
-def _finder(shared):
+class Blocks:
+    """Blocks of the benchmark in Parquet folders, indexed in a task one at a time."""
+
+    #: the last index of this Python worker, which Spark uses for many tasks
+    last: tuple | None = None
+
+    def __init__(self, path: str, numbers: list[int], p: LeakParams):
+        self.path, self.numbers, self.p = path, numbers, p
+
+    def text_chars(self) -> int:
+        return STRING_CHARS if len(self.numbers) < 2 else PASS_CHARS
+
+    def index(self, number: int) -> Index:
+        key = self.path, number
+        if Blocks.last is None or Blocks.last[0] != key:
+            Blocks.last = None  # frees it before the next one is built
+            store, root = fs.FileSystem.from_uri(self.path)
+            rows = ds.dataset(f"{root}/block={number}", filesystem=store, format="parquet").to_table(["ids", "text"])
+            rows = sorted(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()), key=lambda r: r[1])
+            Blocks.last = key, Index(rows, self.p)
+        return Blocks.last[1]
+
+
+def _finder(blocks: Blocks):
     """Per text: one hit per item, over all its confirmed windows, in the text's own code points."""
     def make():
-        index, norm = shared.value, Normaliser()
+        norm = Normaliser()
 
         def f(texts):
-            parts, where, starts, held = [], [], [], 0
-            for t in texts:
+            strings, where = [], []  # strings: (first text, start of each text, code points with separators)
+            parts, starts, held = [], [], 0
+            for k, t in enumerate(texts):
                 c, at = norm(t)
                 starts.append(held)
                 parts += [c, np.array([_SEPARATOR])]
-                where.append(at)
+                where.append(at.astype(np.int32))
                 held += len(c) + 1
-            codes = np.concatenate(parts) if parts else np.empty(0, np.uint32)
-            hits: list[dict] = [{} for _ in texts]
-            edges = np.array(starts)
-            for item, a, z, edits in search(codes, index):
-                d = int(np.searchsorted(edges, a, side="right")) - 1
-                src = where[d]
-                if not len(src):
-                    continue
-                a, z = max(0, a - starts[d]), min(z - starts[d], len(src))
-                lo, hi = int(src[min(a, len(src) - 1)]), int(src[max(0, z - 1)]) + 1
-                old = hits[d].get(item)
-                hits[d][item] = (min(lo, old[0]), max(hi, old[1]), min(edits, old[2])) if old else (lo, hi, edits)
-            return [[[(index.ids[i], *h) for i, h in sorted(x.items(), key=lambda v: (index.ids[v[0]], v[0]))] for x in hits]]
+                if held >= STRING_CHARS or k == len(texts) - 1:
+                    strings.append((k + 1 - len(starts), np.array(starts), np.concatenate(parts)))
+                    parts, starts, held = [], [], 0
+            hits: list[list] = [[] for _ in texts]
+            for number in blocks.numbers:
+                index = blocks.index(number)
+                best: dict[tuple[int, int], tuple] = {}  # by text and entry
+                for first, edges, codes in strings:
+                    for item, a, z, edits in search(codes, index):
+                        k = int(np.searchsorted(edges, a, side="right")) - 1
+                        d, start = first + k, int(edges[k])
+                        src = where[d]
+                        if not len(src):
+                            continue
+                        a, z = max(0, a - start), min(z - start, len(src))
+                        lo, hi = int(src[min(a, len(src) - 1)]), int(src[max(0, z - 1)]) + 1
+                        old = best.get((d, item))
+                        best[d, item] = (min(lo, old[0]), max(hi, old[1]), min(edits, old[2])) if old else (lo, hi, edits)
+                for (d, item), h in best.items():
+                    hits[d] += [(i, *h) for i in index.ids[item]]
+            return [[sorted(x, key=lambda h: (h[0] is None, h[0] or 0, h[1:])) for x in hits]]
         return f
     return make
 
 
-def _indexes(docs: DataFrame, benchmark: DataFrame, p: LeakParams):
-    """Broadcast indexes of the benchmark's blocks, none larger than about ``block_chars``."""
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).filter("text is not null")
+def _blocks(benchmark: DataFrame, p: LeakParams) -> Blocks:
+    """The benchmark's distinct texts with their ids, in blocks of about ``block_chars``."""
+    items = (benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).filter("text is not null")
+             .groupBy("text").agg(F.collect_list("item_id").alias("ids"), F.count(F.lit(1)).alias("n")))
+    # collect_list leaves out null ids, which are reported as null
+    nulls = F.array_repeat(F.lit(None).cast("long"), (F.col("n") - F.size("ids")).cast("int"))
+    tables = RoundTables(benchmark.sparkSession, "benchmark-blocks")
+    items, _ = tables.write(items.select("text", F.concat("ids", nulls).alias("ids")))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = -(-total // p.block_chars) if total else 0
-    sc = docs.sparkSession.sparkContext
-    for k in range(blocks):
-        part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        yield sc.broadcast(Index([tuple(r) for r in part.orderBy("item_id", "text").collect()], p))
+    blocks = -(-total // p.block_chars)
+    placed = items.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(max(1, blocks))).cast("int"))
+    out, _ = tables.write(placed.repartition(max(1, blocks), "block"), by=["block"])
+    return Blocks(tables.path(out), sorted(r.block for r in out.select("block").distinct().collect()), p)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakParams()) -> DataFrame:
     """(doc_id, contaminated, item_ids, hits) per row of ``docs``; hits are
     (item_id, start, end, edits) with code-point spans of the document."""
-    out = docs.select("doc_id", "text").withColumn("hits", F.lit(None).cast(_HITS["hits"].dataType))
-    for shared in _indexes(docs, benchmark, params):
-        found = StructType([StructField("more", _HITS["hits"].dataType)])
-        out = map_texts(out, _finder(shared), found, ["doc_id", "hits", "text"], block_chars=BLOCK_CHARS).select(
-            "doc_id", "text", F.concat(F.coalesce("hits", F.array().cast(_HITS["hits"].dataType)), "more").alias("hits"))
-    hits = F.coalesce("hits", F.array().cast(_HITS["hits"].dataType))
-    return out.select("doc_id", (F.size(hits) > 0).alias("contaminated"),
-                      F.array_sort(F.array_distinct(F.transform(hits, lambda h: h["item_id"]))).alias("item_ids"),
-                      hits.alias("hits"))
+    blocks = _blocks(benchmark, params)
+    out = map_texts(docs, _finder(blocks), _HITS, ["doc_id"], block_chars=blocks.text_chars())
+    return out.select("doc_id", (F.size("hits") > 0).alias("contaminated"),
+                      F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["item_id"]))).alias("item_ids"), "hits")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakParams()) -> DataFrame:
     """Rows of ``docs``, with their own columns, that no benchmark item is found in."""
-    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
-    for shared in _indexes(docs, benchmark, params):
-        def make(find=_finder(shared)):
-            f = find()
-            return lambda texts: [[not h for h in f(texts)[0]]]
-        out = (map_texts(out, make, StructType([StructField("clean", BooleanType())]), ["row", "text"], block_chars=BLOCK_CHARS)
-               .filter("clean").select("row", "text"))
-    return out.select("row.*")
+    blocks = _blocks(benchmark, params)
+
+    def make():
+        f = _finder(blocks)()
+        return lambda texts: [[not h for h in f(texts)[0]]]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    return (map_texts(rows, make, StructType([StructField("clean", BooleanType())]), ["row"], block_chars=blocks.text_chars())
+            .filter("clean").select("row.*"))

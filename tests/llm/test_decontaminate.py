@@ -83,6 +83,47 @@ def test_spans_blocks_and_filter(spark):
         assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
 
 
+def test_no_budget_changes_a_result():
+    """Many near-copies of one item, each an entry of its own, and an item that repeats one q-gram."""
+    rng = random.Random(4)
+    base = " ".join(f"term{rng.randrange(9999)}" for _ in range(30))
+    items = [([i], spoil(rng, base, 2)) for i in range(150)] + [([900], "ab" * 400), ([901], base), ([902, 903], base.upper())]
+    text = "begin " + spoil(rng, base, 5) + " " + "ab" * 300 + " end " + spoil(rng, base, 3) + " x" * 500
+    codes = q.Normaliser()(text)[0]
+    want = q.search(codes, q.Index(items, q.LeakParams(most_hits=10**9)))
+    assert len({i for i, *_ in want}) > 100
+    for most in (200_000, 5_000, 100):
+        assert q.search(codes, q.Index(items, q.LeakParams(most_hits=most))) == want
+
+
+def test_copies_of_an_item_add_no_hits(spark):
+    base = " ".join(f"term{i * i % 997}" for i in range(30))
+    index = q.Index([([i], base if i % 2 else base.upper()) for i in range(400)], q.LeakParams())
+    assert len(index.codes) == 1 and int(index.count.max()) < 5 and len(index.ids[0]) == 400
+    docs = spark.createDataFrame([(1, "so " + base)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, base) for i in range(400)] + [(None, base)], "item_id long, text string")
+    got = q.report(docs, bench, q.LeakParams(most_hits=2000)).first()
+    assert sorted(h.item_id for h in got.hits if h.item_id is not None) == list(range(400)) and len(got.hits) == 401
+
+
+def test_several_blocks_are_one_pass(spark, monkeypatch):
+    rng = random.Random(2)
+    items = [(i, " ".join(f"term{rng.randrange(9999)}" for _ in range(25))) for i in range(40)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(k, "before " * (k % 5) + items[k][1] + " " + items[-k][1]) for k in range(1, 30)] + [(50, "clean " * 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    p = q.LeakParams(block_chars=1200)
+    blocks = q._blocks(bench, p)
+    assert len(blocks.numbers) >= 5
+    found = q.report(docs, bench, p)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    want = {k: sorted({k, 40 - k}) for k in range(1, 30)} | {50: []}
+    assert {r.doc_id: r.item_ids for r in found.collect()} == want
+    monkeypatch.setattr(q, "STRING_CHARS", 300)  # texts of several strings
+    [hits] = q._finder(blocks)()([t for _, t in rows])
+    assert {i: [h[0] for h in x] for (i, _), x in zip(rows, hits)} == want
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], DOCS)
     bench = spark.createDataFrame([], "item_id long, text string")
