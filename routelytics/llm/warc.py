@@ -464,8 +464,8 @@ def page_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def digest(pages: DataFrame, folder: str) -> DataFrame:
-    """Writes the pages to a new folder under ``folder`` and reads their records back.
-    The result is a scan of the archives, so they stay."""
+    """Writes the pages to a new folder under ``folder``, a gzip member a record, and reads
+    their records back.  The result is a scan of the archives, so they stay."""
     path = os.path.join(folder, f"warc-{uuid.uuid4().hex}")
-    write_pages(pages, path)
+    write_pages(pages, path, compression="gzip")
     return page_records(pages.sparkSession, path)

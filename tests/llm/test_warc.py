@@ -166,3 +166,14 @@ def test_sql_twin():
     con.executemany("insert into pages values (?, ?, ?)", rows()[:-1])
     got = con.execute(ORACLE_SQL["op8_warc"]).fetchall()
     assert sorted(got, key=key) == sorted(want(rows()[:-1]), key=key)
+
+
+def test_archives_of_the_query_are_smaller_than_the_pages(spark, tmp_path):
+    """Archives stay on disk with the result, so they are compressed; payloads come back whole."""
+    pages = [(i, "u", f"<html><p>{i}</p>" + "<p>the same words again and again</p>" * 200) for i in range(50)]
+    got = {r.page_id: r for r in q.digest(spark.createDataFrame(pages, PAGES), f"file://{tmp_path}").collect()}
+    held = sum(f.stat().st_size for f in tmp_path.rglob("*.warc*") if f.is_file())
+    assert 0 < held < sum(len(p[2]) for p in pages) / 4
+    for i, _, html in pages:
+        sha1 = base64.b32encode(hashlib.sha1(html.encode()).digest()).decode()
+        assert (got[i].payload_bytes, got[i].stored_bytes, got[i].stored_digest) == (len(html), len(html), sha1)
