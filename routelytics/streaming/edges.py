@@ -1,8 +1,9 @@
 """The route graph kept up to date while flight files arrive (A3-A5).
 
-The partial state of an average is its (sum, count), which merges by adding.  A
-streaming aggregation in update mode keeps it per route; each batch writes the
-routes that it changed, and readers take a route's latest row.
+The partial state of an average is its (sum, count), which merges by adding.  Each
+batch reduces its own files to one row per route and writes them; readers add up the
+rows of the last snapshot and of the batches since.  The stream itself holds no state,
+so nothing grows with the routes in an executor's memory.
 """
 
 from __future__ import annotations
@@ -16,12 +17,10 @@ from routelytics.streaming.log import DeltaLog
 
 
 def edge_log(spark: SparkSession, root: str, every: int = 8) -> DeltaLog:
-    """Latest (sum, count) per route, by the batch that wrote it."""
+    """(sum, count) per route, a batch's own ones in its delta."""
     def merged(rows):
-        last = F.max_by(F.struct("total", "n_flights"), "batch_id").alias("s")
-        return rows.groupBy("src", "dst").agg(last, F.max("batch_id").alias("batch_id")).select(
-            "src", "dst", "s.total", "s.n_flights", "batch_id")
-    return DeltaLog(spark, root, "src long, dst long, total double, n_flights long, batch_id long", merged, every)
+        return rows.groupBy("src", "dst").agg(F.sum("total").alias("total"), F.sum("n_flights").alias("n_flights"))
+    return DeltaLog(spark, root, "src long, dst long, total double, n_flights long", merged, every)
 
 
 def edge_stream(spark: SparkSession, flights_path: str, schema: StructType, log: DeltaLog, checkpoint_location: str,
@@ -34,13 +33,12 @@ def edge_stream(spark: SparkSession, flights_path: str, schema: StructType, log:
     files = spark.readStream.schema(schema)
     if files_per_batch:
         files = files.option("maxFilesPerTrigger", files_per_batch)
-    sums = files.parquet(flights_path).groupBy(F.col("org_id").alias("src"), F.col("dest_id").alias("dst")).agg(
-        F.sum(wrapped_duration()).alias("total"), F.count(F.lit(1)).alias("n_flights"))
 
     def run(batch, batch_id):
-        log.write(batch_id, batch.withColumn("batch_id", F.lit(batch_id).cast("long")))
+        log.write(batch_id, batch.groupBy(F.col("org_id").alias("src"), F.col("dest_id").alias("dst")).agg(
+            F.sum(wrapped_duration()).alias("total"), F.count(F.lit(1)).alias("n_flights")))
 
-    return (sums.writeStream.outputMode("update").foreachBatch(run).option("checkpointLocation", checkpoint_location)
+    return (files.parquet(flights_path).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_location)
             .trigger(availableNow=True).start())
 
 

@@ -89,3 +89,18 @@ def test_edges_follow_the_flight_files(spark, tmp_path):
         got = sorted(current_edges(log, run).collect(), key=key)
         assert [(r.src, r.dst, r.n_flights) for r in got] == [(r.src, r.dst, r.n_flights) for r in want]
         assert all(abs(a.weight - b.weight) < 1e-9 for a, b in zip(got, want))
+
+
+def test_the_edge_stream_holds_no_state(spark, tmp_path):
+    """Sums lie in the log alone: deltas hold a batch's own routes, and adding them up gives the graph."""
+    rows = [(i % 3, i % 4, None if i == 7 else 100.0 * (i % 7), 100.0 * (i % 5)) for i in range(60)] + [(None, 1, 0.0, 3.0)]
+    flights = spark.createDataFrame(rows, "org_id long, dest_id long, dep_time double, arr_time double")
+    flights.repartition(3).write.parquet(f"{tmp_path}/in")
+    log = edge_log(spark, f"{tmp_path}/log", every=2)
+    q = edge_stream(spark, f"{tmp_path}/in", flights.schema, log, f"{tmp_path}/ckpt", files_per_batch=1)
+    q.awaitTermination(200)
+    assert not q.lastProgress["stateOperators"] and not os.path.exists(f"{tmp_path}/ckpt/state")
+    deltas = spark.read.schema(log.schema).parquet(*[f"{tmp_path}/log/deltas/batch={b}" for b in range(3)])
+    assert deltas.agg({"n_flights": "sum"}).collect()[0][0] == 61
+    key = lambda r: (r.src is None, r.src or 0, r.dst)
+    assert sorted(current_edges(log, 2).collect(), key=key) == sorted(route_edges(flights).collect(), key=key)
