@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from routelytics.operators.airports import airport_count, airports
-from routelytics.operators.edges import adjacency_get, edge_weight, incoming_adjacency
+from routelytics.operators.edges import adjacency_get, edge_weight, incoming_adjacency, route_edges
 from routelytics.operators.overrides import (apply_overrides, latest_overrides, override_rows, parse_override_commands,
                                              rejected_override_commands)
 from routelytics.sources.synthetic import connections, grid_nodes, synthetic_flights
@@ -81,3 +81,19 @@ def test_synthetic_shape(spark):
                    | (F.col("arr_time") - F.col("dep_time") != F.col("distance"))).count()
     assert bad == 0
     assert connections(10, 150) == 10 and connections(10, -5) == 0
+
+
+def test_generated_flights_are_not_shuffled(spark, monkeypatch):
+    """Only airports move: an origin's flights lie in one task, also for a grouping by route; any sizes give the same rows."""
+    from routelytics.sources import synthetic
+
+    nodes = grid_nodes(spark, 60, 3).withColumn("id", F.when(F.col("id") > 50, F.col("id") - 3).otherwise(F.col("id")))  # repeated ids
+    want = synthetic_flights(nodes, 50, 3).collect()
+    edges = route_edges(synthetic_flights(nodes, 50, 3))
+    shuffles = [x for x in edges._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in x and "Broadcast" not in x]
+    assert len(shuffles) == 1 and "REPARTITION_BY_NUM" in shuffles[0]
+    assert sum(r.n_flights for r in edges.collect()) == len(want) == 60 * 31
+    monkeypatch.setattr(synthetic, "FLIGHTS_A_TASK", 100)
+    assert sorted(synthetic_flights(nodes, 50, 3).collect()) == sorted(want)
+    monkeypatch.setattr(synthetic, "BROADCAST_AIRPORTS", 0)
+    assert sorted(synthetic_flights(nodes, 50, 3).collect()) == sorted(want)
