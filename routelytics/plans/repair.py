@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routelytics.plans.sssp import KEY, SCALE, EdgeBlocks, LabelRuns, _label, scaled, settle
+from routelytics.plans.sssp import GROWTH, KEY, SCALE, EdgeBlocks, LabelRuns, _label, _open_sources, scaled, settle
 from routelytics.session import RoundTables, trace
 
 
@@ -44,10 +44,12 @@ def repair_paths(labels: DataFrame, edges: DataFrame, changed: DataFrame, stats:
     old, _ = tables.write(labels.select(*KEY, _label(scaled(F.col("dist")), F.col("hops"), F.col("pred")).alias("l"),
                                         F.lit(0).cast("long").alias("asof")))
     changed, _ = tables.write(changed.select(F.col("src").cast("long"), F.col("dst").cast("long")).distinct())
+    edges, _ = tables.write(edges.select("src", "dst", "weight"))  # read several times below
     blocks = EdgeBlocks(edges)
     try:
         lost, n_lost = reset_labels(old, changed, tables)
-        kept, _ = runs.add(old.join(lost, KEY, "left_anti"))
+        same = old.join(lost, KEY, "left_anti")
+        kept, _ = runs.add(same)
         e = edges.where("weight is not null").select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"),
                                                      scaled(F.col("weight")).alias("w"))
         into = lost.join(e, lost.node == e.dst).select("source", "src", "dst", "w").join(
@@ -57,12 +59,23 @@ def repair_paths(labels: DataFrame, edges: DataFrame, changed: DataFrame, stats:
         run, m = runs.add(cand.select("source", F.col("dst").alias("node"),
                                       _label(F.col("l.dist") + F.col("w"), F.col("l.hops") + 1, F.col("src")).alias("l"), "asof"))
         rounds: list = []
-        if m["n"]:
-            settle(runs, run.where("moved"), blocks, -1, 1 << 62, tables, rounds)
+        frontier, before, limit = run.where("moved"), -1, blocks.width
+        was = same.select(*KEY, F.col("l").alias("was"))
+        while m["n"]:
+            settle(runs, frontier, blocks, before, limit, tables, rounds)
+            merged, end = runs.merge()
+            # labels up to the limit are final
+            if limit >= (end["far"] or 0) + blocks.heaviest or (
+                    limit >= (end["far"] or 0) and _open_sources(merged, blocks, None).isEmpty()):
+                break
+            # of the others only those that are new since the change have edges to relax
+            frontier = merged.join(was, KEY, "left").where("NOT l <=> was").select(*merged.columns)
+            before, limit = limit, limit * GROWTH
         trace(f"repair: {n_lost} labels reset, {m['n']} changed at once")
         if stats is not None:
             stats |= {"reset": n_lost, "changed": m["n"] + sum(r["changed"] for r in rounds), "relaxed": sum(r["relaxed"] for r in rounds)}
-        runs.merge()
+        if len(runs.runs) > 1:
+            runs.merge()
         state = runs.close()
     except BaseException:
         runs.drop()

@@ -171,6 +171,21 @@ def test_repair_equals_a_full_solve_and_touches_less(spark):
     assert stats["reset"] + stats["changed"] < len(want) / 2
 
 
+def test_repair_leaves_heavy_edges_alone(spark):
+    """A complete graph whose labels nearly all move: only the light edges of a label are relaxed."""
+    draw = random.Random(5)
+    before = [(a, b, float(draw.randint(200, 2400))) for a in range(60) for b in range(60) if a != b]
+    changed = [(0, b) for b in range(1, 8)]
+    after = [(a, b, 1.0 + b if (a, b) in changed else w) for a, b, w in before]
+    old = spark.createDataFrame([(0, v, float(d), h, None if p < 0 else p) for v, (d, h, p) in brute_labels(before, 0).items()],
+                                "source long, node long, dist double, hops long, pred long")
+    stats: dict = {}
+    got = repair_paths(old, edges_df(spark, after), spark.createDataFrame(changed, "src long, dst long"), stats).collect()
+    assert {r.node: (r.dist, r.hops, -1 if r.pred is None else r.pred) for r in got} == brute_labels(after, 0)
+    assert stats["changed"] > 50 and stats["relaxed"] < 30 * stats["changed"]
+
+
+
 SEED = "source long, node long, l struct<dist:long,hops:long,pred:long>, asof long"
 
 
