@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routelytics.plans.sssp import shortest_paths
+from routelytics.plans.meet import pair_paths
+from routelytics.plans.sssp import SCALE
 from routelytics.session import RoundTables, trace
 
 ARROW = " -> "
@@ -68,7 +69,11 @@ def reconstruct(state: DataFrame, pairs: DataFrame, airport_dim: DataFrame | Non
     tables = RoundTables(state.sparkSession, "routelytics-paths")
     found, _ = tables.write(q.join(st.select("source", F.col("node").alias("destination"), "dist", "hops"),
                                    ["source", "destination"], "left"))
-    steps = path_steps(st, found.where(F.col("dist").isNotNull()))
+    return _with_names(found, path_steps(st, found.where(F.col("dist").isNotNull())), airport_dim, tables)
+
+
+def _with_names(found: DataFrame, steps: DataFrame, airport_dim: DataFrame | None, tables: RoundTables) -> DataFrame:
+    """The rows of :func:`reconstruct` from ``(source, start, destination, dist, hops)`` and the steps of the paths."""
     if airport_dim is not None:
         names, _ = tables.write(airport_dim.select("airport_id", "name"))
         steps = steps.join(names.select(F.col("airport_id").alias("cur"), "name"), "cur", "left")
@@ -95,9 +100,21 @@ def route_queries(edges: DataFrame, queries: DataFrame, airport_dim: DataFrame |
                   **kwargs) -> DataFrame:
     """Answer a table of ``(source, destination)`` route queries in one job.
 
-    Sources stop as soon as their wanted destinations are settled.
+    Every pair is searched from both its ends (:func:`pair_paths`).  Rows are as
+    those of :func:`reconstruct`; ``start`` and ``asof`` are as in :func:`shortest_paths`.
     """
-    wanted = queries.select("source", F.col("destination").alias("node"))
-    extra = [c for c in ("start", "asof") if c in queries.columns]
-    state = shortest_paths(edges, queries.select("source", *extra), targets=wanted, **kwargs)
-    return reconstruct(state, queries, airport_dim)
+    start = F.col("start") if "start" in queries.columns else F.col("source")
+    asof = F.col("asof") if "asof" in queries.columns else F.lit(0)
+    tables = RoundTables(edges.sparkSession, "routelytics-paths")
+    search = RoundTables(edges.sparkSession, "routelytics-balls")
+    q, _ = tables.write(queries.select(
+        F.col("source").cast("long").alias("source"), start.cast("long").alias("start"),
+        F.col("destination").cast("long").alias("destination"), asof.cast("long").alias("asof")).distinct())
+    try:
+        got = pair_paths(edges, q.select("start", "destination", "asof"), search, **kwargs)
+        found, _ = tables.write(q.join(got, ["start", "destination", "asof"], "left").select(
+            "source", "start", "destination", (F.col("dist") / F.lit(float(SCALE))).alias("dist"), "hops", F.col("path").alias("back")))
+    finally:
+        search.clear()
+    steps = found.select("source", "destination", F.posexplode("back").alias("back", "cur"))
+    return _with_names(found.drop("back"), steps, airport_dim, tables)

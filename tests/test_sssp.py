@@ -276,3 +276,35 @@ def test_long_chain_needs_no_long_plan(spark):
     by = {r.destination: r.path for r in out.collect()}
     assert by[n] == [str(i) for i in range(n + 1)] and by[1234][-1] == "1234" and by[0] == ["0"]
     assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def tied_graph(n, out, seed):
+    """Edges with small whole weights, zero too: many ties of distance and hops."""
+    r = random.Random(seed)
+    return sorted({(a, b): r.choice([0, 1, 1, 2, 3, 9]) for a in range(n) for b in r.sample(range(n), out)}.items())
+
+
+@pytest.mark.parametrize("want", [None, 1])
+def test_search_from_both_ends_gives_the_least_paths(spark, want):
+    """Ties are broken as by the labels of a whole search, at every moment of a changing graph."""
+    rows = [(a, b, float(w), *at) for (a, b), w in tied_graph(60, 3, 4) for at in [(0, 5), (5, 10)] if (a + b + at[0]) % 4]
+    e = spark.createDataFrame(rows, "src long, dst long, weight double, since long, until long")
+    asked = [(100 * asof + s, s, asof, d) for asof in (3, 7) for s in range(0, 60, 7) for d in range(0, 64, 3)]
+    q = spark.createDataFrame(asked + [(None, None, 3, 1), (900, 2, 3, None)], "source long, start long, asof long, destination long")
+    full = reconstruct(shortest_paths(e, q.where("start is not null")), q).collect()
+    got = route_queries(e, q, want=want).collect()
+    plain = [{(r.source, r.destination): (r.origin, r.dest, r.weight, r.hops, r.path_text) for r in x} for x in (full, got)]
+    assert len(full) == len(got) and plain[0] == plain[1]
+    assert sum(v[2] is not None for v in plain[1].values()) > 100
+
+
+def test_pairs_do_not_label_the_whole_graph(spark):
+    """Few labels for each end of a pair, and fewer rounds than hops."""
+    r = random.Random(3)
+    triples = [(a, b, r.randint(1, 1000)) for a in range(400) for b in r.sample(range(400), 40)]
+    q = spark.createDataFrame([(a, (7 * a + 3) % 400) for a in range(0, 400, 10)], "source long, destination long")
+    stats = []
+    rows = route_queries(edges_df(spark, triples), q, stats=stats).collect()
+    assert all(x.weight is not None for x in rows)
+    assert stats[-1]["labels"] < 40 * 400 / 2  # one search from each start labels 40 x 400
+    assert stats[0]["rounds"] <= 6
