@@ -68,12 +68,13 @@ class Balls:
                 raise ValueError("shortest_paths needs non-negative edge weights") from err
             raise
         self.tops, got = plain.write(self.edges.groupBy(F.col("src").alias("node")).agg(F.max("w").alias("top"), F.count(F.lit(1)).alias("n")),
-                                     nodes=F.count(F.lit(1)), edges=F.sum("n"))
+                                     nodes=F.count(F.lit(1)), edges=F.sum("n"), top=F.coalesce(F.max("top"), F.lit(0)))
         nodes, n = max(got["nodes"] / 2, 1), max(got["edges"] or 0, 1)
         self.want = want or max(8, math.ceil(FIRST * math.sqrt(nodes)))
         # in a graph where edges lead anywhere, a ball is about e to the number of edges of a node below its limit
         limit = self.edges.agg(F.percentile_approx("w", min(1.0, START * math.log(self.want) * 2 * nodes / n), 100_000)).first()[0] or 0
-        self.first, self.step, self.mean, self.n = limit, max(1, limit >> 3), 0.0, 0
+        self.first, self.mean, self.n = limit, 0.0, 0
+        self.step = max(1, limit >> 3 if limit else got["top"] >> 8)
         self.hops = self._jumps(self._light(limit), limit, MOST * n)
         self.keys, _ = plain.write(keys.select("source", "root", "way", "asof", F.lit(limit).cast("long").alias("limit"),
                                                F.lit(-1).cast("long").alias("before")))
