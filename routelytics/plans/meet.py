@@ -36,7 +36,7 @@ from routelytics.session import RoundTables, trace
 #: Balls are first grown to so many times the square root of the nodes ...
 FIRST = 1.5
 #: ... and those of open pairs to so many times what the smaller one holds, then to the square of it times, and so on.
-MORE = 20
+MORE = 6
 #: The first limit lets an average node relax so many times the logarithm of that in edges (ties make balls larger).
 START = 0.6
 #: A last share of balls that are too small does not hold up the others.
@@ -223,7 +223,7 @@ def pair_paths(edges: DataFrame, pairs: DataFrame, plain: RoundTables, want: int
                                 ["destination", "asof"]))
     ab, left = left, left.select("a", "b")
     balls, answers = Balls(edges, plain, keys, want, stats), []
-    wanted, times, more = keys.select("source", F.lit(balls.want).alias("want")), 2, MORE
+    wanted, times, more = keys.select("source", F.lit(balls.want).alias("want")), 1, MORE
     balls.settle()
     while balls.widen(wanted, FEW, times):
         balls.settle()
@@ -238,7 +238,7 @@ def pair_paths(edges: DataFrame, pairs: DataFrame, plain: RoundTables, want: int
         wanted, _ = plain.write(left.select(F.explode(F.array("a", "b")).alias("source"), least.alias("want")).groupBy("source").agg(
             F.max("want").alias("want")))
         left = left.select("a", "b")
-        if not balls.widen(wanted, times=3):
+        if not balls.widen(wanted):
             raise AssertionError("an open pair has a ball that can grow")
         balls.settle()
         more *= MORE
