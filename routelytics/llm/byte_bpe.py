@@ -36,7 +36,8 @@ from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, Str
 
 from routelytics.llm.blocks import map_texts
 
-BLOCK_CHARS = 8 << 20
+#: a Python worker stays about as large as its largest block made it, whatever it runs next
+BLOCK_CHARS = 2 << 20
 _SHIFT = 20
 
 

@@ -68,7 +68,7 @@ class _WordHashes(dict):
     """64-bit hashes of words; forgets all when large."""
 
     def __missing__(self, w: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[w] = xxhash.xxh64_intdigest(w)
         return h

@@ -1,14 +1,18 @@
 import hashlib
 import random
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from routelytics.llm import byte_bpe, token_counts
+from routelytics.llm.blocks import text_blocks
 
 WORD_FILE, RANK_FILE = P.path("word_bpe_49k.json"), P.path("byte_bpe_50k.tiktoken")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -104,3 +108,31 @@ def test_no_words():
     ids, begin = byte_bpe.replay([], TABLES)
     assert len(ids) == 0 and begin.tolist() == [0]
     assert byte_bpe.decode(np.empty(0, np.int32), TABLES) == b""
+
+
+def test_memory_of_a_task_is_that_of_a_small_block(monkeypatch):
+    made = {}
+    monkeypatch.setattr(byte_bpe, "_shared", lambda *a: SimpleNamespace(value=TABLES))
+    monkeypatch.setattr(byte_bpe, "map_texts", lambda docs, make, added, keep, block_chars: made.update(f=make(), chars=block_chars))
+    byte_bpe.digest(None, RANK_FILE, P.PATTERN, with_ids=True)
+    rng = random.Random(5)
+    words = ["".join(rng.choice("etaoinshr") for _ in range(rng.randrange(1, 9))) for _ in range(3000)]
+
+    def peak(n_chars):
+        texts = [" ".join(rng.choices(words, k=2000)) for _ in range(n_chars // 11_000)]
+        batch = pa.RecordBatch.from_pydict({"text": texts})
+        tracemalloc.start()
+        done = sum(len(made["f"](part)[0]) for _, part in text_blocks(iter([batch]), made["chars"]))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert done == len(texts)
+        return most
+    assert peak(8 << 20) < 1.5 * peak(2 << 20)
+
+
+@pytest.mark.parametrize("chars", [1, 40, 1000])
+def test_ids_do_not_depend_on_blocks(chars):
+    texts = random_texts(60)
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    for _, part in text_blocks(iter([batch]), chars):
+        check_ids(part)
