@@ -1,5 +1,8 @@
 """Shortest paths of many single pairs by a search from both ends.
 
+Pairs are searched within tasks (:mod:`light`).  What that leaves open, or all where
+the nodes are too many for a task's memory, is searched in rounds over the cluster:
+
 A pair's path is found where the *ball* around its start, over the edges, meets
 the ball around its destination, over the edges turned round.  A ball holds the
 exact labels of all nodes up to its own limit.  Balls of about the square root of
@@ -30,6 +33,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from routelytics.plans.light import HELD, light_paths
 from routelytics.plans.sssp import scaled
 from routelytics.session import RoundTables, trace
 
@@ -45,13 +49,28 @@ FEW = 0.05
 MOST = 8
 
 
+def whole_weights(edges: DataFrame, plain: RoundTables) -> tuple[DataFrame, dict]:
+    """Edges ``(src, dst, w)`` with weights in units of 1/SCALE, written once; how many, of how many nodes, and their light weights."""
+    bad = F.raise_error(F.lit("shortest_paths needs non-negative edge weights")).cast("long")
+    when = [F.col(c).cast("long").alias(c) for c in ("since", "until") if c in edges.columns]
+    e = edges.where("src IS NOT NULL AND dst IS NOT NULL AND weight IS NOT NULL").select(
+        F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"),
+        F.when(F.col("weight") < 0, bad).otherwise(scaled(F.col("weight"))).alias("w"), *when)
+    try:
+        return plain.write(e, n=F.count(F.lit(1)), heads=F.approx_count_distinct("src"), tails=F.approx_count_distinct("dst"),
+                           shares=F.percentile_approx("w", [2.0 ** -i for i in range(16)], 10_000))
+    except Exception as err:
+        if "non-negative" in str(err):
+            raise ValueError("shortest_paths needs non-negative edge weights") from err
+        raise
+
+
 def two_way(edges: DataFrame) -> DataFrame:
     """Edges between nodes ``2 v``, and turned round between nodes ``2 v + 1``."""
-    a, b = F.col("src").cast("long") * 2, F.col("dst").cast("long") * 2
-    rest = [c for c in ("weight", "since", "until") if c in edges.columns]
+    a, b = F.col("src") * 2, F.col("dst") * 2
+    rest = [c for c in ("w", "since", "until") if c in edges.columns]
     ways = F.array(F.struct(a.alias("src"), b.alias("dst")), F.struct((b + 1).alias("src"), (a + 1).alias("dst")))
-    return edges.where("src IS NOT NULL AND dst IS NOT NULL AND weight IS NOT NULL").select(
-        F.explode(ways).alias("way"), *rest).select("way.*", *rest)
+    return edges.select(F.explode(ways).alias("way"), *rest).select("way.*", *rest)
 
 
 class Balls:
@@ -59,14 +78,7 @@ class Balls:
 
     def __init__(self, edges: DataFrame, plain: RoundTables, keys: DataFrame, want: int | None, stats: list | None):
         self.plain, self.timed, self.stats = plain, "since" in edges.columns, [] if stats is None else stats
-        bad = F.raise_error(F.lit("shortest_paths needs non-negative edge weights")).cast("long")
-        e = two_way(edges).withColumn("w", F.when(F.col("weight") < 0, bad).otherwise(scaled(F.col("weight")))).drop("weight")
-        try:
-            self.edges, _ = plain.write(e)
-        except Exception as err:
-            if "non-negative" in str(err):
-                raise ValueError("shortest_paths needs non-negative edge weights") from err
-            raise
+        self.edges, _ = plain.write(two_way(edges))
         self.tops, got = plain.write(self.edges.groupBy(F.col("src").alias("node")).agg(F.max("w").alias("top"), F.count(F.lit(1)).alias("n")),
                                      nodes=F.count(F.lit(1)), edges=F.sum("n"), top=F.coalesce(F.max("top"), F.lit(0)))
         nodes, n = max(got["nodes"] / 2, 1), max(got["edges"] or 0, 1)
@@ -204,17 +216,28 @@ class Balls:
         return found, left, m["n"]
 
 
-def pair_paths(edges: DataFrame, pairs: DataFrame, plain: RoundTables, want: int | None = None,
+def pair_paths(edges: DataFrame, pairs: DataFrame, plain: RoundTables, want: int | None = None, held: int = HELD,
                stats: list | None = None) -> DataFrame:
     """``(start, destination, asof, dist, hops, path)`` of each reachable pair ``(start, destination, asof)``.
 
     ``dist`` is in units of 1/SCALE, ``path`` runs from the destination back to the start.
-    ``edges`` may carry ``since`` and ``until`` (see ``shortest_paths``).  ``want`` is
+    ``edges`` may carry ``since`` and ``until`` (see ``shortest_paths``).  Pairs are searched within tasks over
+    at most ``held`` light edges (:func:`light_paths`), what that leaves open in rounds (:class:`Balls`).  ``want`` is
     the number of labels that balls are first grown to (any gives the same paths).  Node ids lie
-    below 2^62.  ``stats`` gets a dict for each growth of the balls: rounds, labels held.  The tables of the result
-    are those of ``plain``.
+    below 2^62.  ``stats`` gets a dict for the search within tasks and for each growth of the balls: rounds, labels held.
+    The tables of the result are those of ``plain``.
     """
     pairs, _ = plain.write(pairs.where("start IS NOT NULL AND destination IS NOT NULL").distinct())
+    e, m = whole_weights(edges, plain)
+    answers, left, n = light_paths(e, m, pairs, plain, want, held, stats)
+    if not n:
+        return answers
+    rest = ball_paths(e, left, plain, want, stats)
+    return rest if answers is None else answers.unionByName(rest)
+
+
+def ball_paths(edges: DataFrame, pairs: DataFrame, plain: RoundTables, want: int | None = None, stats: list | None = None) -> DataFrame:
+    """:func:`pair_paths` by rounds over the cluster, over edges with whole weights ``w``."""
     ends = pairs.select(F.col("start").alias("root"), F.lit(0).alias("way"), "asof").unionByName(
         pairs.select(F.col("destination").alias("root"), F.lit(1).alias("way"), "asof")).distinct()
     keys, _ = plain.write(ends.withColumn("source", F.monotonically_increasing_id()))
