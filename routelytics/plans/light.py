@@ -107,25 +107,32 @@ class Graph:
     def __init__(self, path: str, timed: bool):
         store, root = fs.FileSystem.from_uri(path)
         cols = ["node", "other", "w"] + ["since", "until"] * timed
-        types = pa.schema([(c, pa.int64()) for c in cols])
         have = [store.get_file_info(f"{root}/way={i}").type == fs.FileType.Directory for i in (0, 1)]
-        ways = [self._read(store, f"{root}/way={i}", types) if have[i] else [np.zeros(0, np.int64)] * len(cols) for i in (0, 1)]
-        self.ids = np.unique(np.concatenate([w[0] for w in ways]))
-        self.moments = np.unique(np.concatenate([t for w in ways for t in w[3:]])) if timed else None
-        n = len(self.ids)
-        self.n, self.bits = n, max(n, 1).bit_length()
-        for i in (0, 1):
-            node, other, w, *when = ways[i]
-            ways[i] = None
-            to = np.where(other == _NONE, -1, np.searchsorted(self.ids, other))
-            when = [np.searchsorted(self.moments, t) for t in when]
-            ways[i] = Ways(n, self.bits, np.searchsorted(self.ids, node), to, w, when)
-        self.out, self.into = ways
-
-    @staticmethod
-    def _read(store, path: str, types: pa.Schema) -> list[np.ndarray]:
-        table = ds.dataset(path, types, filesystem=store, format="parquet").to_table()
-        return [table.column(c).to_numpy() for c in types.names]
+
+        def read(i, col):
+            """One column at a time, so that a worker does not hold the table beside the arrays made of it."""
+            if not have[i]:
+                return np.zeros(0, np.int64)
+            types = pa.schema([(col, pa.int64())])
+            return ds.dataset(f"{root}/way={i}", types, filesystem=store, format="parquet").to_table(use_threads=False).column(col).to_numpy()
+
+        def values(some):
+            return np.unique(np.concatenate([np.unique(read(i, c)) for i in (0, 1) for c in some]))
+
+        self.ids = values(cols[:1])
+        self.moments = values(cols[3:]) if timed else None
+        self.n, self.bits = len(self.ids), max(len(self.ids), 1).bit_length()
+
+        def way(i):
+            other = read(i, "other")
+            to = np.searchsorted(self.ids, other).astype(np.int32)
+            to[other == _NONE] = -1
+            node = np.searchsorted(self.ids, read(i, "node")).astype(np.int32)
+            when = [np.searchsorted(self.moments, read(i, c)).astype(np.int32) for c in cols[3:]]
+            return Ways(self.n, self.bits, node, to, read(i, "w"), when)
+
+        self.out, self.into = way(0), way(1)
+        pa.default_memory_pool().release_unused()
 
     @classmethod
     def of(cls, path: str, timed: bool) -> "Graph":
